@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.betting import BREAK_EVEN, confident
 from ..functions.values import fill_with, log1p_money, to_double, zscore
 from .quantiles import exact_quantiles
 
@@ -50,7 +50,7 @@ def impute(cleaned: DataFrame, medians: dict[str, float]) -> DataFrame:
 
 @dataclass
 class CoverModel:
-    """Everything learnt on the training seasons."""
+    """Everything learnt on the training seasons, as plain numbers."""
 
     features: list[str]
     money: list[str]
@@ -58,27 +58,28 @@ class CoverModel:
     means: dict[str, float]
     stds: dict[str, float]
     rows: int
-    logit: LogisticRegressionModel
-
-    def vectors(self, df: DataFrame) -> DataFrame:
-        ready = impute(clean_features(df, self.features, self.money), self.medians)
-        return _assemble(ready, self.features, self.means, self.stds)
+    weights: dict[str, float]
+    intercept: float
 
     def score(self, df: DataFrame, prob: str = "prob") -> DataFrame:
-        """Add P(label = 1); the input's rows and columns stay as they are."""
-        raw = {f: f"__raw_{f}" for f in self.features}
-        kept = df.withColumns({r: F.col(f) for f, r in raw.items()})
-        scored = self.logit.transform(self.vectors(kept))
-        p = vector_to_array("__probability")[1]
-        return scored.select(*[F.col(raw.get(c, c)).alias(c) for c in df.columns],
-                             p.alias(prob))
+        """Add P(label = 1); the input's rows and columns stay as they are.
+
+        The whole model is one column expression: it compiles with the rest of
+        the stage and needs neither vectors nor the training session.
+        """
+        margin = F.lit(self.intercept)
+        for f in self.features:
+            number = to_double(f)
+            ready = fill_with(log1p_money(number) if f in self.money else number,
+                              self.medians[f])
+            margin = margin + zscore(ready, self.means[f], self.stds[f]) * self.weights[f]
+        return df.withColumn(prob, 1 / (1 + F.exp(-margin)))
 
 
-def _assemble(ready: DataFrame, features, means, stds) -> DataFrame:
-    scaled = {f"__z_{f}": zscore(f, means[f], stds[f]) for f in features}
-    wide = ready.withColumns(scaled)
-    vector = VectorAssembler(inputCols=list(scaled), outputCol="__x")
-    return vector.transform(wide).drop(*scaled)
+def _vectors(ready: DataFrame, features, means, stds, target: str) -> DataFrame:
+    scaled = ready.select(target, *[zscore(f, means[f], stds[f]).alias(f) for f in features])
+    return (VectorAssembler(inputCols=list(features), outputCol="__x")
+            .transform(scaled).select("__x", target))
 
 
 def scale_stats(df: DataFrame, features) -> tuple[dict, dict, int]:
@@ -101,17 +102,17 @@ def fit_cover_model(train: DataFrame, features=FEATURES, money=MONEY_FEATURES,
     medians = learn_medians(cleaned, features)
     ready = impute(cleaned, medians)
     means, stds, rows = scale_stats(ready, features)
-    vectors = _assemble(ready, features, means, stds).select("__x", target)
     logit = LogisticRegression(
-        featuresCol="__x", labelCol=target, probabilityCol="__probability",
-        rawPredictionCol="__raw", predictionCol="__prediction",
-        regParam=1.0 / (c * rows), elasticNetParam=0.0, standardization=False,
-        maxIter=1000, tol=1e-10).fit(vectors)
-    return CoverModel(features, money, medians, means, stds, rows, logit)
+        featuresCol="__x", labelCol=target, regParam=1.0 / (c * rows), elasticNetParam=0.0,
+        standardization=False, maxIter=1000, tol=1e-10,
+    ).fit(_vectors(ready, features, means, stds, target))
+    return CoverModel(features, money, medians, means, stds, rows,
+                      dict(zip(features, map(float, logit.coefficients))),
+                      float(logit.intercept))
 
 
 def hit_rates(scored: DataFrame, prob: str, target: str, width: float = 0.05,
-              bar: float = 0.5238) -> DataFrame:
+              bar: float = BREAK_EVEN) -> DataFrame:
     """Share of covers per probability bucket against the break-even bar."""
     bucket = F.floor(F.col(prob) / F.lit(width)).cast("int")
     rates = (scored.where(F.col(target).isNotNull() & F.col(prob).isNotNull())
@@ -122,6 +123,5 @@ def hit_rates(scored: DataFrame, prob: str, target: str, width: float = 0.05,
 
 def qualifying(scored: DataFrame, prob: str, threshold: float) -> DataFrame:
     """How many rows pass the confidence threshold, and how many there are."""
-    from ..functions.betting import confident
     return scored.agg(F.count_if(confident(prob, threshold)).alias("qualifying"),
                       F.count(F.lit(1)).alias("total"))

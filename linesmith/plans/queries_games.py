@@ -12,7 +12,7 @@ from ..operators.features import (fit_cover_model, hit_rates, qualifying, scale_
 from ..operators.games import (game_grain, latest_per_key, line_movement, mean_of,
                                pair_opponents)
 from ..operators.quantiles import exact_quantiles
-from ..operators.unpack import first_value, unpack_pivot
+from ..operators.unpack import unpack_pivot
 from . import star
 from .registry import query, table
 
@@ -53,19 +53,18 @@ def cover_margins(spark, sf):
 
 @query("line_movement", f"""
 WITH {star.RECORDS_SQL},
-opening AS (SELECT game_id, team_id, {star.opening_sql()[1]} FROM rec GROUP BY game_id, team_id),
 books AS (SELECT game_id, team_id, book, {star.first_sql("line", "market = 'N'", "spread")}
   FROM rec GROUP BY game_id, team_id, book)
-SELECT game_id, team_id, round(median(spread) - any_value(opening_spread), 6) AS line_movement,
-  round(avg(spread) - any_value(opening_spread), 6) AS mean_movement
-FROM books JOIN opening USING (game_id, team_id) GROUP BY game_id, team_id""")
+SELECT game_id, team_id, max(spread) FILTER (WHERE book = 1) AS opening_spread,
+  round(median(spread) - max(spread) FILTER (WHERE book = 1), 6) AS line_movement,
+  round(avg(spread) - max(spread) FILTER (WHERE book = 1), 6) AS mean_movement
+FROM books GROUP BY game_id, team_id""")
 def line_movements(spark, sf):
-    records = star.records(spark, sf)
-    spread = {"spread": star.PRICES["spread"]}
-    opening = first_value(F.col("line"), star.ORDER, F.col("market") == "N")
-    wide = unpack_pivot(records, ["game_id", "team_id"], "market", "book", star.ORDER, spread,
-                        star.BOOKS, [opening.alias("opening_spread")])
-    return wide.select("game_id", "team_id",
+    """Book 1 is the opener; without its line there is no movement."""
+    wide = unpack_pivot(star.records(spark, sf), ["game_id", "team_id"], "market", "book",
+                        star.ORDER, {"spread": star.PRICES["spread"]}, star.BOOKS)
+    wide = wide.withColumn("opening_spread", F.col("1_spread"))
+    return wide.select("game_id", "team_id", "opening_spread",
                        F.round(line_movement(wide), 6).alias("line_movement"),
                        F.round(line_movement(wide, consensus=mean_of), 6).alias("mean_movement"))
 

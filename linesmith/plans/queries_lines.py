@@ -8,7 +8,7 @@ from ..functions.values import url_param
 from ..operators.assemble import (ambiguous_sides, assemble_wide, left_join, lookup_name,
                                   split_totals)
 from ..operators.ordered import fill_within, number_within, pair_band
-from ..operators.unpack import pivot_sources, unpack_first
+from ..operators.unpack import pivot_sources, unpack_first, unpack_pivot
 from ..sources.captures import Field, odds_records, page_rows, parse_responses
 from . import star
 from .registry import query, table
@@ -52,8 +52,21 @@ WITH {star.RECORDS_SQL}
 SELECT game_id, team_id, {_comma(star.books_sql())}
 FROM rec GROUP BY game_id, team_id""")
 def pivot_books(spark, sf):
-    return pivot_sources(book_lines(spark, sf), ["game_id", "team_id"], "book",
-                         list(star.PRICES), star.BOOKS)
+    return unpack_pivot(star.records(spark, sf), ["game_id", "team_id"], "market", "book",
+                        star.ORDER, star.PRICES, star.BOOKS)
+
+
+@query("pivot_sources", """
+SELECT l_orderkey, """ + ", ".join(
+    f'max(CASE WHEN l_linenumber = {b} THEN {c} END) AS "{b}_{c}"'
+    for b in star.BOOKS for c in ("price", "pct")) + """
+FROM (SELECT l_orderkey, l_linenumber, max(l_extendedprice) AS price, min(l_tax) AS pct
+      FROM lineitem GROUP BY ALL) GROUP BY l_orderkey""")
+def pivot_long(spark, sf):
+    """The wide view of a long table; the books present are looked up."""
+    long = (table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
+            .agg(F.max("l_extendedprice").alias("price"), F.min("l_tax").alias("pct")))
+    return pivot_sources(long, ["l_orderkey"], "l_linenumber", ["price", "pct"])
 
 
 @query("consensus_share", """
@@ -72,12 +85,10 @@ def consensus_share(spark, sf):
 
 
 def _wide_sql() -> str:
-    names = ([f"opening_{o}" for o in star.PRICES] + list(star.SHARES)
-             + [f"{b}_{o}" for b in star.BOOKS for o in star.PRICES])
-    plain, totals = split_totals(names, [])
+    plain, totals = split_totals(list(star.kind_outputs()), [])
     return f"""
 WITH {star.RECORDS_SQL}, {star.META_SQL},
-line AS (SELECT game_id, team_id, {_comma(star.opening_sql() + star.shares_sql() + star.books_sql())}
+line AS (SELECT game_id, team_id, {_comma(star.wide_sql())}
   FROM rec GROUP BY game_id, team_id),
 tot AS (SELECT *, team_id % 2 AS side FROM line WHERE team_id IN ({star.ODD}, {star.EVEN}))
 SELECT m.*, {", ".join(f'l."{c}"' for c in plain)}, {", ".join(f't."{c}"' for c in totals)}

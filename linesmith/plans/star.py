@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.assemble import TOTAL_PARTICIPANTS
-from ..operators.unpack import first_value, unpack_pivot
+from ..operators.unpack import pivot_first
 from .registry import table
 
 ODD, EVEN = TOTAL_PARTICIPANTS
@@ -46,13 +46,26 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("rotation", F.col("team_id").cast("int")))
 
 
+def kind_outputs() -> dict:
+    """Columns of the wide table: (kind, book, market) and the field to take.
+
+    Line 1 is the opener's record, line 2 the consensus, the others are the
+    current lines of five books.
+    """
+    outputs = {f"opening_{out}": (("opening", None, m), f) for out, (m, f) in PRICES.items()}
+    outputs |= {out: (("consensus", None, m), f) for out, (m, f) in SHARES.items()}
+    return outputs | {f"{b}_{out}": (("current", b, m), f)
+                      for b in BOOKS[2:] for out, (m, f) in PRICES.items()}
+
+
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Opening, consensus and book columns in one aggregate."""
-    def values(prefix, spec):
-        return [first_value(F.col(field), ORDER, F.col("market") == market).alias(prefix + out)
-                for out, (market, field) in spec.items()]
-    return unpack_pivot(records(spark, sf), ["game_id", "team_id"], "market", "book", ORDER,
-                        PRICES, BOOKS, values("opening_", PRICES) + values("", SHARES))
+    """Opening, consensus and book columns per (game, participant)."""
+    kind = F.when(F.col("book") == 1, "opening").when(F.col("book") == 2, "consensus") \
+        .otherwise("current")
+    rows = records(spark, sf).withColumn("kind", kind).withColumn(
+        "book", F.when(F.col("kind") == "current", F.col("book")))
+    return pivot_first(rows, ["game_id", "team_id"], ["kind", "book", "market"], ORDER,
+                       kind_outputs())
 
 
 def sides(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,8 +134,10 @@ def opening_sql() -> list[str]:
     return [first_sql(f, f"market = '{m}'", f"opening_{o}") for o, (m, f) in PRICES.items()]
 
 
-def shares_sql() -> list[str]:
-    return [first_sql(f, f"market = '{m}'", o) for o, (m, f) in SHARES.items()]
+def wide_sql() -> list[str]:
+    book_of = {"opening": 1, "consensus": 2}
+    return [first_sql(f, f"book = {book_of.get(kind, b)} AND market = '{m}'", name)
+            for name, ((kind, b, m), f) in kind_outputs().items()]
 
 
 def books_sql() -> list[str]:

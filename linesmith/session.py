@@ -20,6 +20,7 @@ def local_session(cpus: int | str = 8, partitions: int | None = None) -> SparkSe
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("linesmith")
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "12g")
                .config("spark.sql.shuffle.partitions", str(partitions or cpus)))
     for key, value in SETTINGS.items():
