@@ -151,7 +151,7 @@ def bar_width(text) -> Column:
     n = prefix_number(text)
     low = F.floor(n)
     near = low + ((n - low) >= 0.5).cast("bigint")
-    return F.least(near, F.lit(100).cast("bigint")).cast("int")
+    return F.when(n.isNotNull(), F.least(near, F.lit(100).cast("bigint")).cast("int"))
 
 
 def raw_cell(text) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.betting import BREAK_EVEN, confident
 from ..functions.values import fill_with, log1p_money, to_double, zscore
+from ..session import staged
 from .quantiles import exact_quantiles
 
 # Model inputs in order, those holding money, and the label.
@@ -95,10 +96,12 @@ def fit_cover_model(train: DataFrame, features=FEATURES, money=MONEY_FEATURES,
     """Standardised logistic regression with an L2 penalty of strength 1/c.
 
     The summed log loss plus ``|w|^2 / 2c`` equals Spark's mean loss with
-    ``regParam = 1 / (c * rows)`` once its own scaling is off.
+    ``regParam = 1 / (c * rows)`` once its own scaling is off. The narrow
+    cleaned table is stored once: medians, scaling and fit all read it.
     """
     features, money = list(features), list(money)
-    cleaned = clean_features(labelled(train, target), features, money)
+    needed = labelled(train, target).select(*dict.fromkeys([*features, target]))
+    cleaned = staged(clean_features(needed, features, money), "features")
     medians = learn_medians(cleaned, features)
     ready = impute(cleaned, medians)
     means, stds, rows = scale_stats(ready, features)

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.betting import cents, confident, kelly, roi_percent, settle, stake
+from ..functions.betting import cents, confident, edge, kelly, roi_percent, settle, stake
 from ..functions.values import dollars, let
 from ..session import scratch_folder
 
@@ -105,7 +105,8 @@ def _topup(bank, left, s) -> Column:
 
 def _week_result(bets: Column, s: Column, bank: Column) -> Column:
     def add(total, x):
-        paid = settle(stake(kelly(x["p"], s["kelly"]), bank), x["won"])
+        share = F.greatest(F.lit(0.0), x["edge"] * s["kelly"])
+        paid = settle(stake(share, bank), x["won"])
         return F.struct((total["pnl"] + paid * x["n"]).alias("pnl"),
                         (total["n"] + x["n"]).alias("n"))
     zero = F.struct(F.lit(0.0).alias("pnl"), F.lit(0).cast("bigint").alias("n"))
@@ -113,8 +114,10 @@ def _week_result(bets: Column, s: Column, bank: Column) -> Column:
 
 
 def _fold(classes: DataFrame, strategies: list[Strategy], keys: list[str]) -> DataFrame:
-    bet = F.when(F.col("p").isNotNull(), F.struct("p", "won", "n"))
-    weeks = (classes.repartition(*keys)
+    # Few bytes but much work per key: a fixed number keeps AQE from merging them.
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bet = F.when(F.col("p").isNotNull(), F.struct("p", "won", "n", "edge"))
+    weeks = (classes.withColumn("edge", edge("p")).repartition(parts, *keys)
              .groupBy(*keys, "week").agg(F.sort_array(F.collect_list(bet)).alias("bets"))
              .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("week", "bets")))
                                  .alias("weeks")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .skew import SLICE, Split, plan_split
@@ -14,7 +16,10 @@ def _with_carry(sliced: DataFrame, split: Split, summary: DataFrame) -> DataFram
     MAX_HOT x MAX_SLICES short rows, which is why it may be broadcast.
     """
     keys = [*split.keys, SLICE]
-    return sliced.join(F.broadcast(summary), keys, "left")
+    summary = summary.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return sliced.join(F.broadcast(summary), same, "left").drop(*[f"__k_{k}" for k in keys])
 
 
 def fill_within(df: DataFrame, keys: list[str], order: str, cols: list[str],

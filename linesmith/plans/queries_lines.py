@@ -10,6 +10,7 @@ from ..operators.assemble import (ambiguous_sides, assemble_wide, left_join, loo
 from ..operators.ordered import fill_within, number_within, pair_band
 from ..operators.unpack import pivot_sources, unpack_first, unpack_pivot
 from ..sources.captures import Field, odds_records, page_rows, parse_responses
+from ..session import staged
 from . import star
 from .registry import query, table
 
@@ -99,7 +100,9 @@ LEFT JOIN tot t ON m.game_id = t.game_id AND m.rotation % 2 = t.side"""
 
 @query("assemble_wide", _wide_sql())
 def assemble(spark, sf):
-    return assemble_wide(star.meta(spark, sf), [star.lines(spark, sf)])
+    """The lines feed two joins, so they are computed once and stored."""
+    lines = staged(star.lines(spark, sf), "lines")
+    return assemble_wide(star.meta(spark, sf), [lines])
 
 
 @query("ambiguous_sides", f"""

@@ -164,7 +164,7 @@ SELECT c_custkey AS game_id, c_mktsegment AS team,
   CASE WHEN x > 0 THEN 'pos' WHEN x IS NOT NULL THEN 'neg' END AS opening_moneyline_flag,
   CASE WHEN v = '' THEN '—' WHEN x IS NULL THEN v ELSE format('{:.1f}',
     CASE WHEN abs(x) - floor(abs(x)) = 0.25 THEN x + sign(x) * 0.01 ELSE x END) || '%' END AS spread_bet_pct,
-  CAST(least(floor(x) + CASE WHEN x - floor(x) >= 0.5 THEN 1 ELSE 0 END, 100) AS INTEGER) AS spread_bet_pct_bar,
+  CASE WHEN x IS NOT NULL THEN CAST(least(floor(x) + CASE WHEN x - floor(x) >= 0.5 THEN 1 ELSE 0 END, 100) AS INTEGER) END AS spread_bet_pct_bar,
   CASE WHEN v = '' THEN '—' ELSE v END AS total
 FROM n"""
 

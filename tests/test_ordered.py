@@ -1,0 +1,82 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from linesmith.operators.ordered import fill_within, number_within, pair_band
+from linesmith.operators.skew import plan_split
+from .conftest import rows
+
+SCHEMA = "g string, pos long, date string, score double"
+
+
+def random_rows(seed, n=600):
+    rnd = random.Random(seed)
+    keys = ["hot"] * 6 + [None] * 3 + ["a", "b", "c"]
+    return [(rnd.choice(keys), i * 3, rnd.choice(["", None, f"d{i}"]),
+             rnd.choice([None, None, float(i)])) for i in range(n)]
+
+
+def fill_by_hand(data):
+    out = {}
+    for g in {r[0] for r in data}:
+        part = [r for r in sorted(data, key=lambda r: r[1]) if r[0] == g]
+        for c in (2, 3):
+            seen = None
+            values = [None if v in ("", None) else v for v in (r[c] for r in part)]
+            for i, v in enumerate(values):
+                seen = v if v is not None else seen
+                values[i] = seen
+            seen = None
+            for i in reversed(range(len(values))):
+                seen = values[i] if values[i] is not None else seen
+                values[i] = seen
+            for r, v in zip(part, values):
+                out.setdefault(r[1], {"g": g})[c] = None if g is None else v
+    return sorted([(v["g"], p, v[2], v[3]) for p, v in out.items()], key=repr)
+
+
+@pytest.mark.parametrize("share,slices", [(1.1, 4), (0.2, 16), (0.0, 64)])
+def test_fill_equals_plain_fill_however_groups_are_cut(spark, share, slices):
+    data = random_rows(7)
+    df = spark.createDataFrame(data, SCHEMA).repartition(5, "date")
+    split = plan_split(df, ["g"], "pos", share, slices)
+    assert bool(split.hot) == (share < 1)
+    got = fill_within(df, ["g"], "pos", ["date", "score"], split)
+    assert rows(got) == fill_by_hand(data)
+
+
+def test_fill_plans_its_own_split(spark):
+    data = random_rows(8, 200)
+    got = fill_within(spark.createDataFrame(data, SCHEMA), ["g"], "pos", ["date", "score"])
+    assert rows(got) == fill_by_hand(data)
+
+
+def test_hot_group_is_spread_over_many_slices(spark):
+    df = spark.range(50_000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("g"),
+                                    F.col("id").alias("pos"))
+    split = plan_split(df, ["g"], "pos")
+    assert len(split.hot) == 1
+    sizes = [r[0] for r in df.where("g = 1").groupBy(split.slice_column()).count()
+             .select("count").collect()]
+    assert len(sizes) > 200 and max(sizes) < 50_000 / 100
+
+
+@pytest.mark.parametrize("keys", [["g"], []])
+@pytest.mark.parametrize("share", [1.1, 0.0])
+def test_numbering_equals_a_plain_count(spark, keys, share):
+    data = [(r[0], r[1] // 6) for r in random_rows(9)]
+    data = [(g, p, i) for i, (g, p) in enumerate(data)]
+    df = spark.createDataFrame(data, "g string, pos long, id int").repartition(6, "id")
+    got = number_within(df, keys, "pos", "n", ["id"], plan_split(df, keys, "pos", share, 32))
+    want, count = [], {}
+    for g, p, i in sorted(data, key=lambda r: (r[1], r[2])):
+        k = g if keys else 0
+        count[k] = count.get(k, 0) + 1
+        want.append((g, p, i, count[k]))
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_pair_band(spark):
+    df = spark.range(1, 9).select(pair_band("id").alias("b"))
+    assert [r[0] for r in df.collect()] == [0, 0, 1, 1, 0, 0, 1, 1]

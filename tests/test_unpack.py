@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from linesmith.operators import unpack
+from linesmith.operators.unpack import pivot_first, pivot_sources, unpack_first, unpack_pivot
+from .conftest import rows
+
+SPEC = {"line": (401, "adj"), "odds": (401, "ap"), "money": (83, "ap")}
+SCHEMA = "game long, team long, book int, mtid int, pos int, ap double, adj double"
+
+
+def first_by_hand(data, key, codes):
+    """Per key and output: the first non-null value in position order."""
+    out = {}
+    for r in sorted(data, key=lambda r: r["pos"]):
+        k = key(r)
+        if any(v is None for v in k):
+            continue
+        slot = out.setdefault(k, {name: None for name in codes})
+        for name, (code, field) in codes.items():
+            if r["mtid"] == code and slot[name] is None:
+                slot[name] = r[field]
+    return out
+
+
+def random_records(seed, n=400):
+    rnd = random.Random(seed)
+    maybe = lambda v: None if rnd.random() < 0.3 else v
+    return [dict(game=maybe(rnd.randrange(6)), team=rnd.randrange(3), book=rnd.choice([8, 9, 130]),
+                 mtid=rnd.choice([83, 401, 402]), pos=i, ap=maybe(float(rnd.randrange(-300, 300))),
+                 adj=maybe(rnd.randrange(-20, 20) / 2)) for i in range(n)]
+
+
+def frame(spark, data):
+    cols = [c.split()[0] for c in SCHEMA.split(", ")]
+    return spark.createDataFrame([tuple(r[c] for c in cols) for r in data], SCHEMA)
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_first_non_null_per_column_in_record_order(spark, unique):
+    data = random_records(1)
+    df = frame(spark, data).repartition(7, "ap")
+    got = unpack_first(df, ["game", "team"], "mtid", ["pos"], SPEC, unique_order=unique)
+    want = first_by_hand(data, lambda r: (r["game"], r["team"]), SPEC)
+    assert rows(got) == sorted([(*k, *v.values()) for k, v in want.items()], key=repr)
+
+
+def test_ties_do_not_depend_on_row_order(spark):
+    data = [dict(game=1, team=1, book=8, mtid=83, pos=0, ap=float(v), adj=None) for v in (5, 3, 4)]
+    for copy in (data, data[::-1]):
+        got = unpack_first(frame(spark, copy), ["game"], "mtid", ["pos"], {"m": (83, "ap")})
+        assert rows(got) == [(1, 3.0)]
+
+
+def test_pivot_has_one_group_of_columns_per_book_present(spark):
+    data = random_records(2)
+    df = frame(spark, data).repartition(5, "pos")
+    got = unpack_pivot(df, ["game", "team"], "mtid", "book", ["pos"], SPEC, unique_order=True)
+    assert got.columns == ["game", "team"] + [f"{b}_{m}" for b in (8, 9, 130) for m in SPEC]
+    cells = first_by_hand(data, lambda r: (r["game"], r["team"], r["book"]), SPEC)
+    empty = dict.fromkeys(SPEC)
+    want = {(k[0], k[1]) for k in cells}
+    assert rows(got) == sorted([(*k, *[v for b in (8, 9, 130) for v in cells.get((*k, b), empty).values()])
+                                for k in want], key=repr)
+
+
+def test_pivot_of_long_table_equals_fused_pivot(spark):
+    df = frame(spark, random_records(3))
+    fused = unpack_pivot(df, ["game", "team"], "mtid", "book", ["pos"], SPEC, unique_order=True)
+    long = unpack_first(df, ["game", "team", "book"], "mtid", ["pos"], SPEC, unique_order=True)
+    assert rows(pivot_sources(long, ["game", "team"], "book", list(SPEC))) == rows(fused)
+
+
+def test_null_in_the_cell_key_is_its_own_cell(spark):
+    df = spark.createDataFrame([(1, "opening", None, 0, 2.0), (1, "current", 8, 1, 3.0)],
+                               "game int, kind string, book int, pos int, ap double")
+    got = pivot_first(df, ["game"], ["kind", "book"], ["pos"],
+                      {"open": (("opening", None), "ap"), "8_now": (("current", 8), "ap")}, True)
+    assert rows(got) == [(1, 2.0, 3.0)]
+
+
+def test_empty_input_keeps_its_columns(spark):
+    got = unpack_pivot(frame(spark, []), ["game", "team"], "mtid", "book", ["pos"], SPEC, [8])
+    assert got.columns == ["game", "team", "8_line", "8_odds", "8_money"] and got.count() == 0
+    assert unpack_pivot(frame(spark, []), ["game"], "mtid", "book", ["pos"], SPEC).columns == ["game"]
+
+
+def test_unbounded_pivot_column_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(unpack, "MAX_SOURCES", 3)
+    with pytest.raises(ValueError, match="pivot"):
+        unpack.present_sources(spark.range(10), "id")
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("game"),
+        F.lit(83).alias("mtid"), "id", F.col("id").cast("double").alias("ap"))
+    got = unpack_first(df, ["game"], "mtid", ["id"], {"m": (83, "ap")}, unique_order=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "SortAggregate" not in plan
+    assert got.where("game = 0").collect()[0]["m"] == 0.0
