@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.betting import cents, confident, edge, kelly, roi_percent, settle, stake
 from ..functions.values import dollars, let
 from ..session import scratch_folder
+from .skew import broadcast_if_small
 
 CLASS_LIMIT = 20_000
 MAX_WEEKS = 2_000
@@ -77,6 +78,7 @@ def run_ledger(rows: DataFrame, strategies: Iterable[Strategy], keys: list[str],
              .where(F.col("__n") > class_limit).select(*keys))
     if large.isEmpty():
         return _fold(classes, strategies, keys)
+    large = broadcast_if_small(large)
     small = _fold(classes.join(large, keys, "left_anti"), strategies, keys)
     return small.unionByName(
         _rounds(classes.join(large, keys, "left_semi"), strategies, keys, folder))

@@ -6,20 +6,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .skew import SLICE, Split, plan_split
+from .skew import MAX_RANGES, SLICE, Split, broadcast_if_small, plan_split
 
 
 def _with_carry(sliced: DataFrame, split: Split, summary: DataFrame) -> DataFrame:
-    """Attach each hot slice's summary.
-
-    The summary has one row per hot key and slice, at most
-    MAX_HOT x MAX_SLICES short rows, which is why it may be broadcast.
-    """
+    """Attach each hot slice's summary: one short row per hot key and slice."""
     keys = [*split.keys, SLICE]
     summary = summary.withColumnsRenamed({k: f"__k_{k}" for k in keys})
     same = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
-    return sliced.join(F.broadcast(summary), same, "left").drop(*[f"__k_{k}" for k in keys])
+    return (sliced.join(broadcast_if_small(summary), same, "left")
+            .drop(*[f"__k_{k}" for k in keys]))
 
 
 def fill_within(df: DataFrame, keys: list[str], order: str, cols: list[str],
@@ -40,7 +37,7 @@ def fill_within(df: DataFrame, keys: list[str], order: str, cols: list[str],
         clean = clean.withColumn(c, F.when(~no_key, cell))
     split = split or plan_split(df, keys, order)
     # Rows without a key stay null wherever they go, so they are spread out.
-    spread = F.pmod(F.xxhash64(order), F.lit(Split.SLICES)).cast("int")
+    spread = F.pmod(F.xxhash64(order), F.lit(MAX_RANGES)).cast("bigint")
     sliced = clean.withColumn(SLICE, F.when(no_key, spread).otherwise(split.slice_column()))
 
     rows = Window.partitionBy(*keys, SLICE).orderBy(order)

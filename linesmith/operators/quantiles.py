@@ -3,117 +3,105 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 GATHER = 50_000
-ACCURACY = 50_000
+BINS = 4_096
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5,
-                    gather: int = GATHER, accuracy: int = ACCURACY) -> dict[str, float | None]:
+@dataclass
+class Bracket:
+    """Values of a column from ``low`` to ``high``, with ``below`` before them."""
+
+    column: str
+    low: float
+    high: float
+    below: int
+    rows: int
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, gather: int = GATHER,
+                    bins: int = BINS) -> dict[str, float | None]:
     """Linearly interpolated ``q``-quantile of each column, nulls skipped.
 
-    ``percentile`` keeps every distinct value of a column in one buffer. Here a
-    quantile sketch brackets the two order statistics wanted; counts show how
-    many values lie strictly between the bracket's ends; while more than
-    ``gather`` do, a sketch over only those narrows the bracket. Each round is
-    one pass over the columns with one result row, and all columns share it;
-    about ``log(rows) / log(accuracy)`` rounds are needed. Values equal to a
-    bracket end are only counted, so heavy ties cannot stall it.
+    ``percentile`` keeps every distinct value of a column in one buffer, and
+    quantile sketches of very many tasks meet in one. Instead the order
+    statistics wanted are narrowed down by histograms: a round counts, per
+    bin, the values inside the current brackets (combined map-side, spread
+    over the reducers) and keeps the bin holding each wanted rank, until a
+    bracket holds one distinct value or at most ``gather`` values, which are
+    then sorted. All columns share the passes, about
+    ``2 + log(rows / gather) / log(bins)`` of them.
     """
     first = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"n_{c}"), F.min(c).cast("double").alias(f"lo_{c}"),
-        F.max(c).cast("double").alias(f"hi_{c}"),
-        F.percentile_approx(c, _near(q, accuracy), accuracy).alias(f"at_{c}"))]).first()
-    result: dict[str, float | None] = {}
-    open_: dict[str, dict] = {}
-    for c in cols:
-        n = first[f"n_{c}"]
-        if not n:
-            result[c] = None
-            continue
-        rank = q * (n - 1)
-        cuts = [float(v) for v in first[f"at_{c}"]]
-        open_[c] = {"n": n, "rank": rank, "want": {math.floor(rank), math.ceil(rank)},
-                    "found": {}, "lo": first[f"lo_{c}"], "hi": first[f"hi_{c}"],
-                    "try": (cuts[0], cuts[-1])}
-    while open_:
-        row = df.agg(*[e for c, s in open_.items() for e in _counts(c, s)]).first()
-        narrow = []
-        for c in list(open_):
-            _locate(row, c, open_[c])
-            if _missing(open_[c]) and open_[c]["between"] > gather:
-                narrow.append(c)
-        ready = [c for c in open_ if c not in narrow]
-        rest = [c for c in ready if _missing(open_[c])]
-        if rest:
-            inside = df.agg(*[F.sort_array(F.collect_list(
-                F.when(_between(c, open_[c]), F.col(c).cast("double")))).alias(c)
-                for c in rest]).first()
-            for c in rest:
-                base = open_[c]["at_most_lo"]
-                for k in _missing(open_[c]):
-                    open_[c]["found"][k] = inside[c][k - base]
-        for c in ready:
-            result[c] = _interpolate(open_.pop(c))
-        if narrow:
-            cuts = df.agg(*[F.percentile_approx(
-                F.when(_between(c, open_[c]), F.col(c)),
-                _near(_inner_share(open_[c]), accuracy), accuracy).alias(c)
-                for c in narrow]).first()
-            for c in narrow:
-                values = [float(v) for v in cuts[c]]
-                open_[c]["try"] = (values[0], values[-1])
-    return {c: result[c] for c in cols}
-
-
-def _near(q: float, accuracy: int):
-    margin = 2.0 / accuracy
-    return [max(0.0, q - margin), min(1.0, q + margin)]
-
-
-def _between(c: str, s: dict):
-    return (F.col(c) > s["lo"]) & (F.col(c) < s["hi"])
-
-
-def _counts(c: str, s: dict):
-    """How the bracket [lo, hi] and the tried cuts inside it split the column."""
-    ends = {"lo": s["lo"], "a": s["try"][0], "b": s["try"][1], "hi": s["hi"]}
-    for name, value in ends.items():
-        yield F.count_if(F.col(c) < value).alias(f"lt_{name}_{c}")
-        yield F.count_if(F.col(c) <= value).alias(f"le_{name}_{c}")
-
-
-def _locate(row, c: str, s: dict) -> None:
-    """Settle ranks that fall on a known value; tighten the bracket."""
-    ends = {"lo": s["lo"], "a": s["try"][0], "b": s["try"][1], "hi": s["hi"]}
-    low, high = min(s["want"]), max(s["want"])
-    for name, value in sorted(ends.items(), key=lambda e: e[1]):
-        below, at_most = row[f"lt_{name}_{c}"], row[f"le_{name}_{c}"]
-        for k in s["want"]:
-            if below <= k < at_most:
-                s["found"][k] = value
-        missing = _missing(s)
-        if missing and at_most <= min(missing):
-            s["lo"], s["at_most_lo"] = value, at_most
-        if missing and below > max(missing):
-            s["hi"], s["below_hi"] = value, below
+        F.max(c).cast("double").alias(f"hi_{c}"))]).first()
+    ranks = {c: q * (first[f"n_{c}"] - 1) for c in cols if first[f"n_{c}"]}
+    want = {(c, k): Bracket(c, first[f"lo_{c}"], first[f"hi_{c}"], 0, first[f"n_{c}"])
+            for c, r in ranks.items() for k in {math.floor(r), math.ceil(r)}}
+    found: dict[tuple[str, int], float] = {}
+    while True:
+        found |= {t: b.low for t, b in want.items() if b.low == b.high}
+        want = {t: b for t, b in want.items() if t not in found}
+        wide = {t: b for t, b in want.items() if b.rows > gather}
+        if not wide:
             break
-    if _missing(s):
-        s["between"] = s["below_hi"] - s["at_most_lo"]
-    assert 0 <= low <= high < s["n"]
-
-
-def _missing(s: dict) -> list[int]:
-    return sorted(k for k in s["want"] if k not in s["found"])
-
-
-def _inner_share(s: dict) -> float:
-    middle = (min(_missing(s)) + max(_missing(s))) / 2 - s["at_most_lo"]
-    return min(1.0, max(0.0, middle / max(1, s["between"] - 1)))
-
-
-def _interpolate(s: dict) -> float:
-    low, high = s["found"][math.floor(s["rank"])], s["found"][math.ceil(s["rank"])]
-    return low + (high - low) * (s["rank"] - math.floor(s["rank"]))
+        want |= _narrow(df, wide, bins)
+    found |= _pick(df, want)
+    result: dict[str, float | None] = dict.fromkeys(cols)
+    for c, r in ranks.items():
+        low, high = found[c, math.floor(r)], found[c, math.ceil(r)]
+        result[c] = low + (high - low) * (r - math.floor(r))
+    return result
+
+
+def _distinct(brackets) -> list[Bracket]:
+    return list({(b.column, b.low, b.high): b for b in brackets}.values())
+
+
+def _inside(b: Bracket):
+    return F.col(b.column).between(b.low, b.high)
+
+
+def _narrow(df: DataFrame, want: dict, bins: int) -> dict:
+    """One histogram pass: every wanted rank moves to the bin that holds it."""
+    brackets = _distinct(want.values())
+    cells = []
+    for i, b in enumerate(brackets):
+        x = F.col(b.column).cast("double")
+        at = F.floor((x - b.low) / (b.high - b.low) * bins)
+        cells.append(F.when(_inside(b), F.struct(
+            F.lit(i).alias("i"), F.least(at, F.lit(bins - 1).cast("bigint")).alias("bin"),
+            x.alias("x"))))
+    counted = (df.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
+               .groupBy("c.i", "c.bin")
+               .agg(F.count(F.lit(1)).alias("n"), F.min("c.x").alias("low"),
+                    F.max("c.x").alias("high"))
+               .collect())
+    steps: dict[int, list] = {}
+    for r in sorted(counted, key=lambda r: (r["i"], r["bin"])):
+        steps.setdefault(r["i"], []).append(r)
+    at = {(b.column, b.low, b.high): i for i, b in enumerate(brackets)}
+    out = {}
+    for (c, k), b in want.items():
+        below = b.below
+        for r in steps[at[c, b.low, b.high]]:
+            if k < below + r["n"]:
+                out[c, k] = Bracket(c, r["low"], r["high"], below, r["n"])
+                break
+            below += r["n"]
+    return out
+
+
+def _pick(df: DataFrame, want: dict) -> dict:
+    """Sort the few values left in each bracket and read off the ranks."""
+    if not want:
+        return {}
+    brackets = _distinct(want.values())
+    row = df.agg(*[F.sort_array(F.collect_list(F.when(
+        _inside(b), F.col(b.column).cast("double")))).alias(f"v{i}")
+        for i, b in enumerate(brackets)]).first()
+    values = {(b.column, b.low, b.high): row[f"v{i}"] for i, b in enumerate(brackets)}
+    return {(c, k): values[c, b.low, b.high][k - b.below] for (c, k), b in want.items()}

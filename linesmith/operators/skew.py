@@ -1,79 +1,118 @@
-"""Order-preserving splits of hot groups.
+"""Order-preserving splits of hot groups, and size-checked broadcasts.
 
 A window over a group runs in one task, which fails when one key holds a large
-part of the table. ``plan_split`` finds such keys with one narrow sketch pass
-and cuts only them into ranges of the ordering column. Operators then work per
-(keys, slice) and carry a small summary from slice to slice, so results do not
-depend on where the cuts fall.
+part of the table. ``plan_split`` finds such keys and cuts only them into ranges
+of the ordering column, each small enough for a task. Operators then work per
+(keys, slice) and carry a short summary from slice to slice. Finding keys and
+cuts uses a sample; results never depend on where the cuts fall.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 SLICE = "__slice"
+ROWS_PER_SLICE = 4_000_000
+SAMPLE_ROWS = 10_000_000
+MAX_HOT = 10_000
+MAX_RANGES = 256
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after counting; a larger table joins by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def key_hash(keys) -> Column:
+    return F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
 
 
 @dataclass(frozen=True)
 class Split:
-    """Which keys are cut (by hash) and where; at most ``MAX_HOT`` x ``MAX_SLICES``."""
+    """Hot keys by hash, grouped by how finely each is cut, and the cuts.
+
+    ``ranges`` are about equally full ranges of the order column, each divided
+    evenly into ``parts``. A key in ``levels[j]`` uses 2**j neighbouring parts
+    as one slice, so its slices hold about ROWS_PER_SLICE rows whatever its
+    share, and all keys together have about rows / ROWS_PER_SLICE slices.
+    """
 
     keys: tuple[str, ...]
     order: str
-    hot: list[int] = field(default_factory=list)
-    bounds: list = field(default_factory=list)
+    levels: dict[int, list[int]] = field(default_factory=dict)
+    ranges: list[tuple[float, float]] = field(default_factory=list)
+    parts: int = 1
 
-    MAX_HOT = 128
-    SLICES = 256
-    MAX_SLICES = 1024
-    TRACKED = 10_000
+    @property
+    def hot(self) -> list[int]:
+        return [h for hashes in self.levels.values() for h in hashes]
 
     def is_hot(self) -> Column:
         return key_hash(self.keys).isin(self.hot) if self.hot else F.lit(False)
 
     def slice_column(self) -> Column:
-        """0 for ordinary keys, the 1-based range of ``order`` for hot ones."""
-        if not self.hot or not self.bounds:
-            return F.lit(0)
-        position = F.expr(f"CASE WHEN `{self.order}` IS NULL THEN 0 ELSE "
-                          f"{self._search(0, len(self.bounds))} END")
-        return F.when(self.is_hot(), position + 1).otherwise(0)
+        """0 for ordinary keys, from 1 up along ``order`` for hot ones."""
+        if not self.hot:
+            return F.lit(0).cast("bigint")
+        fine = F.expr(f"CASE WHEN `{self.order}` IS NULL THEN 0 "
+                      f"ELSE {self._search(0, len(self.ranges))} END").cast("bigint")
+        out = F.lit(0).cast("bigint")
+        for level, hashes in self.levels.items():
+            here = key_hash(self.keys).isin(hashes)
+            out = F.when(here, F.shiftright(fine, level) + 1).otherwise(out)
+        return out
 
     def _search(self, low: int, high: int) -> str:
-        """Binary search over the cuts as nested CASE, which compiles."""
-        if low == high:
-            return str(low)
+        """Binary search over the ranges as nested CASE, which compiles."""
+        x = f"cast(`{self.order}` as double)"
+        if high - low == 1:
+            start, end = self.ranges[low]
+            base = low * self.parts
+            if self.parts == 1 or not end > start:
+                return f"{base}L"
+            part = f"floor(({x} - {start!r}D) / {end - start!r}D * {self.parts})"
+            return f"({base}L + least({self.parts - 1}L, greatest(0L, {part})))"
         mid = (low + high) // 2
-        return (f"CASE WHEN cast(`{self.order}` as double) < {self.bounds[mid]!r}D "
-                f"THEN {self._search(low, mid)} ELSE {self._search(mid + 1, high)} END")
-
-
-def key_hash(keys) -> Column:
-    return F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
+        return (f"CASE WHEN {x} < {self.ranges[mid][0]!r}D "
+                f"THEN {self._search(low, mid)} ELSE {self._search(mid, high)} END")
 
 
-def plan_split(df: DataFrame, keys, order: str, share: float = 0.01,
-               slices: int | None = None) -> Split:
-    """Keys with more than ``share`` of the rows, and even cuts of ``order``.
+def plan_split(df: DataFrame, keys, order: str, rows_per_slice: int = ROWS_PER_SLICE,
+               sample_rows: int = SAMPLE_ROWS) -> Split:
+    """Keys with more rows than a slice should hold, and where to cut them.
 
-    One job over the key and order columns; it returns one row. ``share`` of 0
-    cuts every key the sketch reports, which tests use.
+    Counts the table and, only if it exceeds one slice, reads the key and order
+    columns of a bounded sample. ``keys=[]`` treats the whole table as one group.
     """
     keys = tuple(keys)
-    slices = min(slices or Split.SLICES, Split.MAX_SLICES)
-    cuts = ", ".join(str(i / slices) for i in range(1, slices))
-    stats = [F.count(F.lit(1)).alias("rows"),
-             F.expr(f"approx_percentile(cast(`{order}` as double), "
-                    f"array({cuts}), 10000)").alias("bounds")]
+    total = df.count()
+    slices = math.ceil(total / rows_per_slice) if total else 1
+    if slices <= 1:
+        return Split(keys, order)
+    share = min(1.0, sample_rows / total)
+    sample = df.select(key_hash(keys).alias("h"), F.col(order).cast("double").alias("x"))
+    sample = sample.sample(share, seed=17) if share < 1 else sample
     if keys:
-        hashed = ", ".join(f"`{k}`" for k in keys)
-        stats.append(F.expr(f"approx_top_k(xxhash64({hashed}), {Split.MAX_HOT}, "
-                            f"{Split.TRACKED})").alias("top"))
-    row = df.agg(*stats).first()
-    bounds = sorted(set(row["bounds"] or []))
-    if not keys:
-        return Split(keys, order, [0], bounds)
-    hot = [t["item"] for t in row["top"] or [] if t["count"] > share * row["rows"]]
-    return Split(keys, order, hot, bounds)
+        found = (sample.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+                 .where(F.col("n") > rows_per_slice * share)
+                 .orderBy(F.desc("n"), "h").limit(MAX_HOT).collect())
+        hot = {r["h"]: r["n"] / share for r in found}
+    else:
+        hot = {0: total}
+    if not hot:
+        return Split(keys, order)
+    count = min(MAX_RANGES, slices)
+    marks = [i / count for i in range(count + 1)]
+    cuts = sample.agg(F.percentile_approx("x", marks, 2_000)).first()[0]
+    if not cuts:
+        return Split(keys, order)
+    edges = sorted(set(cuts))
+    ranges = list(zip(edges, edges[1:])) or [(edges[0], edges[0])]
+    levels: dict[int, list[int]] = {}
+    for h, rows in hot.items():
+        levels.setdefault(max(0, int(math.log2(total / min(rows, total)))), []).append(h)
+    return Split(keys, order, levels, ranges, math.ceil(slices / len(ranges)))

@@ -8,6 +8,7 @@ from ..functions.values import url_param
 from ..operators.assemble import (ambiguous_sides, assemble_wide, left_join, lookup_name,
                                   split_totals)
 from ..operators.ordered import fill_within, number_within, pair_band
+from ..operators.skew import plan_split
 from ..operators.unpack import pivot_sources, unpack_first, unpack_pivot
 from ..sources.captures import Field, odds_records, page_rows, parse_responses
 from ..session import staged
@@ -162,14 +163,17 @@ def fill_hot_type(spark, sf):
     rows = table(spark, sf, "events").select(
         "event_id", "event_type",
         F.when(F.col("value") >= 10, F.col("value")).alias("price"))
-    return fill_within(rows, ["event_type"], "event_id", ["price"])
+    split = plan_split(rows, ["event_type"], "event_id", rows_per_slice=500)
+    return fill_within(rows, ["event_type"], "event_id", ["price"], split)
 
 
 @query("pair_band", """
 SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 2) % 2 AS INTEGER) AS band
 FROM orders""")
 def pair_band_orders(spark, sf):
-    numbered = number_within(table(spark, sf, "orders").select("o_orderkey"), [], "o_orderkey")
+    rows = table(spark, sf, "orders").select("o_orderkey")
+    split = plan_split(rows, [], "o_orderkey", rows_per_slice=1_000)
+    numbered = number_within(rows, [], "o_orderkey", split=split)
     return numbered.select("o_orderkey", pair_band("rn").alias("band"))
 
 

@@ -8,6 +8,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+from ..operators.skew import broadcast_if_small
+
 PARTITION = ["season", "week"]
 
 
@@ -60,10 +62,15 @@ def read_weekly(spark: SparkSession, path: str, schema=None) -> DataFrame | None
 
 def pending(candidates: DataFrame, loaded: DataFrame | None,
             by: list[str] = PARTITION) -> DataFrame:
-    """Candidate rows of partitions not stored yet."""
+    """Candidate rows of partitions not stored yet.
+
+    The list of stored partitions is counted and broadcast when short, so the
+    candidates are not shuffled by a key that one week may dominate.
+    """
     if loaded is None:
         return candidates
-    return candidates.join(loaded.select(*by).distinct(), by, "left_anti")
+    stored = loaded.select(*by).distinct()
+    return candidates.join(broadcast_if_small(stored), by, "left_anti")
 
 
 def append_new(df: DataFrame, path: str, by: list[str] = PARTITION) -> WriteReport:

@@ -36,12 +36,12 @@ def fill_by_hand(data):
     return sorted([(v["g"], p, v[2], v[3]) for p, v in out.items()], key=repr)
 
 
-@pytest.mark.parametrize("share,slices", [(1.1, 4), (0.2, 16), (0.0, 64)])
-def test_fill_equals_plain_fill_however_groups_are_cut(spark, share, slices):
+@pytest.mark.parametrize("size,sample", [(10_000, 9999), (200, 9999), (30, 9999), (7, 150), (1, 9999)])
+def test_fill_equals_plain_fill_however_groups_are_cut(spark, size, sample):
     data = random_rows(7)
     df = spark.createDataFrame(data, SCHEMA).repartition(5, "date")
-    split = plan_split(df, ["g"], "pos", share, slices)
-    assert bool(split.hot) == (share < 1)
+    split = plan_split(df, ["g"], "pos", size, sample)
+    assert bool(split.hot) == (size < 600)
     got = fill_within(df, ["g"], "pos", ["date", "score"], split)
     assert rows(got) == fill_by_hand(data)
 
@@ -52,23 +52,29 @@ def test_fill_plans_its_own_split(spark):
     assert rows(got) == fill_by_hand(data)
 
 
-def test_hot_group_is_spread_over_many_slices(spark):
-    df = spark.range(50_000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("g"),
-                                    F.col("id").alias("pos"))
-    split = plan_split(df, ["g"], "pos")
-    assert len(split.hot) == 1
-    sizes = [r[0] for r in df.where("g = 1").groupBy(split.slice_column()).count()
-             .select("count").collect()]
-    assert len(sizes) > 200 and max(sizes) < 50_000 / 100
+def test_a_third_of_all_rows_in_one_key_is_cut_into_even_slices(spark):
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 20 == 1, -2)
+        .otherwise(F.col("id")).alias("g"), F.pow("id", F.lit(3)).alias("pos"))
+    split = plan_split(df, ["g"], "pos", rows_per_slice=300)
+    assert len(split.hot) == 2 and len(split.levels) == 2 and split.parts > 1
+    sliced = df.select("g", split.slice_column().alias("s")).where("g < 0")
+    sizes = {g: [r["count"] for r in sliced.where(f"g = {g}").groupBy("s").count().collect()]
+             for g in (-1, -2)}
+    assert sum(sizes[-1]) == 100_000 and max(sizes[-1]) < 3_000 and len(sizes[-1]) > 100
+    assert max(sizes[-2]) < 3_000 and len(sizes[-2]) < len(sizes[-1]) / 3
+    ordered = df.where("g = -1").select(split.slice_column().alias("s"), "pos").orderBy("pos")
+    along = [r["s"] for r in ordered.collect()]
+    assert along == sorted(along)
 
 
 @pytest.mark.parametrize("keys", [["g"], []])
-@pytest.mark.parametrize("share", [1.1, 0.0])
-def test_numbering_equals_a_plain_count(spark, keys, share):
+@pytest.mark.parametrize("size", [10_000, 40, 3])
+def test_numbering_equals_a_plain_count(spark, keys, size):
     data = [(r[0], r[1] // 6) for r in random_rows(9)]
     data = [(g, p, i) for i, (g, p) in enumerate(data)]
     df = spark.createDataFrame(data, "g string, pos long, id int").repartition(6, "id")
-    got = number_within(df, keys, "pos", "n", ["id"], plan_split(df, keys, "pos", share, 32))
+    got = number_within(df, keys, "pos", "n", ["id"], plan_split(df, keys, "pos", size))
     want, count = [], {}
     for g, p, i in sorted(data, key=lambda r: (r[1], r[2])):
         k = g if keys else 0

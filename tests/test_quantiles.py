@@ -23,7 +23,7 @@ def test_equals_numpy_through_many_rounds(spark, seed, q):
         "two": [1.0] * 500 + [2.0] * 500,
         "one": [4.5], "none": [],
     }
-    got = exact_quantiles(frame(spark, columns), list(columns), q, gather=3, accuracy=20)
+    got = exact_quantiles(frame(spark, columns), list(columns), q, gather=3, bins=8)
     for name, values in columns.items():
         if not values:
             assert got[name] is None
