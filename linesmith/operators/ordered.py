@@ -6,12 +6,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import staged
 from .skew import MAX_RANGES, SLICE, Split, broadcast_if_small, plan_split
 
 
 def _with_carry(sliced: DataFrame, split: Split, summary: DataFrame) -> DataFrame:
-    """Attach each hot slice's summary: one short row per hot key and slice."""
+    """Attach each hot slice's summary: one short row per hot key and slice.
+
+    The summary is stored, so counting it and joining it compute it once.
+    """
     keys = [*split.keys, SLICE]
+    summary = staged(summary, "carry")
     summary = summary.withColumnsRenamed({k: f"__k_{k}" for k in keys})
     same = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
@@ -40,13 +45,15 @@ def fill_within(df: DataFrame, keys: list[str], order: str, cols: list[str],
     spread = F.pmod(F.xxhash64(order), F.lit(MAX_RANGES)).cast("bigint")
     sliced = clean.withColumn(SLICE, F.when(no_key, spread).otherwise(split.slice_column()))
 
+    # A cell with nothing before it takes the group's first value, so a frame
+    # that looks ahead of every row (quadratic in Spark) is not needed.
     rows = Window.partitionBy(*keys, SLICE).orderBy(order)
     before = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = rows.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    whole = rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ahead = {c: F.last(c, True).over(before) for c in cols}
-    back = {c: F.first(c, True).over(after) for c in cols}
+    first = {c: F.first(c, True).over(whole) for c in cols}
     if not split.hot:
-        return (sliced.withColumns({c: F.coalesce(ahead[c], back[c]) for c in cols})
+        return (sliced.withColumns({c: F.coalesce(ahead[c], first[c]) for c in cols})
                 .select(*df.columns))
 
     summary = sliced.where(split.is_hot()).groupBy(*keys, SLICE).agg(
@@ -54,15 +61,15 @@ def fill_within(df: DataFrame, keys: list[str], order: str, cols: list[str],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__f_{c}") for c in cols])
     slices = Window.partitionBy(*keys).orderBy(SLICE)
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
-    later = slices.rowsBetween(1, Window.unboundedFollowing)
+    group = slices.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     summary = summary.select(
         *keys, SLICE,
         *[F.last(f"__l_{c}", True).over(earlier).alias(f"__p_{c}") for c in cols],
-        *[F.first(f"__f_{c}", True).over(later).alias(f"__n_{c}") for c in cols])
+        *[F.first(f"__f_{c}", True).over(group).alias(f"__g_{c}") for c in cols])
     local = sliced.withColumns({f"__a_{c}": ahead[c] for c in cols}
-                               | {f"__b_{c}": back[c] for c in cols})
+                               | {f"__b_{c}": first[c] for c in cols})
     joined = _with_carry(local, split, summary)
-    filled = {c: F.coalesce(f"__a_{c}", f"__p_{c}", f"__b_{c}", f"__n_{c}") for c in cols}
+    filled = {c: F.coalesce(f"__a_{c}", f"__p_{c}", f"__b_{c}", f"__g_{c}") for c in cols}
     return joined.withColumns(filled).select(*df.columns)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,8 +33,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, gather: int
     bin, the values inside the current brackets (combined map-side, spread
     over the reducers) and keeps the bin holding each wanted rank, until a
     bracket holds one distinct value or at most ``gather`` values, which are
-    then sorted. All columns share the passes, about
-    ``2 + log(rows / gather) / log(bins)`` of them.
+    then sorted. Each histogram reads one column, and later rounds push their
+    bracket into the scan; there are about ``log(rows / gather) / log(bins)``.
     """
     first = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"n_{c}"), F.min(c).cast("double").alias(f"lo_{c}"),
@@ -68,18 +69,15 @@ def _inside(b: Bracket):
 def _narrow(df: DataFrame, want: dict, bins: int) -> dict:
     """One histogram pass: every wanted rank moves to the bin that holds it."""
     brackets = _distinct(want.values())
-    cells = []
+    frames = []
     for i, b in enumerate(brackets):
         x = F.col(b.column).cast("double")
-        at = F.floor((x - b.low) / (b.high - b.low) * bins)
-        cells.append(F.when(_inside(b), F.struct(
-            F.lit(i).alias("i"), F.least(at, F.lit(bins - 1).cast("bigint")).alias("bin"),
-            x.alias("x"))))
-    counted = (df.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
-               .groupBy("c.i", "c.bin")
-               .agg(F.count(F.lit(1)).alias("n"), F.min("c.x").alias("low"),
-                    F.max("c.x").alias("high"))
-               .collect())
+        at = F.least(F.floor((x - b.low) / (b.high - b.low) * bins),
+                     F.lit(bins - 1).cast("bigint"))
+        frames.append(df.where(_inside(b)).groupBy(at.alias("bin")).agg(
+            F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"), F.min(x).alias("low"),
+            F.max(x).alias("high")))
+    counted = reduce(DataFrame.unionByName, frames).collect()
     steps: dict[int, list] = {}
     for r in sorted(counted, key=lambda r: (r["i"], r["bin"])):
         steps.setdefault(r["i"], []).append(r)

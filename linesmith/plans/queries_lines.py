@@ -163,7 +163,7 @@ def fill_hot_type(spark, sf):
     rows = table(spark, sf, "events").select(
         "event_id", "event_type",
         F.when(F.col("value") >= 10, F.col("value")).alias("price"))
-    split = plan_split(rows, ["event_type"], "event_id", rows_per_slice=500)
+    split = plan_split(rows, ["event_type"], "event_id", rows_per_slice=1_000)
     return fill_within(rows, ["event_type"], "event_id", ["price"], split)
 
 
