@@ -192,3 +192,36 @@ def cover_model(spark, sf):
     model = fit_cover_model(train, ["n_chars", "length", "english", "lines"], ["length"], "quality")
     return (model.score(test, "prob")
             .select("doc_id", "quality", F.round("prob", 4).alias("prob")))
+
+
+# Newton's method on the same penalised log loss, two parameters.
+_MODEL_SQL = """
+WITH RECURSIVE d AS (SELECT d.doc_id, quality, d.doc_id % 5 AS season,
+    CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE ln(1 + n_chars) END AS raw
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+med AS (SELECT median(raw) AS mid FROM d WHERE season < 4 AND quality IS NOT NULL),
+f AS (SELECT doc_id, quality, season, coalesce(raw, mid) AS x FROM d, med),
+st AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM f WHERE season < 4 AND quality IS NOT NULL),
+z AS (SELECT (x - m) / s AS z, quality AS y FROM f, st WHERE season < 4 AND quality IS NOT NULL),
+fit AS (SELECT 0 AS it, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b
+  UNION ALL
+  SELECT it + 1, w - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12),
+    b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+  FROM (SELECT it, w, b, sum((p - y) * z) + w AS g1, sum(p - y) AS g2, sum(p * (1 - p) * z * z) + 1 AS h11,
+          sum(p * (1 - p) * z) AS h12, sum(p * (1 - p)) AS h22
+        FROM (SELECT it, w, b, z, y, 1 / (1 + exp(-(w * z + b))) AS p FROM fit, z WHERE it < 25)
+        GROUP BY it, w, b))
+SELECT doc_id, quality, round(1 / (1 + exp(-(w * (x - m) / s + b))), 3) AS prob
+FROM f, st, (SELECT w, b FROM fit ORDER BY it DESC LIMIT 1) WHERE season = 4"""
+
+
+@query("cover_model_single", _MODEL_SQL)
+def cover_model_single(spark, sf):
+    """One feature with missing values; the SQL twin solves the same problem."""
+    size = F.when(F.pmod("doc_id", F.lit(7)) != 0, F.col("n_chars"))
+    docs = table(spark, sf, "documents").select(
+        "doc_id", size.alias("size"), F.pmod("doc_id", F.lit(5)).alias("season"))
+    rows = left_join(docs, table(spark, sf, "labels").select("doc_id", "quality"), ["doc_id"])
+    train, test = season_split(rows, "season", 4)
+    model = fit_cover_model(train, ["size"], ["size"], "quality")
+    return (model.score(test).select("doc_id", "quality", F.round("prob", 3).alias("prob")))
