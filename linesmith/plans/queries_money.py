@@ -123,10 +123,10 @@ def weekly_pnl(spark, sf):
             .withColumn("result", result_flag("net_pnl")))
 
 
-@query("ledger", LEDGER_SQL + "SELECT * EXCLUDE (start) REPLACE (round(bank_before, 6) AS bank_before) FROM ledger")
+@query("ledger", LEDGER_SQL + "SELECT * EXCLUDE (start) REPLACE (round(bank_before, 4) AS bank_before) FROM ledger")
 def ledger(spark, sf):
     return (_ledger(spark, sf).drop("start")
-            .withColumn("bank_before", F.round("bank_before", 6)))
+            .withColumn("bank_before", F.round("bank_before", 4)))
 
 
 @query("wealth_curve", LEDGER_SQL + """
