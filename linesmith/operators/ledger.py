@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.betting import cents, confident, edge, kelly, roi_percent, settle, stake
 from ..functions.values import dollars, let
-from ..session import scratch_folder
+from ..session import scratch_folder, staged
 from .skew import broadcast_if_small
 
 CLASS_LIMIT = 20_000
@@ -65,7 +65,8 @@ def run_ledger(rows: DataFrame, strategies: Iterable[Strategy], keys: list[str],
     still counts. The stake classes are written once to the shared folder.
     Keys with at most ``class_limit`` classes are folded in one expression per
     key, strategies being expanded only after the shuffle; larger keys are
-    settled week by week with distributed sums. Both are exact.
+    settled week by week with distributed sums. Both are exact. The ledger is
+    stored too: bets, records, curves and stories all read it.
     """
     strategies = list(strategies)
     spark = rows.sparkSession
@@ -77,10 +78,10 @@ def run_ledger(rows: DataFrame, strategies: Iterable[Strategy], keys: list[str],
     large = (classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
              .where(F.col("__n") > class_limit).select(*keys))
     if large.isEmpty():
-        return _fold(classes, strategies, keys)
+        return staged(_fold(classes, strategies, keys), "ledger-rows")
     large = broadcast_if_small(large)
     small = _fold(classes.join(large, keys, "left_anti"), strategies, keys)
-    return small.unionByName(
+    return staged(small, "ledger-rows").unionByName(
         _rounds(classes.join(large, keys, "left_semi"), strategies, keys, folder))
 
 

@@ -24,7 +24,7 @@ BROADCAST_ROWS = 200_000
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; a larger table joins by shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def key_hash(keys) -> Column:
