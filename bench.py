@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from linesmith.plans.catalog import all_queries  # noqa: E402
 from linesmith.session import local_session  # noqa: E402
 
-HEADLINE = ["assemble_wide", "unpack_first_events", "opening_lines", "pivot_books",
+HEADLINE = ["unpack_first_events", "opening_lines", "pivot_books", "assemble_wide",
             "team_lookup", "fill_within_user", "fill_hot_type", "opponents", "line_movement",
             "game_grain", "dedupe_keys", "impute_median", "exact_medians", "kelly_settle",
             "weekly_pnl", "ledger", "season_record", "pick_strings", "odds_response",

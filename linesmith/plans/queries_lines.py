@@ -20,11 +20,14 @@ def _comma(parts: list[str]) -> str:
     return ",\n  ".join(parts)
 
 
-@query("unpack_first_events", f"""
-SELECT user_id, {_comma([f"arg_min(value, event_id) FILTER (WHERE event_type = '{k}' AND value IS NOT NULL) AS first_{k}" for k in ("click", "view", "purchase", "signup", "error")])}
-FROM events WHERE user_id IS NOT NULL GROUP BY user_id""")
+EVENTS = ("click", "view", "purchase", "signup", "error")
+
+
+@query("unpack_first_events", "SELECT user_id, " + _comma([
+    f"arg_min(value, event_id) FILTER (WHERE event_type = '{k}' AND value IS NOT NULL) AS first_{k}"
+    for k in EVENTS]) + " FROM events WHERE user_id IS NOT NULL GROUP BY user_id")
 def unpack_first_events(spark, sf):
-    spec = {f"first_{k}": (k, "value") for k in ("click", "view", "purchase", "signup", "error")}
+    spec = {f"first_{k}": (k, "value") for k in EVENTS}
     return unpack_first(table(spark, sf, "events"), ["user_id"], "event_type", ["event_id"],
                         spec, unique_order=True)
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from linesmith.schema import weekly_schema
 from linesmith.session import scratch_folder, staged
