@@ -9,7 +9,9 @@ from .mixing import mix, sized
 from .registry import query, table
 from .rules import judge_hosts, rule_columns, with_verdict
 from .sharding import shard_by_bytes
+from .simhash import near_duplicates
 from .sketch import as_text, containment, edited, sketch, with_next
+from .suffixes import without_repeats
 from ..session import staged
 
 MIX = {"share": 1.5, "weights": (5.0, 2.0, 1.0), "epochs": 2}
@@ -98,3 +100,15 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     measured = staged(rule_columns(table(spark, folder, "documents")).drop("text"), "rules")
     return with_verdict(measured, judge_hosts(measured)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op2_simhash_components")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), F.col("first.id").alias("component_id"))
+
+
+@query("op9_substring_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    cut = without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", F.col("cut_words").alias("n_words"), F.col("cut_removed").alias("n_removed"), F.sha2("cut_kept", 256).alias("kept_sha256"))
