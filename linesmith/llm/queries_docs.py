@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mixing import mix, sized
+from .packing import pack_documents
 from .registry import query, table
 from .rules import judge_hosts, rule_columns, with_verdict
 from .sharding import shard_by_bytes
@@ -16,6 +17,14 @@ from ..session import staged
 
 MIX = {"share": 1.5, "weights": (5.0, 2.0, 1.0), "epochs": 2}
 SHARDS = 40
+CAPACITY = 2048
+
+
+def vocabulary() -> str:
+    """The path of the packed sequences' tokenizer, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 _MIX_SQL = r"""
 WITH d AS (
@@ -112,3 +121,9 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     cut = without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select("doc_id", F.col("cut_words").alias("n_words"), F.col("cut_removed").alias("n_removed"), F.sha2("cut_kept", 256).alias("kept_sha256"))
+
+
+@query("op3_best_fit_packing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack_documents(table(spark, folder, "documents"), vocabulary(), CAPACITY)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
