@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .mixing import mix, sized
 from .packing import pack_documents
+from .perplexity import classify
 from .registry import query, table
 from .rules import judge_hosts, rule_columns, with_verdict
 from .sharding import shard_by_bytes
@@ -127,3 +128,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     packed = pack_documents(table(spark, folder, "documents"), vocabulary(), CAPACITY)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").where((F.col("quality") == 1) & (F.col("toxic") == 0))
+    return classify(table(spark, folder, "documents"), trusted)
