@@ -14,8 +14,8 @@ inside their range.
 Null or empty text has size 0; such documents finish where they stand and take
 nothing. A null source is a source of its own, the last. Repeated rows are
 documents like any other in :func:`mix`; :func:`mixed_documents` takes rows
-equal in all columns as one. Empty tables give empty results. Helper columns
-start with ``mix_``; a column of the input must not.
+equal in all columns as one. Empty tables give empty results. Columns of the
+input may have any other names.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .texts import row_hash, salts, text_of, words
+from .texts import as_row, row_hash, salts, text_of, words
 
 
 def cyclic_weights(totals: DataFrame, weights: tuple[float, ...]) -> DataFrame:
@@ -116,9 +116,9 @@ def mixed_documents(docs: DataFrame, *, share: float, weights: tuple[float, ...]
     Columns are those of the input. Rows equal in every column are one document.
     A text without words has no size to meter; it is in the mix once.
     """
-    keyed = docs.withColumn("mix_a", row_hash(docs, "a")).withColumn("mix_b", row_hash(docs, "b"))
-    narrow = staged(keyed.select("mix_a", "mix_b", F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"),
-                                 F.size(words(text_of())).cast("long").alias("mix_size"))
+    keyed = docs.select(as_row(docs).alias("mix_doc"), row_hash(docs, "a").alias("mix_a"), row_hash(docs, "b").alias("mix_b"))
+    narrow = staged(keyed.select("mix_a", "mix_b", F.col("mix_doc.doc_id").alias("mix_id"), F.col("mix_doc.source").alias("mix_source"),
+                                 F.size(words(text_of("mix_doc.text"))).cast("long").alias("mix_size"))
                     .dropDuplicates(["mix_a", "mix_b"])
                     .withColumn("mix_row", F.concat_ws(":", "mix_a", "mix_b")), "sizes")
     placed = mix(narrow, share=share, weights=weights, epochs=epochs, seed=seed)
@@ -126,4 +126,4 @@ def mixed_documents(docs: DataFrame, *, share: float, weights: tuple[float, ...]
     copies = taken.groupBy("mix_a", "mix_b").agg(F.collect_list("mix_finish").alias("mix_times"))
     out = (keyed.dropDuplicates(["mix_a", "mix_b"]).join(copies, ["mix_a", "mix_b"])
            .withColumn("mix_finish", F.explode("mix_times")))
-    return out.repartitionByRange(F.col("mix_finish"), F.col("mix_a")).sortWithinPartitions("mix_finish", "mix_a").select(*docs.columns)
+    return out.repartitionByRange(F.col("mix_finish"), F.col("mix_a")).sortWithinPartitions("mix_finish", "mix_a").select("mix_doc.*")

@@ -15,8 +15,7 @@ each length, salted so that a length shared by a third of all rows is numbered
 in slices, and a join with the plan's runs gives each its place.
 
 Null text is an empty one; its one piece holds the end token. Equal rows are
-packed each by itself. Without rows there are no sequences. Helper columns
-start with ``pack_``.
+packed each by itself. Without rows there are no sequences.
 """
 
 from __future__ import annotations

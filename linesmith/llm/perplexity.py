@@ -16,7 +16,6 @@ thousandths of the log, from counts.
 Null and empty texts have no perplexity and are not kept. A null language is a
 language of its own; one without trusted documents has no limit and keeps all
 texts that have a perplexity. Without any trusted text the model is uniform.
-Helper columns start with ``kn_``.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ capacity. A block above an even share, which no cut can lower, comes first in
 the order and fills a shard, so the other shards stay even beside it.
 
 Null text is an empty one. Equal rows are in one shard and have slots of their
-own. Without rows there are no shards. Helper columns start with ``shard_``.
+own. Without rows there are no shards.
 """
 
 from __future__ import annotations

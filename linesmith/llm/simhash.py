@@ -32,7 +32,7 @@ from ..session import staged
 from .graph import components
 from .golay import keys as golay_keys
 from .shipping import ship
-from .texts import row_hash, text_of
+from .texts import as_row, row_hash, text_of
 
 ship(__name__)
 
@@ -125,7 +125,9 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", id: str = "doc_id",
 
 def one_of_each(docs: DataFrame, *, shingle: int = 3, bits: int = 2) -> DataFrame:
     """The rows with the least id of each group of near duplicates, one per group."""
-    keyed = docs.withColumn("near_a", row_hash(docs, "a")).withColumn("near_b", row_hash(docs, "b"))
-    found = near_duplicates(keyed, keep=("near_a", "near_b"), shingle=shingle, bits=bits)
+    keyed = docs.select(as_row(docs).alias("near_doc"), F.col("doc_id").alias("near_id"), F.col("text").alias("near_text"),
+                        row_hash(docs, "a").alias("near_a"), row_hash(docs, "b").alias("near_b"))
+    found = near_duplicates(keyed, text="near_text", id="near_id", keep=("near_a", "near_b"), shingle=shingle, bits=bits)
     kept = found.select("first.near_a", "first.near_b").distinct()
-    return keyed.join(kept, ["near_a", "near_b"], "left_semi").dropDuplicates(["near_a", "near_b"]).select(*docs.columns)
+    return (keyed.select("near_doc", "near_a", "near_b").join(kept, ["near_a", "near_b"], "left_semi")
+            .dropDuplicates(["near_a", "near_b"]).select("near_doc.*"))

@@ -8,15 +8,15 @@ which leaves no text with words without a sketch and merges like a minimum.
 
 Null text is an empty one and has an empty sketch; two empty sketches are alike
 (1), an empty and another one are not (0). A text shorter than a shingle is one
-shingle. Helper columns start with ``sketch_``.
+shingle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .texts import let, salts, text_of, words
+from .texts import as_row, fields, let, salts, words
 
 
 def sketch(text: Column, shingle: int = 5, fraction: float = 1 / 8) -> Column:
@@ -57,9 +57,18 @@ def with_next(docs: DataFrame, columns: list[str], id: str = "doc_id") -> DataFr
     table, so each range's first row is known before any row moves: it is sent to
     its own range and, as a guest, to the end of the range before. The texts move
     once, and no range needs another one's rows. Null ids come last; equal ids
-    follow in order of the other columns.
+    follow in order of the other columns. A column of the input with the name of
+    a new one is replaced.
     """
-    spark = docs.sparkSession
+    spark, names = docs.sparkSession, docs.columns
+    follow = [f"next_{c}" for c in columns]
+    own = [f"sketch_{k}" for k in range(len(columns))]
+    rows = docs.select(as_row(docs).alias("sketch_row"), F.col(id).alias("sketch_id"), *[F.col(c).alias(o) for c, o in zip(columns, own, strict=True)])
+    done = _with_next(spark, rows, "sketch_id", own)
+    return done.select(*fields("sketch_row", names, tuple(follow)), *[F.col(f"next_{o}").alias(n) for o, n in zip(own, follow, strict=True)])
+
+
+def _with_next(spark: SparkSession, docs: DataFrame, id: str, columns: list[str]) -> DataFrame:
     wanted = salts(spark)
     found = docs.agg(F.percentile_approx(id, F.array(*[F.lit(i / wanted) for i in range(wanted)]), F.lit(4 * wanted)), F.min(id)).first()
     bounds = sorted({found[1], *(found[0] or [])} - {None})

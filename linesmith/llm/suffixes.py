@@ -233,10 +233,12 @@ def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     """
     parts = shuffle_width(docs.sparkSession)
     content = text_of(text)
+    added = ("cut_words", "cut_removed", "cut_kept")
+    others = [c for c in docs.columns if c != text and c not in added]
     own = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(LAST_ID)).alias("cut_id"),
         F.shiftleft(F.xxhash64(content).bitwiseAND(F.lit((1 << 24) - 1)), START_BITS).alias("cut_at"),
-        content.cast("binary").alias("cut_text"), F.struct(*docs.columns if text not in docs.columns else [c for c in docs.columns if c != text]).alias("cut_row"),
+        content.cast("binary").alias("cut_text"), F.struct(F.lit(None).cast("int").alias("cut_none"), *[F.col(f"`{c}`") for c in others]).alias("cut_row"),
         F.col(text).isNull().alias("cut_null"))
     # 1: keys that occur more than once
     keyed = own.mapInArrow(_key_rows(width, key), "cut_key long, cut_id long, cut_at long")
@@ -269,5 +271,5 @@ def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     row_type = dict(own.dtypes)["cut_row"]
     done = joined.mapInArrow(_kept_rows(width, ["cut_row", "cut_text", "cut_null"]),
                              f"cut_row {row_type}, cut_text binary, cut_null boolean, cut_words long, cut_removed long, cut_kept binary")
-    originals = [F.when(~F.col("cut_null"), F.col("cut_text").cast("string")).alias(c) if c == text else F.col(f"cut_row.`{c}`") for c in docs.columns]
+    originals = [F.when(~F.col("cut_null"), F.col("cut_text").cast("string")).alias(c) if c == text else F.col(f"cut_row.`{c}`") for c in docs.columns if c not in added]
     return done.select(*originals, "cut_words", "cut_removed", F.col("cut_kept").cast("string").alias("cut_kept"))

@@ -47,3 +47,14 @@ def row_hash(df: DataFrame, seed: str) -> Column:
     """A hash of the whole row; types that cannot be hashed go through JSON."""
     plain = [F.to_json(F.struct(c)) if t.startswith("map") or t == "variant" else F.col(f"`{c}`") for c, t in df.dtypes]
     return F.xxhash64(F.lit(seed), *plain)
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns in one struct, so that helper columns beside it cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def fields(row: str, columns: list[str], without: tuple[str, ...] = ()) -> list[Column]:
+    """The columns back from the struct, but those that new ones of the same name replace."""
+    gone = {c.lower() for c in without}
+    return [F.col(f"{row}.`{c}`") for c in columns if c.lower() not in gone]
