@@ -20,11 +20,17 @@ packed each by itself. Without rows there are no sequences.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
+import sys
+import types
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,15 +40,48 @@ from .texts import salt, salts, text_of
 
 ship(__name__)
 
-WORD_CACHE = 1 << 19
+RUN_CACHE, PIECE_CACHE = 1 << 19, 1 << 19
+AT_ONCE = 1 << 23  # bytes of text tokenized in one go
 
 
-class WordTokens(dict):
+#: The normalizer and splitter of vocabularies whose pieces are cut here, and the same cut for plain runs.
+NORMAL = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
+CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones themselves, the others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in plain else next(rest)) for b in range(256)]
+
+
+class PieceTokens(dict):
+    """Token bytes of each piece of a run, from the tokenizer's model."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= PIECE_CACHE:
+            self.clear()
+        found = self.model.tokenize(piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()]))
+        value = self[piece] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        return value
+
+
+class RunTokens(dict):
     """Token bytes of each run of non-blanks; forgotten when there are too many.
 
     Only for tokenizers that drop white space: a text's tokens are then those of
     its runs in a row. Runs are split at ASCII white space, which every such
-    tokenizer takes for white space.
+    tokenizer takes for white space. Where the tokenizer lowers, splits and maps
+    bytes in the usual way, runs of Latin letters and marks are cut into pieces
+    here, and a piece goes to the tokenizer's model once; all other runs go
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -50,20 +89,49 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        made = json.loads(self.tokenizer.to_str())
+        steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        usual = ([n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])] == NORMAL and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+                 and steps[0]["pattern"] == {"Regex": SPLIT} and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"])
+        self.pieces = PieceTokens(self.tokenizer.model) if usual else None
+        self.added = [t["content"] for t in made["added_tokens"]]
+
+    def __missing__(self, run: bytes) -> bytes:
+        if len(self) >= RUN_CACHE:
+            self.clear()
+        text = run.decode()
+        if self.pieces is not None and PLAIN.fullmatch(text) and not any(a in text for a in self.added):
+            value = b"".join(map(self.pieces.__getitem__, CUT.findall(text.lower())))
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            value = struct.pack(f"<{len(ids)}I", *ids)
+        self[run] = value
+        return value
+
+    def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text. Each distinct run of some megabytes of text is looked up once."""
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        slices = np.flatnonzero(np.diff(np.cumsum(sizes) // AT_ONCE, prepend=-1))
+        for start, stop in zip(slices, [*slices[1:], len(texts)][:len(slices)], strict=True):
+            runs = pc.ascii_split_whitespace(texts[start:stop])
+            flat = runs.flatten().dictionary_encode()
+            coded = list(map(self.__getitem__, flat.dictionary.cast(pa.binary()).to_pylist()))
+            known, lengths = np.frombuffer(b"".join(coded), dtype="<u4"), np.fromiter(map(len, coded), dtype=np.int32, count=len(coded)) // 4
+            at = flat.indices.to_numpy()
+            counts, firsts = lengths[at], (np.cumsum(lengths) - lengths)[at]
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            ids = known[np.repeat((firsts - ends[:-1]).astype(np.int32), counts) + np.arange(ends[-1], dtype=np.int32)]
+            edges = ends[runs.offsets.to_numpy() - runs.offsets[0].as_py()]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield ids[a:b]
+
 
-    def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        for text in texts:
-            parts = text.split()
-            new = list({p for p in parts if p not in self})
-            if len(self) + len(new) > WORD_CACHE:
-                self.clear()
-                new = list(set(parts))
-            for at in range(0, len(new), 10_000):
-                batch = new[at:at + 10_000]
-                for part, coded in zip(batch, self.tokenizer.encode_batch([p.decode() for p in batch], add_special_tokens=False), strict=True):
-                    self[part] = np.array(coded.ids, dtype="<u4").tobytes()
-            yield b"".join(map(self.__getitem__, parts))
+def run_tokens(path: str) -> RunTokens:
+    """The tokens this Python worker knows, kept from task to task."""
+    state = sys.modules.setdefault("worker_token_caches", types.ModuleType("worker_token_caches"))
+    if path not in vars(state):
+        vars(state)[path] = RunTokens(path)
+    return vars(state)[path]
 
 
 def pieces(docs: DataFrame, vocabulary: str, *, capacity: int, id: str = "doc_id", text: str = "text", end: int = 0) -> DataFrame:
@@ -73,11 +141,11 @@ def pieces(docs: DataFrame, vocabulary: str, *, capacity: int, id: str = "doc_id
     white space; executors read it there.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tail, step = WordTokens(vocabulary), np.array([end], dtype="<u4").tobytes(), 4 * capacity
+        known, tail, step = run_tokens(vocabulary), np.array([end], dtype="<u4").tobytes(), 4 * capacity
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc, ids in zip(batch.column(0).to_pylist(), known.of(batch.column(1).to_pylist()), strict=True):
-                ids += tail
+            for doc, found in zip(batch.column(0).to_pylist(), known.of(batch.column(1)), strict=True):
+                ids = found.tobytes() + tail
                 for k in range(0, len(ids), step):
                     cut = ids[k:k + step]
                     for column, value in zip(out, (doc, k // step, k // 4, len(cut) // 4, cut), strict=True):
@@ -86,7 +154,7 @@ def pieces(docs: DataFrame, vocabulary: str, *, capacity: int, id: str = "doc_id
                 [pa.array(c, t) for c, t in zip(out, (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
                 names=[id, "piece", "start", "length", "ids"])
     kind = dict(docs.dtypes)[id]
-    return docs.select(id, text_of(text).cast("binary").alias("pack_text")).mapInArrow(rows, f"`{id}` {kind}, piece int, start long, length long, ids binary")
+    return docs.select(id, text_of(text).alias("pack_text")).mapInArrow(rows, f"`{id}` {kind}, piece int, start long, length long, ids binary")
 
 
 @dataclass(frozen=True)
