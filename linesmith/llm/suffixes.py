@@ -5,23 +5,25 @@ it. Only the first ``width`` words of a suffix matter, so trees end at that
 depth. Suffixes are split by a prefix of variable length: it ends with the key,
 the run of ``key`` words with the least hash inside the window. Equal windows
 have equal prefixes, neighbours mostly share their key, and the suffixes of one
-key in a row travel as one chunk of text.
-
-1. The chunks' keys are counted. A key that occurs once has no repeat; its
-   suffixes go no further, and their text never moves.
-2. Chunks equal in all words are copies: the first one stands for them, and the
-   others are repeats from end to end. However hot a passage is, one chunk of it
-   goes on.
-3. The chunks that are left are dealt out by key in groups that fit memory. Each
-   group's suffixes are sorted, neighbours' common prefixes give the subtree, and
-   its nodes as deep as the window are the repeats; all but the first start are
-   marked. Keys with more chunks than a group may have are split further by the
-   longest prefix, the whole window: its leaves are then counted instead.
+key in a row are handled as one chunk.
+
+1. Chunks are dealt out by key as hashes, without their text. Chunks equal in
+   all words are copies: the first one stands for them, and the others are
+   repeats from end to end. A task sends the first of its copies only, so however
+   hot a passage is, each task sends it once.
+2. A key that leaves a single chunk has no other repeat. Of keys with several
+   chunks these are fetched as text, and dealt out by key in groups that fit
+   memory. A key with more chunks than ``largest`` is split by the longest
+   prefix, the whole window.
+3. Each group's suffixes are sorted, neighbours' common prefixes give the
+   subtree, and its nodes as deep as the window are the repeats: all but the
+   first start are marked.
 4. Words that a marked window covers are removed.
 
 Order is that of ids, then of starts. Null text has no words. Null ids come
 last. Rows with equal ids are documents of their own in order of a hash of
 their text; rows with equal ids and texts are one document and get one result.
+Columns of the input that are named like the new ones are replaced.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .shipping import ship
 from .texts import shuffle_width, text_of
 
@@ -82,47 +85,152 @@ def chunks_of(hashes: np.ndarray, width: int, key: int) -> tuple[np.ndarray, np.
     return first, np.diff(np.append(first, windows)), runs[least[first]]
 
 
-def _hashed(parts: list[bytes], known: WordHashes) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
+SENT = ["cut_key", "cut_same", "cut_id", "cut_at", "cut_n", "cut_copy"]
+SENT_TYPES = "cut_key long, cut_same long, cut_id long, cut_at long, cut_n long, cut_copy boolean"
 
 
-def _batch(**columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+def _batch(names: list[str], *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _key_rows(width: int, key: int):
+def _runs(ids: np.ndarray, ats: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adjoining stretches of a document as one: (id, first start, number of starts)."""
+    order = np.lexsort((ats, ids))
+    ids, ats, counts = ids[order], ats[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ats[1:] != ats[:-1] + counts[:-1])]))
+    return ids[first], ats[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _marked(ids: np.ndarray, ats: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Rows for repeats."""
+    ids, ats, counts = _runs(ids, ats, counts)
+    none = np.zeros(len(ids), dtype=np.int64)
+    return _batch(SENT, none, none, ids, ats, counts, np.ones(len(ids), dtype=bool))
+
+
+def _leaders(ids: np.ndarray, ats: np.ndarray, *names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in order of ``names``, id and start; whether each is the first of its names, and whether a later start repeats it."""
+    order = np.lexsort((ats, ids, *names[::-1]))
+    new = np.concatenate([[True], np.any([n[order][1:] != n[order][:-1] for n in names], axis=0)])
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = ~new & ((ids[order] != ids[first]) | (ats[order] != ats[first]))
+    return order, new, later
+
+
+def chunk_hashes(hashes: np.ndarray, first: np.ndarray, count: np.ndarray, width: int) -> np.ndarray:
+    """A hash of all words of each chunk, from running sums: an odd factor has an inverse."""
+    factor, inverse = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
+    powers = np.cumprod(np.full(len(hashes), factor, dtype=np.uint64))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(hashes * powers)])
+    back = np.cumprod(np.full(len(hashes) + 1, inverse, dtype=np.uint64))
+    out = (sums[first + count + width - 1] - sums[first]) * back[first] + count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(31))
+
+
+def _sent_rows(width: int, key: int):
+    """The chunks of each document, the first of a batch's copies only; the other copies are marked at once."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            ids, offsets, texts = (batch.column(k) for k in ("cut_id", "cut_at", "cut_text"))
-            found = []
-            for text in texts:
-                first, _, keys = chunks_of(_hashed(text.as_py().split(), known), width, key)
-                found.append((first, keys))
-            times = np.array([len(f) for f, _ in found], dtype=np.int64)
-            if times.sum():
-                yield _batch(cut_key=np.concatenate([k for _, k in found]).view(np.int64), cut_id=np.repeat(ids.to_numpy(), times),
-                             cut_at=np.concatenate([f for f, _ in found]) + np.repeat(offsets.to_numpy(), times))
+            found, times = [], []
+            for text in batch.column("cut_text"):
+                parts = text.as_py().split()
+                hashes = np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
+                first, count, keys = chunks_of(hashes, width, key)
+                times.append(len(first))
+                if len(first):
+                    found.append((keys, chunk_hashes(hashes, first, count, width), first, count))
+            if not found:
+                continue
+            keys, same, first, count = (np.concatenate(c) for c in zip(*found, strict=True))
+            keys, same = keys.view(np.int64), same.view(np.int64)
+            ids = np.repeat(batch.column("cut_id").to_numpy(), times)
+            ats = first + np.repeat(batch.column("cut_at").to_numpy(), times)
+            order, new, later = _leaders(ids, ats, keys, same)
+            lead, again = order[new], order[later]
+            yield _batch(SENT, keys[lead], same[lead], ids[lead], ats[lead], count[lead], np.zeros(len(lead), dtype=bool))
+            if len(again):
+                yield _marked(ids[again], ats[again], count[again])
     return rows
 
 
-def _chunk_rows(width: int, key: int):
+def _first_rows(largest: int):
+    """Copies as marks, and the chunks of keys that have several, from rows in order of key, words, id and start.
+
+    What goes on from one batch to the next is the last chunk that leads its
+    copies, how many chunks its key has so far, and whether it was sent.
+    ``cut_crowd`` is true for one row of a key that has more than ``largest``.
+    """
+    names = ["cut_key", "cut_id", "cut_at", "cut_n", "cut_copy", "cut_crowd"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, before, sent = None, 0, False
+        for batch in batches:
+            copy = batch.column("cut_copy").to_numpy(zero_copy_only=False)
+            if copy.any():
+                part = batch.filter(pa.array(copy))
+                yield _batch(names, *(part.column(c) for c in ("cut_key", "cut_id", "cut_at", "cut_n", "cut_copy")), np.zeros(part.num_rows, dtype=bool))
+                batch = batch.filter(pa.array(~copy))
+            if not batch.num_rows:
+                continue
+            key, same, ids, ats, count = (batch.column(c).to_numpy() for c in SENT[:5])
+            if held is not None:
+                key, same, ids, ats, count = (np.concatenate([[h], c]) for h, c in zip(held, (key, same, ids, ats, count), strict=True))
+            order, new, later = _leaders(ids, ats, key, same)  # in order already, but for the ties of equal rows
+            assert held is None or order[0] == 0
+            lead = order[new]
+            starts = np.flatnonzero(np.concatenate([[True], key[lead][1:] != key[lead][:-1]]))
+            sizes = np.diff(np.append(starts, len(lead)))
+            sizes[0] += max(before - 1, 0)  # chunks of the first key in earlier batches, but for the held one
+            number = np.repeat(sizes, np.diff(np.append(starts, len(lead))))
+            place = np.arange(len(lead)) - np.repeat(starts, np.diff(np.append(starts, len(lead))))
+            place[:len(lead) if len(starts) == 1 else starts[1]] += max(before - 1, 0)
+            wanted = number > 1
+            if held is not None and sent:
+                wanted[0] = False
+            pick = lead[wanted]
+            if len(pick):
+                yield _batch(names, key[pick], ids[pick], ats[pick], count[pick], np.zeros(len(pick), dtype=bool), place[wanted] == largest)
+            again = order[later]
+            if len(again):
+                marks = _marked(ids[again], ats[again], count[again])
+                yield _batch(names, *(marks.column(c) for c in ("cut_key", "cut_id", "cut_at", "cut_n", "cut_copy")), np.zeros(marks.num_rows, dtype=bool))
+            last = lead[-1]
+            held, before, sent = tuple(c[last] for c in (key, same, ids, ats, count)), int(sizes[-1]), bool(sizes[-1] > 1)
+    return rows
+
+
+def _text_rows(width: int):
+    """The wanted chunks with their words; those of crowded keys window by window, under a hash of the window."""
+    names = ["cut_key", "cut_id", "cut_at", "cut_n", "cut_words", "cut_copy"]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        known = WordHashes()
         for batch in batches:
-            out: dict[str, list] = {"cut_key": [], "cut_same": [], "cut_id": [], "cut_at": [], "cut_n": [], "cut_words": []}
-            for id, offset, text, starts in zip(*(batch.column(k).to_pylist() for k in ("cut_id", "cut_at", "cut_text", "cut_starts")), strict=True):
+            out: list[tuple] = []
+            split: list[tuple] = []
+            for id, offset, text, wanted in zip(*(batch.column(k).to_pylist() for k in ("cut_id", "cut_at", "cut_text", "cut_wanted")), strict=True):
                 parts = text.split()
-                first, count, keys = chunks_of(_hashed(parts, known), width, key)
-                for i in np.searchsorted(first, np.sort(np.array(starts, dtype=np.int64) - offset)):
-                    at, n = int(first[i]), int(count[i])
-                    words = b" ".join(parts[at:at + n - 1 + width])
-                    for name, value in zip(out, (keys[i].astype(np.int64), xxhash.xxh64_intdigest(words, 1) - (1 << 63), id, at + offset, n, words), strict=True):
-                        out[name].append(value)
-            if out["cut_id"]:
-                yield _batch(**out)
+                for x in wanted:
+                    at = x["cut_at"] - offset
+                    if not x["cut_crowd"]:
+                        out.append((x["cut_key"], id, x["cut_at"], x["cut_n"], b" ".join(parts[at:at + x["cut_n"] - 1 + width])))
+                        continue
+                    for k in range(x["cut_n"]):
+                        window = b" ".join(parts[at + k:at + k + width])
+                        split.append((xxhash.xxh64_intdigest(window, 2) - (1 << 63), id, x["cut_at"] + k, 1, window))
+            if split:  # as with chunks, a batch sends the first of equal windows
+                keys, ids, ats = (np.array(c) for c in list(zip(*split, strict=True))[:3])
+                other = np.array([xxhash.xxh64_intdigest(w[4], 3) for w in split], dtype=np.uint64)
+                order, new, later = _leaders(ids, ats, keys, other)
+                out += [split[i] for i in order[new]]
+                again = order[later]
+                if len(again):
+                    marks = _marked(ids[again], ats[again], np.ones(len(again), dtype=np.int64))
+                    yield _batch(names, *(marks.column(c) for c in names[:4]), pa.nulls(marks.num_rows, pa.binary()), marks.column("cut_copy"))
+            if out:
+                yield _batch(names, *zip(*out, strict=True), np.zeros(len(out), dtype=bool))
     return rows
 
 
@@ -142,35 +250,29 @@ def repeats(texts: list[bytes], counts: np.ndarray, ids: np.ndarray, ats: np.nda
     order = np.lexsort((place, owner, *heads.T[::-1]))
     heads = heads[order]
     depth = np.where((same := heads[1:] == heads[:-1]).all(axis=1), width, same.argmin(axis=1))
-    again = order[1:][depth >= width]
+    above = np.concatenate([[True], depth < width])  # a new node begins
+    first = order[np.maximum.accumulate(np.where(above, np.arange(len(order)), 0))]
+    again = order[~above & ((owner[order] != owner[first]) | (place[order] != place[first]))]
     return owner[again], place[again]
 
 
-def _runs(ids: np.ndarray, ats: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Consecutive starts of a document as (id, first, number)."""
-    order = np.lexsort((ats, ids))
-    ids, ats = ids[order], ats[order]
-    first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ats[1:] != ats[:-1] + 1)]))
-    return ids[first], ats[first], np.diff(np.append(first, len(ids)))
-
-
 def _tree_rows(width: int, group: int):
-    """Copies pass as they are; other chunks come in order of key and are gathered into groups."""
+    """Marks pass as they are; chunks come in order of key and are gathered into groups of whole keys."""
     names = ["cut_id", "cut_at", "cut_n"]
 
     def solve(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(parts)
         ids, ats = repeats(rows["cut_words"].to_pylist(), rows["cut_n"].to_numpy(), rows["cut_id"].to_numpy(), rows["cut_at"].to_numpy(), width)
         if len(ids):
-            yield _batch(**dict(zip(names, _runs(ids, ats), strict=True)))
+            yield _batch(names, *_runs(ids, ats, np.ones(len(ids), dtype=np.int64)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            first = batch.column("cut_first").to_numpy(zero_copy_only=False)
-            if not first.all():
-                yield batch.filter(pa.array(~first)).select(names)
-                batch = batch.filter(pa.array(first))
+            copy = batch.column("cut_copy").to_numpy(zero_copy_only=False)
+            if copy.any():
+                yield batch.filter(pa.array(copy)).select(names)
+                batch = batch.filter(pa.array(~copy))
             if batch.num_rows:
                 held.append(batch)
             if sum(b.num_rows for b in held) >= group:
@@ -185,23 +287,6 @@ def _tree_rows(width: int, group: int):
     return rows
 
 
-def _leaf_rows(width: int):
-    """Each suffix of a chunk, with two hashes of its window."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            out: list[tuple] = []
-            for id, at, n, text in zip(*(batch.column(k).to_pylist() for k in ("cut_id", "cut_at", "cut_n", "cut_words")), strict=True):
-                parts = text.split(b" ")
-                for k in range(n):
-                    window = b" ".join(parts[k:k + width])
-                    out.append((xxhash.xxh64_intdigest(window, 2) - (1 << 63), xxhash.xxh64_intdigest(window, 3) - (1 << 63), id, at + k))
-            if out:
-                yield _batch(**{n: list(c) for n, c in zip(("cut_one", "cut_two", "cut_id", "cut_at"), zip(*out, strict=True), strict=True)})
-    return rows
-
-
 def _kept_rows(width: int, names: list[str]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,13 +308,13 @@ def _kept_rows(width: int, names: list[str]):
     return rows
 
 
-def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 20, key: int = 6, group: int = 20_000, largest: int = 200_000) -> DataFrame:
+def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 20, key: int = 6, group: int = 20_000, largest: int = 100_000) -> DataFrame:
     """The rows with ``cut_words``, ``cut_removed`` and ``cut_kept``, the kept words joined by one space.
 
     ``group`` is the number of chunks whose tree is built at once, ``largest``
     the number above which one key's chunks are split by whole windows; neither
-    changes the result. The documents' texts are shuffled once, by id: every
-    step that needs them reads the same exchange.
+    changes the result. The texts are shuffled once, by id: fetching chunks and
+    removing words read the same exchange.
     """
     parts = shuffle_width(docs.sparkSession)
     content = text_of(text)
@@ -240,33 +325,27 @@ def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
         F.shiftleft(F.xxhash64(content).bitwiseAND(F.lit((1 << 24) - 1)), START_BITS).alias("cut_at"),
         content.cast("binary").alias("cut_text"), F.struct(F.lit(None).cast("int").alias("cut_none"), *[F.col(f"`{c}`") for c in others]).alias("cut_row"),
         F.col(text).isNull().alias("cut_null"))
-    # 1: keys that occur more than once
-    keyed = own.mapInArrow(_key_rows(width, key), "cut_key long, cut_id long, cut_at long")
-    again = keyed.groupBy("cut_key").agg(F.count("*").alias("n")).where("n > 1").select("cut_key")
-    starts = (keyed.join(again, "cut_key", "left_semi").withColumn("cut_doc", F.shiftleft(F.shiftright("cut_at", START_BITS), START_BITS))
-              .groupBy("cut_id", F.col("cut_doc").alias("cut_at")).agg(F.collect_set("cut_at").alias("cut_starts")))
-    # 2: the first of equal chunks
+    document = F.shiftleft(F.shiftright("cut_at", START_BITS), START_BITS)
+
+    def dealt(rows: DataFrame, *order: str) -> DataFrame:
+        """By key; marks, which may all have one, by document."""
+        route = F.when(F.col("cut_copy"), F.xxhash64("cut_id")).otherwise(F.xxhash64("cut_key"))
+        return rows.repartition(parts, route).sortWithinPartitions("cut_copy", "cut_key", *order)
+
+    sent = own.select("cut_id", "cut_at", "cut_text").mapInArrow(_sent_rows(width, key), SENT_TYPES)
+    known = staged(dealt(sent, "cut_same", "cut_id", "cut_at").mapInArrow(
+        _first_rows(largest), "cut_key long, cut_id long, cut_at long, cut_n long, cut_copy boolean, cut_crowd boolean"), "chunks")
+    crowds = known.where("cut_crowd").select("cut_key", F.lit(True).alias("cut_many"))
+    wanted = (known.where(~F.col("cut_copy")).drop("cut_crowd").join(crowds, "cut_key", "left")
+              .withColumn("cut_chunk", F.struct("cut_at", "cut_n", "cut_key", F.coalesce("cut_many", F.lit(False)).alias("cut_crowd")))
+              .groupBy("cut_id", document.alias("cut_at")).agg(F.collect_list("cut_chunk").alias("cut_wanted")))
     placed = own.repartition(parts, "cut_id", "cut_at")
-    chunks = placed.join(starts, ["cut_id", "cut_at"]).mapInArrow(
-        _chunk_rows(width, key), "cut_key long, cut_same long, cut_id long, cut_at long, cut_n long, cut_words binary")
-    firsts = chunks.groupBy("cut_key", "cut_same").agg(F.min(F.struct("cut_id", "cut_at")).alias("cut_least"))
-    marked = chunks.join(firsts, ["cut_key", "cut_same"]).withColumn("cut_first", F.struct("cut_id", "cut_at") == F.col("cut_least"))
-    # 3: trees by key; copies are dealt out by themselves
-    heavy = firsts.groupBy("cut_key").agg(F.count("*").alias("n")).where(F.col("n") > largest).select("cut_key", F.lit(True).alias("cut_heavy"))
-    marked = marked.join(heavy, "cut_key", "left").withColumn("cut_heavy", F.col("cut_heavy").isNotNull() & F.col("cut_first"))
-    slim = marked.withColumn("cut_words", F.when(F.col("cut_first"), F.col("cut_words")))
-    dealt = (slim.where(~F.col("cut_heavy"))
-             .withColumn("cut_route", F.when(F.col("cut_first"), F.col("cut_key")).otherwise(F.xxhash64("cut_id", "cut_at")))
-             .select("cut_route", "cut_first", "cut_key", "cut_id", "cut_at", "cut_n", "cut_words")
-             .repartition(parts, "cut_route").sortWithinPartitions("cut_first", "cut_key"))
-    spans = dealt.mapInArrow(_tree_rows(width, group), "cut_id long, cut_at long, cut_n long")
-    leaves = slim.where("cut_heavy").mapInArrow(_leaf_rows(width), "cut_one long, cut_two long, cut_id long, cut_at long")
-    earliest = leaves.groupBy("cut_one", "cut_two").agg(F.min(F.struct("cut_id", "cut_at")).alias("cut_least"))
-    later = (leaves.join(earliest, ["cut_one", "cut_two"]).where(F.struct("cut_id", "cut_at") != F.col("cut_least"))
-             .select("cut_id", "cut_at", F.lit(1).cast("long").alias("cut_n")))
-    # 4: words under marked windows
-    gathered = (spans.union(later).withColumn("cut_span", F.struct("cut_at", "cut_n"))
-                .groupBy("cut_id", F.shiftleft(F.shiftright("cut_at", START_BITS), START_BITS).alias("cut_at")).agg(F.collect_list("cut_span").alias("cut_spans")))
+    texts = placed.join(wanted, ["cut_id", "cut_at"]).mapInArrow(
+        _text_rows(width), "cut_key long, cut_id long, cut_at long, cut_n long, cut_words binary, cut_copy boolean")
+    marks = (dealt(texts).mapInArrow(_tree_rows(width, group), "cut_id long, cut_at long, cut_n long")
+             .union(known.where("cut_copy").select("cut_id", "cut_at", "cut_n")))
+    gathered = (marks.withColumn("cut_span", F.struct("cut_at", "cut_n"))
+                .groupBy("cut_id", document.alias("cut_at")).agg(F.collect_list("cut_span").alias("cut_spans")))
     joined = placed.join(gathered, ["cut_id", "cut_at"], "left")
     row_type = dict(own.dtypes)["cut_row"]
     done = joined.mapInArrow(_kept_rows(width, ["cut_row", "cut_text", "cut_null"]),
