@@ -163,7 +163,8 @@ def classify(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", languag
     ``trusted`` has the ids of the trusted documents.
     """
     known = trusted.select(id).where(F.col(id).isNotNull()).distinct()
-    model = train(docs.join(known, id, "left_semi").select("text"))
+    # one plan at every size: both sides are shuffled by id, as neither has a bound
+    model = train(docs.select(id, "text").join(known.hint("merge"), id, "left_semi").select("text"))
     rows = staged(scored(docs, model, [id, language]), "perplexities")
     limits = staged(language_limits(rows.join(known, id, "left_semi"), language, quantile), "limits")
     limit = F.exp("kn_limit") * margin
