@@ -13,6 +13,7 @@ from linesmith.llm.queries_docs import CAPACITY, MIX, vocabulary
 from linesmith.llm.rules import judge_hosts, rule_columns, with_verdict
 from linesmith.llm.simhash import one_of_each
 from linesmith.llm.suffixes import without_repeats
+from linesmith.llm.texts import as_row
 from linesmith.session import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,8 +21,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule fails and whose host is not rejected."""
-    hosts = judge_hosts(rule_columns(docs.select("text", "source")))
-    return with_verdict(rule_columns(docs), hosts).where("kept").select(*docs.columns)
+    own = docs.select("text", "source", as_row(docs).alias("document"))
+    return with_verdict(rule_columns(own), judge_hosts(rule_columns(own.drop("document")))).where("kept").select("document.*")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
