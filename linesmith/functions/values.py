@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 DASH = "—"
+LARGEST = 1.7976931348623157e308
 # Binary places kept when a fraction is rounded exactly; 10 * 2**58 fits a long.
 _PLACES = 58
 _PREFIX = r"^\s*([+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?))"
@@ -28,9 +31,9 @@ def normal_name(c) -> Column:
 
 
 def to_double(c) -> Column:
-    """Number or null: text that is no number, and NaN, both mean missing."""
+    """Number or null: text that is no number, NaN and infinities all mean missing."""
     number = col(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(F.abs(number) <= F.lit(LARGEST), number)
 
 
 def parity(c) -> Column:
@@ -38,9 +41,13 @@ def parity(c) -> Column:
 
 
 def url_param(c, name: str) -> Column:
-    """First value of a query parameter, null when absent or blank."""
-    raw = F.try_parse_url(col(c), F.lit("QUERY"), F.lit(name))
-    return blank_to_null(F.try_url_decode(raw))
+    """First value of a query parameter, null when absent or blank.
+
+    By pattern, so blanks and bars elsewhere in the address do no harm; a value
+    that is wrongly encoded is returned as it stands.
+    """
+    raw = F.regexp_extract(col(c), rf"^[^#]*?[?&]{re.escape(name)}=([^&#]*)", 1)
+    return blank_to_null(F.coalesce(F.try_url_decode(raw), raw))
 
 
 def log1p_money(c) -> Column:

@@ -11,10 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.betting import cents, confident, edge, kelly, roi_percent, settle, stake
 from ..functions.values import dollars, let
 from ..session import scratch_folder, staged
-from .skew import broadcast_if_small
 
 CLASS_LIMIT = 20_000
-MAX_WEEKS = 2_000
 LEDGER_COLS = ["week", "bets", "net_pnl", "bankroll", "stash", "total", "total_in",
                "topup", "bank_before"]
 
@@ -65,8 +63,10 @@ def run_ledger(rows: DataFrame, strategies: Iterable[Strategy], keys: list[str],
     still counts. The stake classes are written once to the shared folder.
     Keys with at most ``class_limit`` classes are folded in one expression per
     key, strategies being expanded only after the shuffle; larger keys are
-    settled week by week with distributed sums. Both are exact. The ledger is
-    stored too: bets, records, curves and stories all read it.
+    settled week by week with distributed sums. Stakes are added up as whole
+    cents, which no order changes, so both give the same ledger to the last
+    digit and the limit is a matter of speed alone. The ledger is stored too:
+    bets, records, curves and stories all read it.
     """
     strategies = list(strategies)
     spark = rows.sparkSession
@@ -75,14 +75,13 @@ def run_ledger(rows: DataFrame, strategies: Iterable[Strategy], keys: list[str],
     (stake_classes(rows, keys, week, prob, covered, lowest)
      .write.parquet(f"{folder}/classes"))
     classes = spark.read.parquet(f"{folder}/classes")
-    large = (classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > class_limit).select(*keys))
-    if large.isEmpty():
-        return staged(_fold(classes, strategies, keys), "ledger-rows")
-    large = broadcast_if_small(large)
+    large = staged(classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                   .where(F.col("__n") > class_limit).select(*keys), "large-keys")
     small = _fold(classes.join(large, keys, "left_anti"), strategies, keys)
-    return staged(small, "ledger-rows").unionByName(
-        _rounds(classes.join(large, keys, "left_semi"), strategies, keys, folder))
+    (classes.join(large, keys, "left_semi").write.partitionBy("week")
+     .parquet(f"{folder}/large"))
+    weeks = spark.read.schema(classes.schema).parquet(f"{folder}/large")
+    return staged(small, "ledger-rows").unionByName(_rounds(weeks, strategies, keys, folder))
 
 
 def _balances(b: Column, topup: Column, pnl: Column, stash: Column,
@@ -106,14 +105,28 @@ def _topup(bank, left, s) -> Column:
                   F.least(s["topup_amount"], left)).otherwise(0.0)
 
 
+def _cents_staked(share: Column, bank: Column) -> Column:
+    """The stake as a whole number of cents."""
+    return F.rint(stake(share, bank) * 100).cast("bigint")
+
+
+def _pnl(won: Column, lost: Column) -> Column:
+    """Profit of a week from the cents staked on its won and its lost bets."""
+    return settle(won / 100, F.lit(1)) + settle(lost / 100, F.lit(0))
+
+
 def _week_result(bets: Column, s: Column, bank: Column) -> Column:
+    zero = F.lit(0).cast("bigint")
+
     def add(total, x):
         share = F.greatest(F.lit(0.0), x["edge"] * s["kelly"])
-        paid = settle(stake(share, bank), x["won"])
-        return F.struct((total["pnl"] + paid * x["n"]).alias("pnl"),
+        staked = _cents_staked(share, bank) * x["n"]
+        return F.struct((total["won"] + F.when(x["won"] == 1, staked).otherwise(zero)).alias("won"),
+                        (total["lost"] + F.when(x["won"] == 1, zero).otherwise(staked)).alias("lost"),
                         (total["n"] + x["n"]).alias("n"))
-    zero = F.struct(F.lit(0.0).alias("pnl"), F.lit(0).cast("bigint").alias("n"))
-    return F.aggregate(F.filter(bets, lambda x: x["p"] > s["threshold"]), zero, add)
+    start = F.struct(zero.alias("won"), zero.alias("lost"), zero.alias("n"))
+    return F.aggregate(F.filter(bets, lambda x: x["p"] > s["threshold"]), start, add,
+                       lambda r: F.struct(_pnl(r["won"], r["lost"]).alias("pnl"), r["n"].alias("n")))
 
 
 def _fold(classes: DataFrame, strategies: list[Strategy], keys: list[str]) -> DataFrame:
@@ -158,11 +171,12 @@ def _fold(classes: DataFrame, strategies: list[Strategy], keys: list[str]) -> Da
 
 def _rounds(classes: DataFrame, strategies: list[Strategy], keys: list[str],
             folder: str) -> DataFrame:
-    """The same ledger, one distributed step per week; state lives in tables."""
+    """The same ledger, one distributed step per week; state lives in tables.
+
+    ``classes`` is partitioned by week, so a step reads its own week only.
+    """
     spark = classes.sparkSession
-    found = classes.select("week").distinct().limit(MAX_WEEKS + 1).collect()
-    if len(found) > MAX_WEEKS:
-        raise ValueError(f"more than {MAX_WEEKS} weeks in one calendar")
+    found = classes.select("week").distinct().collect()
     run = [*keys, "strategy_id"]
     s = F.col("s")
     (classes.select(*keys).distinct()
@@ -182,15 +196,17 @@ def _rounds(classes: DataFrame, strategies: list[Strategy], keys: list[str],
                  .withColumn("__topup", F.when(F.col("__on"), _topup(
                      F.col("bank"), F.col("left"), s)).otherwise(0.0))
                  .withColumn("__b", F.col("bank") + F.col("__topup")))
-        paid = settle(stake(kelly("p", s["kelly"]), F.col("__b")), "won")
+        staked = _cents_staked(kelly("p", s["kelly"]), F.col("__b")) * F.col("n")
+        zero = F.lit(0).cast("bigint")
         sums = (now.where(F.col("p").isNotNull())
                 .join(state.where("__on").select(*run, "s", "__b"), keys)
                 .where(F.col("p") > s["threshold"])
-                .groupBy(*run).agg(F.sum(paid * F.col("n")).alias("__pnl"),
+                .groupBy(*run).agg(F.sum(F.when(F.col("won") == 1, staked)).alias("__won"),
+                                   F.sum(F.when(F.col("won") == 0, staked)).alias("__lost"),
                                    F.sum("n").alias("__n")))
         joined = (state.join(sums, run, "left")
-                  .withColumn("__pnl", F.coalesce("__pnl", F.lit(0.0)))
-                  .withColumn("__n", F.coalesce("__n", F.lit(0).cast("bigint"))))
+                  .withColumn("__pnl", _pnl(F.coalesce("__won", zero), F.coalesce("__lost", zero)))
+                  .withColumn("__n", F.coalesce("__n", zero)))
         after = _balances(F.col("__b"), F.col("__topup"), F.col("__pnl"),
                           F.col("held"), F.col("paid_in"))
         left = F.col("left") - F.col("__topup")
@@ -204,6 +220,8 @@ def _rounds(classes: DataFrame, strategies: list[Strategy], keys: list[str],
             left.alias("left"), over.alias("over"), on.alias("emitted"),
             F.struct(*emitted).alias("row"))
          .write.parquet(f"{folder}/state-{i + 1}"))
+    if not steps:
+        return _fold(classes, strategies, keys)
     states = [f"{folder}/state-{i + 1}" for i in range(len(steps))]
     return (spark.read.parquet(*states).where("emitted")
             .select(*run, s["start"].alias("start"), "row.*"))

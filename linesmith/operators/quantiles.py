@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-GATHER = 50_000
 BINS = 4_096
 
 
-@dataclass
+@dataclass(frozen=True)
 class Bracket:
     """Values of a column from ``low`` to ``high``, with ``below`` before them."""
 
@@ -20,86 +18,65 @@ class Bracket:
     low: float
     high: float
     below: int
-    rows: int
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, gather: int = GATHER,
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5,
                     bins: int = BINS) -> dict[str, float | None]:
-    """Linearly interpolated ``q``-quantile of each column, nulls skipped.
+    """Linearly interpolated ``q``-quantile of each column; nulls and NaN are skipped.
 
     ``percentile`` keeps every distinct value of a column in one buffer, and
     quantile sketches of very many tasks meet in one. Instead the order
     statistics wanted are narrowed down by histograms: a round counts, per
-    bin, the values inside the current brackets (combined map-side, spread
-    over the reducers) and keeps the bin holding each wanted rank, until a
-    bracket holds one distinct value or at most ``gather`` values, which are
-    then sorted. Each histogram reads one column, and later rounds push their
-    bracket into the scan; there are about ``log(rows / gather) / log(bins)``.
+    bin, the values inside the current brackets and keeps the bin that holds
+    each wanted rank, until a bracket holds one distinct value. A round is one
+    scan and one aggregate for all columns; its result has at most ``bins`` rows
+    per wanted rank. Infinities have bins of their own at either end, and the
+    least and the largest value of a bracket never share a bin, so every round
+    leaves fewer distinct values.
     """
-    first = df.agg(*[e for c in cols for e in (
-        F.count(c).alias(f"n_{c}"), F.min(c).cast("double").alias(f"lo_{c}"),
-        F.max(c).cast("double").alias(f"hi_{c}"))]).first()
+    values = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
+                         for c in cols])
+    first = values.agg(*[e for c in cols for e in (
+        F.count(c).alias(f"n_{c}"), F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))]).first()
     ranks = {c: q * (first[f"n_{c}"] - 1) for c in cols if first[f"n_{c}"]}
-    want = {(c, k): Bracket(c, first[f"lo_{c}"], first[f"hi_{c}"], 0, first[f"n_{c}"])
+    want = {(c, k): Bracket(c, first[f"lo_{c}"], first[f"hi_{c}"], 0)
             for c, r in ranks.items() for k in {math.floor(r), math.ceil(r)}}
-    found: dict[tuple[str, int], float] = {}
-    while True:
-        found |= {t: b.low for t, b in want.items() if b.low == b.high}
-        want = {t: b for t, b in want.items() if t not in found}
-        wide = {t: b for t, b in want.items() if b.rows > gather}
-        if not wide:
-            break
-        want |= _narrow(df, wide, bins)
-    found |= _pick(df, want)
+    while any(b.low < b.high for b in want.values()):
+        want |= _narrow(values, {t: b for t, b in want.items() if b.low < b.high}, bins)
     result: dict[str, float | None] = dict.fromkeys(cols)
     for c, r in ranks.items():
-        low, high = found[c, math.floor(r)], found[c, math.ceil(r)]
-        result[c] = low + (high - low) * (r - math.floor(r))
+        low, high = want[c, math.floor(r)].low, want[c, math.ceil(r)].low
+        result[c] = low if low == high else low + (high - low) * (r - math.floor(r))
     return result
 
 
-def _distinct(brackets) -> list[Bracket]:
-    return list({(b.column, b.low, b.high): b for b in brackets}.values())
+def _bin(b: Bracket, bins: int) -> Column:
+    """Bins 1 to ``bins`` evenly over the finite part, 0 and ``bins + 1`` for infinities."""
+    x, largest = F.col(b.column), 1.7976931348623157e308
+    low, high = max(b.low, -largest), min(b.high, largest)
+    # halves, as the width of the whole range may be no double
+    at = F.floor((x / 2 - low / 2) / (high / 2 - low / 2 or 1.0) * bins) + 1
+    at = F.when(x >= high, F.lit(bins)).otherwise(F.least(at, F.lit(bins - 1).cast("bigint")))
+    return F.when(x < -largest, 0).when(x > largest, bins + 1).otherwise(at).cast("bigint")
 
 
-def _inside(b: Bracket):
-    return F.col(b.column).between(b.low, b.high)
-
-
-def _narrow(df: DataFrame, want: dict, bins: int) -> dict:
+def _narrow(values: DataFrame, want: dict, bins: int) -> dict:
     """One histogram pass: every wanted rank moves to the bin that holds it."""
-    brackets = _distinct(want.values())
-    frames = []
-    for i, b in enumerate(brackets):
-        x = F.col(b.column).cast("double")
-        at = F.least(F.floor((x - b.low) / (b.high - b.low) * bins),
-                     F.lit(bins - 1).cast("bigint"))
-        frames.append(df.where(_inside(b)).groupBy(at.alias("bin")).agg(
-            F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"), F.min(x).alias("low"),
-            F.max(x).alias("high")))
-    counted = reduce(DataFrame.unionByName, frames).collect()
+    brackets = list(dict.fromkeys(want.values()))
+    cells = F.array(*[F.when(F.col(b.column).between(b.low, b.high), F.struct(
+        F.lit(i).alias("i"), _bin(b, bins).alias("bin"), F.col(b.column).alias("x")))
+        for i, b in enumerate(brackets)])
+    counted = (values.select(F.inline(F.array_compact(cells))).groupBy("i", "bin")
+               .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect())
     steps: dict[int, list] = {}
     for r in sorted(counted, key=lambda r: (r["i"], r["bin"])):
         steps.setdefault(r["i"], []).append(r)
-    at = {(b.column, b.low, b.high): i for i, b in enumerate(brackets)}
     out = {}
     for (c, k), b in want.items():
         below = b.below
-        for r in steps[at[c, b.low, b.high]]:
+        for r in steps[brackets.index(b)]:
             if k < below + r["n"]:
-                out[c, k] = Bracket(c, r["low"], r["high"], below, r["n"])
+                out[c, k] = Bracket(c, r["low"], r["high"], below)
                 break
             below += r["n"]
     return out
-
-
-def _pick(df: DataFrame, want: dict) -> dict:
-    """Sort the few values left in each bracket and read off the ranks."""
-    if not want:
-        return {}
-    brackets = _distinct(want.values())
-    row = df.agg(*[F.sort_array(F.collect_list(F.when(
-        _inside(b), F.col(b.column).cast("double")))).alias(f"v{i}")
-        for i, b in enumerate(brackets)]).first()
-    values = {(b.column, b.low, b.high): row[f"v{i}"] for i, b in enumerate(brackets)}
-    return {(c, k): values[c, b.low, b.high][k - b.below] for (c, k), b in want.items()}

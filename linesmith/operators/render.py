@@ -2,41 +2,36 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import values as v
 from ..functions.betting import cover_margin, cover_text
+from ..schema import spec_of
 from .ordered import number_within
 
-# Marks, rule and markup of the week's story.
-TICK, CROSS = "✓", "✗"
-WON, LOST, MONEY = "✅", "❌", "💰"
-RULE = "━" * 36
-BREAK = "<br>"
-
-
-def cell_kind(column: str) -> str:
-    """How a column is shown; the first rule that fits its name decides."""
-    if column in ("team", "score", "outcome"):
-        return "raw"
-    if column == "opening_spread":
-        return "signed"
-    if "moneyline" in column and "pct" not in column:
-        return "signed"
-    if "odds" in column:
-        return "signed"
-    if "pct" in column:
-        return "percent"
-    return "raw"
+HIT, MISS = "✓", "✗"
+#: Lines of a story; a caller's mapping may replace any of them.
+TEMPLATES = {
+    "start": "Before week 1: {start} to stake",
+    "week": "Week {week}, bets placed: {bets}",
+    "bet": "[{mark}] {team} {spread} against {opp_team}, {score}:{opp_score} ({cover}); chance {prob}, stake {stake}, result {payout}",
+    "result": "Result of the week: {net}",
+    "topup": "Paid in: {topup}",
+    "balance": "To stake {bankroll}, set aside {stash}, paid in so far {total_in}, worth {total}",
+}
 
 
 def render_cell(column: str, strict: bool = True) -> Column:
     """Cell text. ``strict=False`` shows ``*_dollar_pct`` as the money it is."""
     text = F.col(f"`{column}`").cast("string")
-    kind = cell_kind(column)
-    if kind == "percent" and not strict and "dollar" in column:
-        return F.coalesce(v.dollars(v.prefix_number(text)), v.raw_cell(text))
-    return {"raw": v.raw_cell, "signed": v.signed_number, "percent": v.percent_cell}[kind](text)
+    show = spec_of(column).show
+    if show == "money":
+        return (v.percent_cell(text) if strict
+                else F.coalesce(v.dollars(v.prefix_number(text)), v.raw_cell(text)))
+    return {"raw": v.raw_cell, "signed": v.signed_number, "percent": v.percent_cell}[show](text)
 
 
 def render_cells(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -48,9 +43,10 @@ def cell_flags(df: DataFrame) -> DataFrame:
     flags = []
     for c in df.columns:
         text = F.col(f"`{c}`").cast("string")
-        if cell_kind(c) == "signed":
+        show = spec_of(c).show
+        if show == "signed":
             flags.append(v.sign_flag(text).alias(f"{c}_flag"))
-        elif cell_kind(c) == "percent":
+        elif show in ("percent", "money"):
             flags.append(v.bar_width(text).alias(f"{c}_bar"))
     return df.select("*", *flags)
 
@@ -61,86 +57,70 @@ def spread_text(spread) -> Column:
 
 def pick_text(team, spread, prob, covered) -> Column:
     """``TEAM (+3.5,64%,✓)``."""
-    mark = F.when(v.col(covered) == 1, TICK).otherwise(CROSS)
+    mark = F.when(v.col(covered) == 1, HIT).otherwise(MISS)
     return F.concat(v.col(team), F.lit(" ("), spread_text(spread), F.lit(","),
                     v.whole_percent(prob), F.lit(","), mark, F.lit(")"))
 
 
 def join_lines(df: DataFrame, keys: list[str], order: str, text: str, sep: str,
-               tie: list[str] | None = None, per_part: int = 1_000,
-               split=None) -> DataFrame:
-    """Join each group's lines in order, at most ``per_part`` per output row.
+               tie: list[str] | None = None) -> DataFrame:
+    """Each group's lines in order, joined to one text per group.
 
-    Small groups give a single row with ``part`` 0. A large one continues in
-    parts 1, 2, …, whose texts joined in turn are the whole; so no task and no
-    cell ever holds an unbounded group.
+    The text is as long as its group; ``number_within`` keeps one row per line.
     """
-    placed = number_within(df, keys, order, "__at", tie, split)
-    part = F.floor((F.col("__at") - 1) / F.lit(per_part)).cast("int").alias("part")
-    lines = F.sort_array(F.collect_list(F.struct("__at", F.col(text).alias("line"))))
-    return (placed.groupBy(*keys, part)
-            .agg(lines.alias("__lines"))
-            .select(*keys, "part", F.array_join("__lines.line", sep).alias(text)))
+    along = [c for c in dict.fromkeys([order, *(tie or []), text])]
+    lines = F.sort_array(F.collect_list(F.struct(*along)))
+    return (df.groupBy(*keys).agg(lines.alias("__lines"))
+            .select(*keys, F.array_join(F.col(f"__lines.{text}"), sep).alias(text)))
+
+
+def filled(template: str, fields: Mapping[str, Column]) -> Column:
+    """The template with ``{name}`` replaced by each field's text; a null field shows as ?."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[F.coalesce(fields[x].cast("string"), F.lit("?")) if i % 2 else F.lit(x)
+                      for i, x in enumerate(parts)])
 
 
-def bet_story(br: str = BREAK) -> Column:
-    """The lines about one settled bet."""
+def bet_fields() -> dict[str, Column]:
+    """What a story can say about a settled bet."""
     margin = cover_margin("score", "opening_spread", "opp_score")
-    goals = [F.coalesce(F.col(c).cast("int").cast("string"), F.lit("?"))
-             for c in ("score", "opp_score")]
-    icon = F.when(F.col("covered") == 1, WON).otherwise(LOST)
-    paid = F.when(F.col("payout") > 0, F.concat(F.lit("+"), v.dollars("payout"))) \
-        .otherwise(F.concat(F.lit("-"), v.dollars(F.abs(F.col("payout")))))
-    head = F.concat(icon, F.lit(" <b>Bet: "), F.col("team"), F.lit(" to cover "),
-                    spread_text("opening_spread"), F.lit("</b>"))
-    final = F.concat(F.lit("   vs "), F.col("opp_team"), F.lit(" &nbsp;|&nbsp; Final: "),
-                     F.col("team"), F.lit(" "), goals[0], F.lit(" – "), F.col("opp_team"),
-                     F.lit(" "), goals[1])
-    money = F.concat(F.lit("   "), cover_text(margin, "covered"),
-                     F.lit(" &nbsp;|&nbsp; Conf: "), v.whole_percent("prob"),
-                     F.lit(" &nbsp;|&nbsp; Wagered: "), v.dollars("bet_amt"),
-                     F.lit(" &nbsp;→&nbsp; <b>"), paid, F.lit("</b>"))
-    return F.concat_ws(br, head, final, money)
-
-
-def week_opening(br: str = BREAK) -> Column:
-    """Title lines of a ledger week, up to its bets."""
-    title = F.concat(F.lit("<b>Week "), F.col("week").cast("string"), F.lit("</b>"))
-    many = F.concat(F.lit("<b>"), F.col("bets").cast("string"),
-                    F.when(F.col("bets") > 1, " bets").otherwise(" bet"),
-                    F.lit(" placed — betting on spread covers</b>"))
-    return F.when(F.col("bets") == 0, F.concat_ws(
-        br, title, F.lit("No qualifying bets this week"))).otherwise(
-        F.concat_ws(br, title, many, F.lit(RULE)))
-
-
-def week_closing(br: str = BREAK) -> Column:
-    """Result, top-up and balance lines of a ledger week."""
-    result = F.when(F.col("bets") > 0, F.concat_ws(br, F.lit(RULE), F.concat(
-        F.lit("Week profit/loss: <b>"), v.signed_dollars("net_pnl"), F.lit("</b>"))))
-    topup = F.when(F.col("topup") > 0, F.concat(
-        F.lit(f"{MONEY} <b>Top-up this week: +"), v.dollars("topup"),
-        F.lit("</b>  (bankroll was low)")))
-    money = F.concat(
-        F.lit("Bankroll: "), v.dollars("bankroll"), F.lit("  |  Stash: "), v.dollars("stash"),
-        F.lit("  |  Total invested: "), v.dollars("total_in"),
-        F.lit("  |  <b>Total wealth: "), v.dollars("total"), F.lit("</b>"))
-    return F.concat_ws(br, result, topup, money)
-
-
-def week_story(ledger: DataFrame, settled: DataFrame, run: list[str], order: str,
-               tie: list[str] | None = None, br: str = BREAK,
-               per_part: int = 1_000) -> DataFrame:
-    """One text per ledger week; a week with very many bets continues in parts.
-
-    ``settled`` needs team, opp_team, score, opp_score, opening_spread, prob,
-    covered, bet_amt, payout and the ``order`` column.
+    return {"mark": F.when(F.col("covered") == 1, HIT).otherwise(MISS), "team": F.col("team"),
+            "opp_team": F.col("opp_team"), "spread": spread_text("opening_spread"),
+            "score": F.col("score").cast("int"), "opp_score": F.col("opp_score").cast("int"),
+            "margin": v.one_decimal(margin), "cover": cover_text(margin, "covered"),
+            "prob": v.whole_percent("prob"), "stake": v.dollars("bet_amt"),
+            "payout": v.signed_dollars("payout")}
+
+
+def week_fields() -> dict[str, Column]:
+    """What a story can say about a ledger week."""
+    money = {c: v.dollars(c) for c in ("topup", "bankroll", "stash", "total_in", "total", "start")}
+    return {"week": F.col("week"), "bets": F.col("bets"), "net": v.signed_dollars("net_pnl")} | money
+
+
+def story_lines(ledger: DataFrame, settled: DataFrame, run: list[str], order: str,
+                tie: list[str] | None = None, templates: Mapping[str, str] | None = None) -> DataFrame:
+    """The story of every run, one row per line: ``week``, ``line``, ``kind``, ``text``.
+
+    Week 0 has the starting point. A week has its heading as line 0, its bets in
+    order from line 1 on, and then its result (if there were bets), a payment
+    (if there was one) and the balance. ``settled`` needs team, opp_team, score,
+    opp_score, opening_spread, prob, covered, bet_amt, payout and the ``order``
+    column. Bets are only numbered, never gathered, so a week may have any
+    number of them.
     """
-    told = settled.withColumn("story", bet_story(br))
-    bets = join_lines(told, [*run, "week"], order, "story", br, tie, per_part)
-    last = F.floor((F.greatest(F.col("bets"), F.lit(1)) - 1) / F.lit(per_part))
-    weeks = ledger.join(bets, [*run, "week"], "left")
-    part = F.coalesce("part", F.lit(0))
-    return weeks.select(*run, "week", part.alias("part"), F.concat_ws(
-        br, F.when(part == 0, week_opening(br)), F.col("story"),
-        F.when(part == last, week_closing(br))).alias("story"))
+    say = TEMPLATES | dict(templates or {})
+    fields = week_fields()
+    closing = F.col("bets") + 1
+    pieces = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("line"), F.lit("week").alias("kind"), filled(say["week"], fields).alias("text")),
+        F.when(F.col("bets") > 0, F.struct(closing.alias("line"), F.lit("result").alias("kind"), filled(say["result"], fields).alias("text"))),
+        F.when(F.col("topup") > 0, F.struct((closing + 1).alias("line"), F.lit("topup").alias("kind"), filled(say["topup"], fields).alias("text"))),
+        F.struct((closing + 2).alias("line"), F.lit("balance").alias("kind"), filled(say["balance"], fields).alias("text")))
+    weeks = ledger.select(*run, "week", F.inline(F.array_compact(pieces)))
+    start = (ledger.groupBy(*run).agg(F.max("start").alias("start"))
+             .select(*run, F.lit(0).alias("week"), F.lit(0).cast("bigint").alias("line"), F.lit("start").alias("kind"),
+                     filled(say["start"], {"start": v.dollars("start")}).alias("text")))
+    bets = number_within(settled.withColumn("__text", filled(say["bet"], bet_fields())), [*run, "week"], order, "line", tie)
+    bets = bets.select(*run, "week", "line", F.lit("bet").alias("kind"), F.col("__text").alias("text"))
+    return start.unionByName(weeks).unionByName(bets)

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+#: Scratch folders handed out in this process, for ``clear_scratch``.
+_made: list[str] = []
 
 
 def local_session(cpus: int | str = 8, partitions: int | None = None) -> SparkSession:
@@ -30,18 +32,37 @@ def local_session(cpus: int | str = 8, partitions: int | None = None) -> SparkSe
     return spark
 
 
-def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the one every executor shares.
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Uses ``spark.checkpoint.dir``; a local master without it gets a temporary
-    folder, a cluster without it is an error.
+    Only a local master, whose executors are the driver, may fall back to the
+    temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/linesmith-{purpose}-{uuid.uuid4().hex}"
+    root = root or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.gettempdir()
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the one every executor shares."""
+    _made.append(f"{shared_root(spark)}/linesmith-{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this process, whose tables are then gone; returns how many.
+
+    Call it when a job's results are written.
+    """
+    hadoop, gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, 0
+    while _made:
+        path = hadoop(_made.pop())
+        gone += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
