@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .registry import QUERIES, Query
-from . import queries_games, queries_lines, queries_money, queries_store  # noqa: F401
+from . import (queries_captures, queries_games, queries_lines, queries_money,  # noqa: F401
+               queries_store)
 
 
 def all_queries() -> dict[str, Query]:

@@ -9,7 +9,7 @@ from ..functions.values import fill_with, log1p_money, to_double, zscore
 from ..operators.assemble import left_join
 from ..operators.features import (fit_cover_model, hit_rates, qualifying, scale_stats,
                                   season_split)
-from ..operators.games import (game_grain, latest_per_key, line_movement, mean_of,
+from ..operators.games import (game_grain, latest_per_key, line_movement, mean_of, odd_games,
                                pair_opponents)
 from ..operators.quantiles import exact_quantiles
 from ..operators.unpack import unpack_pivot
@@ -34,6 +34,23 @@ def opponents(spark, sf):
     return _paired(spark, sf)
 
 
+@query("opponents_odd_games", """
+WITH rows AS (SELECT l_orderkey AS game_id, l_suppkey AS team_id, l_linenumber AS score FROM lineitem),
+g AS (SELECT game_id, count(*) AS n, count(DISTINCT team_id) AS teams FROM rows GROUP BY game_id)
+SELECT game_id, NULL::BIGINT AS team_id, NULL::INTEGER AS opp_score, n AS rows, least(teams, 3) AS teams FROM g
+WHERE n <> 2 OR teams < 2
+UNION ALL SELECT a.game_id, a.team_id, b.score, 2, 2 FROM rows a JOIN rows b
+  ON a.game_id = b.game_id AND a.team_id <> b.team_id JOIN g ON g.game_id = a.game_id WHERE n = 2""")
+def opponents_odd_games(spark, sf):
+    """Orders of two lines with two suppliers are pairs; all others are told apart, not dropped."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("team_id"),
+        F.col("l_linenumber").alias("score"))
+    pairs = pair_opponents(lines, carry={"score": "opp_score"}).select("game_id", "team_id", "opp_score")
+    both = pairs.withColumns({"rows": F.lit(2).cast("bigint"), "teams": F.lit(2)})
+    return both.unionByName(odd_games(lines), allowMissingColumns=True)
+
+
 @query("cover_margin", f"""
 WITH {_PAIRED_SQL},
 m AS (SELECT game_id, team_id, score + opening_spread - opp_score AS margin FROM paired)
@@ -150,6 +167,21 @@ def exact_medians(spark, sf):
                                  "feature string, median double")
 
 
+@query("median_with_infinity", """
+WITH v AS (SELECT CASE WHEN l_linenumber = 1 THEN 'Infinity'::DOUBLE WHEN l_linenumber = 2 AND l_suppkey % 2 = 0 THEN '-Infinity'::DOUBLE
+    ELSE l_extendedprice END AS price, CASE WHEN l_linenumber <> 1 THEN l_extendedprice END AS clean FROM lineitem)
+SELECT 'price' AS feature, round(median(price), 6) AS median FROM v
+UNION ALL SELECT 'clean', round(median(clean), 6) FROM v""")
+def median_with_infinity(spark, sf):
+    """Infinite values keep their rank; as text input they would be missing."""
+    price = F.when(F.col("l_linenumber") == 1, F.lit(float("inf"))).when(
+        (F.col("l_linenumber") == 2) & (F.pmod("l_suppkey", F.lit(2)) == 0), F.lit(float("-inf"))).otherwise(F.col("l_extendedprice"))
+    text = F.when(F.col("l_linenumber") == 1, "Infinity").otherwise(F.col("l_extendedprice").cast("string"))
+    rows = table(spark, sf, "lineitem").select(price.alias("price"), to_double(text).alias("clean"))
+    medians = exact_quantiles(rows, ["price", "clean"])
+    return spark.createDataFrame([(k, round(v, 6)) for k, v in medians.items()], "feature string, median double")
+
+
 @query("standardise", """
 WITH s AS (SELECT avg(p_retailprice) AS m, stddev_pop(p_retailprice) AS d,
                   avg(p_size) AS ms, stddev_pop(p_size) AS ds FROM part)
@@ -171,7 +203,7 @@ def qualifying_count(spark, sf):
 
 @query("hit_rates", f"""
 WITH {star.BETS_SQL}
-SELECT CAST(floor(prob / 0.05::DOUBLE) AS INTEGER) AS bucket, count(*) AS rows,
+SELECT CAST(floor(round(prob / 0.05::DOUBLE, 9)) AS INTEGER) AS bucket, count(*) AS rows,
   round(avg(covered), 6) AS hit_rate, avg(covered) > 0.5238 AS beats_bar
 FROM bets GROUP BY 1""")
 def hit_rate_buckets(spark, sf):
@@ -179,19 +211,44 @@ def hit_rate_buckets(spark, sf):
     return rates.withColumn("hit_rate", F.round("hit_rate", 6))
 
 
-@query("cover_model")
+# Newton's method for two weights and an intercept; the 3 x 3 system by Cramer's rule.
+_TWO_SQL = """
+WITH RECURSIVE d AS (SELECT d.doc_id, quality, d.doc_id % 5 AS season,
+    CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE ln(1 + n_chars) END AS r1,
+    CAST(len(string_split(text, chr(10))) AS DOUBLE) AS r2
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+tr AS (SELECT * FROM d WHERE season < 4 AND quality IS NOT NULL),
+med AS (SELECT median(r1) AS m1, median(r2) AS m2 FROM tr),
+st AS (SELECT avg(coalesce(r1, m1)) AS a1, stddev_pop(coalesce(r1, m1)) AS s1, avg(coalesce(r2, m2)) AS a2,
+    stddev_pop(coalesce(r2, m2)) AS s2 FROM tr, med),
+z AS (SELECT (coalesce(r1, m1) - a1) / s1 AS x, (coalesce(r2, m2) - a2) / s2 AS y, quality AS t FROM tr, med, st),
+fit AS (SELECT 0 AS it, 0.0::DOUBLE AS u, 0.0::DOUBLE AS v, 0.0::DOUBLE AS b
+  UNION ALL
+  SELECT it + 1,
+    u - (gu * (hvv * hbb - hvb * hvb) - huv * (gv * hbb - hvb * gb) + hub * (gv * hvb - hvv * gb)) / det,
+    v - (huu * (gv * hbb - hvb * gb) - gu * (huv * hbb - hvb * hub) + hub * (huv * gb - gv * hub)) / det,
+    b - (huu * (hvv * gb - gv * hvb) - huv * (huv * gb - gv * hub) + gu * (huv * hvb - hvv * hub)) / det
+  FROM (SELECT *, huu * (hvv * hbb - hvb * hvb) - huv * (huv * hbb - hvb * hub) + hub * (huv * hvb - hvv * hub) AS det
+    FROM (SELECT it, u, v, b, sum((p - t) * x) + u AS gu, sum((p - t) * y) + v AS gv, sum(p - t) AS gb,
+            sum(p * (1 - p) * x * x) + 1 AS huu, sum(p * (1 - p) * x * y) AS huv, sum(p * (1 - p) * x) AS hub,
+            sum(p * (1 - p) * y * y) + 1 AS hvv, sum(p * (1 - p) * y) AS hvb, sum(p * (1 - p)) AS hbb
+          FROM (SELECT it, u, v, b, x, y, t, 1 / (1 + exp(-(u * x + v * y + b))) AS p FROM fit, z WHERE it < 25)
+          GROUP BY it, u, v, b)))
+SELECT doc_id, quality, round(1 / (1 + exp(-(u * (coalesce(r1, m1) - a1) / s1 + v * (coalesce(r2, m2) - a2) / s2 + b))), 3) AS prob
+FROM d, med, st, (SELECT u, v, b FROM fit ORDER BY it DESC LIMIT 1) WHERE season = 4"""
+
+
+@query("cover_model", _TWO_SQL)
 def cover_model(spark, sf):
-    """Quality labels of documents: train on four folds, score the fifth."""
+    """Two features, one of them money with gaps: train on four folds, score the fifth."""
+    size = F.when(F.pmod("doc_id", F.lit(7)) != 0, F.col("n_chars"))
     docs = table(spark, sf, "documents").select(
-        "doc_id", "n_chars", F.length("text").alias("length"),
-        (F.col("lang") == "en").cast("double").alias("english"),
-        F.size(F.split("text", "\n")).alias("lines"))
+        "doc_id", size.alias("size"), F.size(F.split("text", "\n")).alias("lines"),
+        F.pmod("doc_id", F.lit(5)).alias("season"))
     rows = left_join(docs, table(spark, sf, "labels").select("doc_id", "quality"), ["doc_id"])
-    folds = rows.withColumn("season", F.pmod("doc_id", F.lit(5)))
-    train, test = season_split(folds, "season", 4)
-    model = fit_cover_model(train, ["n_chars", "length", "english", "lines"], ["length"], "quality")
-    return (model.score(test, "prob")
-            .select("doc_id", "quality", F.round("prob", 4).alias("prob")))
+    train, test = season_split(rows, "season", 4)
+    model = fit_cover_model(train, ["size", "lines"], ["size"], "quality")
+    return model.score(test).select("doc_id", "quality", F.round("prob", 3).alias("prob"))
 
 
 # Newton's method on the same penalised log loss, two parameters.

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.values import url_param
-from ..operators.assemble import (ambiguous_sides, assemble_wide, left_join, lookup_name,
-                                  split_totals)
+from ..operators.assemble import ambiguous_sides, assemble_wide, left_join, lookup_name
 from ..operators.ordered import fill_within, number_within, pair_band
-from ..operators.skew import plan_split
 from ..operators.unpack import pivot_sources, unpack_first, unpack_pivot
 from ..sources.captures import Field, odds_records, page_rows, parse_responses
+from ..schema import total_columns
 from ..session import staged
 from . import star
 from .registry import query, table
@@ -90,11 +89,13 @@ def consensus_share(spark, sf):
 
 
 def _wide_sql() -> str:
-    plain, totals = split_totals(list(star.kind_outputs()), [])
+    totals = total_columns(list(star.kind_outputs()))
+    plain = [c for c in star.kind_outputs() if c not in totals]
     return f"""
 WITH {star.RECORDS_SQL}, {star.META_SQL},
+{star.FIRSTS_SQL},
 line AS (SELECT game_id, team_id, {_comma(star.wide_sql())}
-  FROM rec GROUP BY game_id, team_id),
+  FROM firsts GROUP BY game_id, team_id),
 tot AS (SELECT *, team_id % 2 AS side FROM line WHERE team_id IN ({star.ODD}, {star.EVEN}))
 SELECT m.*, {", ".join(f'l."{c}"' for c in plain)}, {", ".join(f't."{c}"' for c in totals)}
 FROM meta m
@@ -162,12 +163,28 @@ SELECT event_id, event_type, coalesce(
     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS price
 FROM e""")
 def fill_hot_type(spark, sf):
-    """Five groups, each a fifth of the table: every group is cut."""
+    """Five groups, each a fifth of the table, so groups lie in several slices."""
     rows = table(spark, sf, "events").select(
         "event_id", "event_type",
         F.when(F.col("value") >= 10, F.col("value")).alias("price"))
-    split = plan_split(rows, ["event_type"], "event_id", rows_per_slice=1_000)
-    return fill_within(rows, ["event_type"], "event_id", ["price"], split)
+    return fill_within(rows, ["event_type"], "event_id", ["price"])
+
+
+@query("fill_text_order", """
+WITH e AS (SELECT event_id, event_type, 'e' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS seen_at,
+    CASE WHEN value < 10 THEN NULL ELSE value END AS price FROM events)
+SELECT event_id, event_type, coalesce(
+  last_value(price IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY seen_at
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(price IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY seen_at
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS price
+FROM e""")
+def fill_text_order(spark, sf):
+    """Hot groups in order of a text column."""
+    at = F.concat(F.lit("e"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    rows = table(spark, sf, "events").select(
+        "event_id", "event_type", at.alias("at"), F.when(F.col("value") >= 10, F.col("value")).alias("price"))
+    return fill_within(rows, ["event_type"], "at", ["price"]).drop("at")
 
 
 @query("pair_band", """
@@ -175,8 +192,7 @@ SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 2)
 FROM orders""")
 def pair_band_orders(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey")
-    split = plan_split(rows, [], "o_orderkey", rows_per_slice=1_000)
-    numbered = number_within(rows, [], "o_orderkey", split=split)
+    numbered = number_within(rows, [], "o_orderkey")
     return numbered.select("o_orderkey", pair_band("rn").alias("band"))
 
 

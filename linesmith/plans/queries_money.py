@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.betting import PAYOUT, confident, kelly, result_flag, settle, stake
 from ..operators.ledger import (Strategy, final_wealth, run_ledger, season_record, settle_bets,
                                 topup_events, wealth_curve)
-from ..operators.render import join_lines, pick_text, week_story
+from ..operators.render import TEMPLATES, join_lines, pick_text, story_lines
 from . import star
 from .registry import query, table
 
@@ -37,6 +37,12 @@ def _cents(x: str) -> str:
     return f"round_even({x} * 100, 0) / 100"
 
 
+def _staked(which: str) -> str:
+    """Whole cents staked on the chosen bets of one kind."""
+    cent = f"CAST(round_even({_cents(f'({_edge('x.p', 'share')}) * b')} * 100, 0) AS BIGINT)"
+    return f"coalesce(list_sum(list_transform(chosen, lambda x: CASE WHEN {which} THEN x.n * {cent} ELSE 0 END)), 0)"
+
+
 def _strategies_sql() -> str:
     rows = ", ".join(
         f"('{s.strategy_id}', {s.threshold}::DOUBLE, {s.start}::DOUBLE, {s.kelly}::DOUBLE, "
@@ -63,9 +69,7 @@ run AS (
   FROM (SELECT *, b + pnl - gain AS raw FROM (SELECT *, CASE WHEN pnl > 0 THEN pnl * 0.5::DOUBLE ELSE 0.0::DOUBLE END AS gain
     FROM (SELECT *,
         coalesce(list_sum(list_transform(chosen, lambda x: x.n)), 0)::BIGINT AS bets,
-        coalesce(list_sum(list_transform(chosen, lambda x: x.n *
-          CASE WHEN x.w = 1 THEN {_cents(f"({_edge('x.p', 'share')}) * b")} * {PAYOUT}::DOUBLE
-               ELSE -({_cents(f"({_edge('x.p', 'share')}) * b")}) END)), 0.0::DOUBLE) AS pnl
+        {_staked('x.w = 1')} / 100 * {PAYOUT}::DOUBLE - {_staked('x.w <> 1')} / 100 AS pnl
       FROM (SELECT *, bank + topup AS b, list_filter(items, lambda x: x.p > threshold) AS chosen
         FROM (SELECT r.key, r.strategy_id, r.threshold, r.start, r.share, r.amount, r.below,
                 w.i, w.week, w.items, r.bank, r.stash, r.total_in, r.rest,
@@ -170,46 +174,53 @@ _PICK_SQL = f"""key || ' (' || {_SIGN.format(x='spread')} || ',' ||
 
 
 @query("pick_strings", f"""
-WITH {star.BETS_SQL}, picks AS (SELECT key, week, game_id, line_no, part, price, {_PICK_SQL} AS pick,
-    row_number() OVER (PARTITION BY key, week ORDER BY game_id, line_no, part, price) AS rn
+WITH {star.BETS_SQL}, picks AS (SELECT key, week, game_id, line_no, part, price, {_PICK_SQL} AS pick
   FROM (SELECT *, round_even((prob - 0.6::DOUBLE) * 100, 0) / 2 AS spread FROM bets WHERE prob > 0.62))
-SELECT key, week, CAST(floor((rn - 1) / 2) AS INTEGER) AS part,
-  string_agg(pick, '  ' ORDER BY rn) AS pick
+SELECT key, week, string_agg(pick, '  ' ORDER BY game_id, line_no, part, price, pick) AS pick
 FROM picks GROUP BY ALL""")
 def pick_strings(spark, sf):
-    """Two picks per line, so that continuation lines occur."""
     spread = F.rint((F.col("prob") - 0.6) * 100) / 2
     picks = (star.bets(spark, sf).where(confident("prob", 0.62))
              .withColumn("pick", pick_text(F.col("key").cast("string"), spread, "prob", "covered")))
-    return join_lines(picks, ["key", "week"], "game_id", "pick", "  ",
-                      ["line_no", "part", "price"], per_part=2)
-
-
-_STORY_SQL = LEDGER_SQL + f""", told AS (SELECT *,
-  CASE WHEN covered = 1 THEN '✅' ELSE '❌' END || ' <b>Bet: T' || part || ' to cover ' ||
-    {_SIGN.format(x='spread')} || '</b><br>   vs O' || part || ' &nbsp;|&nbsp; Final: T' || part || ' ' || game_id % 50 ||
-    ' – O' || part || ' ' || line_no || '<br>   ' ||
-    CASE WHEN game_id % 50 + spread - line_no > 0 THEN 'covered by ' || format('{{:.1f}}', game_id % 50 + spread - line_no)
-         ELSE 'missed by ' || format('{{:.1f}}', abs(game_id % 50 + spread - line_no)) END ||
-    ' &nbsp;|&nbsp; Conf: ' || CAST(round_even(prob * 100, 0) AS BIGINT) || '% &nbsp;|&nbsp; Wagered: $' ||
-    format('{{:,}}', CAST(round_even(bet_amt, 0) AS BIGINT)) || ' &nbsp;→&nbsp; <b>' ||
-    CASE WHEN payout > 0 THEN '+$' ELSE '-$' END || format('{{:,}}', CAST(round_even(abs(payout), 0) AS BIGINT)) ||
-    '</b>' AS line
-  FROM (SELECT *, round_even((prob - 0.6::DOUBLE) * 100, 0) / 2 AS spread FROM settled)),
-lines AS (SELECT key, strategy_id, week, string_agg(line, '<br>' ORDER BY game_id, line_no, part, price) AS body
-  FROM told GROUP BY ALL)
-SELECT l.key, l.strategy_id, l.week, 0 AS part, '<b>Week ' || l.week || '</b><br>' ||
-  CASE WHEN bets = 0 THEN 'No qualifying bets this week<br>'
-    ELSE '<b>' || bets || CASE WHEN bets > 1 THEN ' bets' ELSE ' bet' END || ' placed — betting on spread covers</b><br>' ||
-      repeat('━', 36) || '<br>' || body || '<br>' || repeat('━', 36) || '<br>Week profit/loss: <b>' ||
-      CASE WHEN net_pnl >= 0 THEN '+$' ELSE '-$' END || format('{{:,}}', CAST(round_even(abs(net_pnl), 0) AS BIGINT)) || '</b><br>' END ||
-  CASE WHEN topup > 0 THEN '💰 <b>Top-up this week: +$' || format('{{:,}}', CAST(round_even(topup, 0) AS BIGINT)) ||
-    '</b>  (bankroll was low)<br>' ELSE '' END ||
-  'Bankroll: $' || format('{{:,}}', CAST(round_even(bankroll, 0) AS BIGINT)) || '  |  Stash: $' ||
-  format('{{:,}}', CAST(round_even(stash, 0) AS BIGINT)) || '  |  Total invested: $' ||
-  format('{{:,}}', CAST(round_even(total_in, 0) AS BIGINT)) || '  |  <b>Total wealth: $' ||
-  format('{{:,}}', CAST(round_even(total, 0) AS BIGINT)) || '</b>' AS story
-FROM ledger l LEFT JOIN lines b ON b.key = l.key AND b.strategy_id = l.strategy_id AND b.week = l.week"""
+    return join_lines(picks, ["key", "week"], "game_id", "pick", "  ", ["line_no", "part", "price"])
+
+
+def _told(template: str, fields: dict[str, str]) -> str:
+    """A template as SQL, its fields being SQL texts."""
+    for name, text in fields.items():
+        template = template.replace("{" + name + "}", f"' || {text} || '")
+    return f"'{template}'"
+
+
+def _dollars(x: str) -> str:
+    return f"'$' || format('{{:,}}', CAST(round_even({x}, 0) AS BIGINT))"
+
+
+def _signed(x: str) -> str:
+    return (f"CASE WHEN {x} >= 0 THEN '+$' ELSE '-$' END || "
+            f"format('{{:,}}', CAST(round_even(abs({x}), 0) AS BIGINT))")
+
+
+_MARGIN = "(game_id % 50 + spread - line_no)"
+_SAYS = {name: _dollars(name) for name in ("start", "topup", "bankroll", "stash", "total_in", "total")}
+_SAYS |= {"week": "week", "bets": "bets", "net": _signed("net_pnl")}
+_SAYS_BET = {
+    "mark": "CASE WHEN covered = 1 THEN '✓' ELSE '✗' END", "team": "'T' || part", "opp_team": "'O' || part",
+    "spread": _SIGN.format(x="spread"), "score": "game_id % 50", "opp_score": "line_no",
+    "cover": f"CASE WHEN {_MARGIN} > 0 THEN 'covered by ' || format('{{:.1f}}', {_MARGIN}) "
+             f"ELSE 'missed by ' || format('{{:.1f}}', abs({_MARGIN})) END",
+    "prob": "CAST(round_even(prob * 100, 0) AS BIGINT) || '%'", "stake": _dollars("bet_amt"),
+    "payout": _signed("payout")}
+
+_STORY_SQL = LEDGER_SQL + f""", told AS (SELECT key, strategy_id, week, row_number() OVER (PARTITION BY key, strategy_id, week
+    ORDER BY game_id, line_no, part, price) AS line, 'bet' AS kind, {_told(TEMPLATES['bet'], _SAYS_BET)} AS text
+  FROM (SELECT *, round_even((prob - 0.6::DOUBLE) * 100, 0) / 2 AS spread FROM settled))
+SELECT * FROM told
+UNION ALL SELECT DISTINCT key, strategy_id, 0, 0, 'start', {_told(TEMPLATES['start'], _SAYS)} FROM ledger
+UNION ALL SELECT key, strategy_id, week, 0, 'week', {_told(TEMPLATES['week'], _SAYS)} FROM ledger
+UNION ALL SELECT key, strategy_id, week, bets + 1, 'result', {_told(TEMPLATES['result'], _SAYS)} FROM ledger WHERE bets > 0
+UNION ALL SELECT key, strategy_id, week, bets + 2, 'topup', {_told(TEMPLATES['topup'], _SAYS)} FROM ledger WHERE topup > 0
+UNION ALL SELECT key, strategy_id, week, bets + 3, 'balance', {_told(TEMPLATES['balance'], _SAYS)} FROM ledger"""
 
 
 @query("week_story", _STORY_SQL)
@@ -220,4 +231,11 @@ def story(spark, sf):
         "team": F.concat(F.lit("T"), F.col("part").cast("string")),
         "opp_team": F.concat(F.lit("O"), F.col("part").cast("string")),
         "score": F.pmod("game_id", F.lit(50)).cast("int"), "opp_score": F.col("line_no")})
-    return week_story(weeks, settled, RUN, "game_id", ["line_no", "part", "price"])
+    return story_lines(weeks, settled, RUN, "game_id", ["line_no", "part", "price"])
+
+
+@query("ledger_rounds", LEDGER_SQL + "SELECT * EXCLUDE (start) REPLACE (round(bank_before, 4) AS bank_before) FROM ledger")
+def ledger_rounds(spark, sf):
+    """Every key settled week by week, by distributed sums."""
+    rounds = run_ledger(star.bets(spark, sf), STRATEGIES, KEYS, class_limit=0)
+    return rounds.drop("start").withColumn("bank_before", F.round("bank_before", 4))

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import event_group, week_label
+from ..functions.values import prefix_number, sign_flag
 from ..operators.render import cell_flags, render_cell
 from ..session import scratch_folder
-from ..sources.dims import SEASON_REFS, event_groups, request_manifest, seasons
-from ..sources.store import append_new, load_week, pending, preview, read_weekly, write_weekly
+from ..sources.dims import (SEASON_REFS, event_groups, request_manifest, seasons,
+                            unknown_weeks)
+from ..sources.store import (append_new, load_week, pending, preview, read_weekly,
+                             stored_partitions, write_weekly)
 from ..sources.weekly_csv import read_weekly_csv, union_tables
 from ..streaming.ingest import capture_stream, ingest_available
 from .registry import query, table
@@ -47,7 +50,10 @@ def pending_partitions(spark, sf):
 WITH {_ORDERS_SQL}
 SELECT o_orderkey, o_custkey, o_totalprice FROM o WHERE season = 1997 AND week = 5""")
 def week_load(spark, sf):
-    return preview(load_week(_orders(spark, sf), 1997, 5),
+    """One week of a stored table: its folder alone is read."""
+    path = scratch_folder(spark, "week-load")
+    write_weekly(_orders(spark, sf), path)
+    return preview(load_week(read_weekly(spark, path), 1997, 5),
                    ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
@@ -67,37 +73,101 @@ def weekly_store(spark, sf):
 WITH {_ORDERS_SQL}
 SELECT season, week, count(*) AS rows, round(sum(o_totalprice), 2) AS price FROM o GROUP BY season, week""")
 def stream_ingest(spark, sf):
-    """The same table stored by a file stream that stops when caught up."""
+    """The whole table, captured to files, stored by a file stream that stops when caught up."""
     root = scratch_folder(spark, "stream")
-    schema = table(spark, sf, "orders").schema
-    source = capture_stream(spark, sf, schema, files="orders.parquet")
-    ingest_available(spark, source, f"{root}/table", f"{root}/progress",
-                     transform=lambda batch: batch.select(
-                         F.year("o_orderdate").alias("season"),
-                         F.month("o_orderdate").alias("week"), "o_orderkey", "o_totalprice"))
+    rows = _orders(spark, sf).select("season", "week", "o_orderkey", "o_totalprice")
+    rows.write.parquet(f"{root}/captured")
+    ingest_available(spark, capture_stream(spark, f"{root}/captured", rows.schema), f"{root}/table",
+                     f"{root}/progress", keys=["o_orderkey"])
     return _per_week(read_weekly(spark, f"{root}/table"))
 
 
-@query("weekly_csv", f"""
+@query("stream_two_files", f"""
 WITH {_ORDERS_SQL}
-SELECT o_orderkey AS game_id, o_custkey AS team_id, season, week, o_orderstatus AS outcome,
-  CASE WHEN season <= 1997 THEN o_totalprice END AS "8_spread",
-  CASE WHEN season > 1997 THEN o_totalprice END AS "9_spread",
-  CASE WHEN season > 1997 THEN o_totalprice / 2 END AS "10_total" FROM o""")
-def weekly_csv(spark, sf):
-    """Files of two header families, read back by column name."""
-    path = scratch_folder(spark, "weekly-csv")
+SELECT season, week, o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS version,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE o_totalprice - 1 END AS price FROM o""")
+def stream_two_files(spark, sf):
+    """Weeks captured in two runs: a third of the orders come again and replace their first version."""
+    root = scratch_folder(spark, "stream")
+    rows = _orders(spark, sf)
+    first = rows.select("season", "week", "o_orderkey", F.lit(1).alias("version"), (F.col("o_totalprice") - 1).alias("price"))
+    again = rows.where(F.pmod("o_orderkey", F.lit(3)) == 0).select(
+        "season", "week", "o_orderkey", F.lit(2).alias("version"), F.col("o_totalprice").alias("price"))
+    for version in (first, again):
+        version.write.mode("append").parquet(f"{root}/captured")
+        ingest_available(spark, capture_stream(spark, f"{root}/captured", first.schema), f"{root}/table",
+                         f"{root}/progress", keys=["o_orderkey"], newest=["version"])
+    return read_weekly(spark, f"{root}/table").select("season", "week", "o_orderkey", "version", "price")
+
+
+def _families(spark, sf):
+    """Weekly rows of two header families."""
     rows = _orders(spark, sf)
     base = [F.col("o_orderkey").alias("game_id"), F.col("o_custkey").alias("team_id"),
             "season", "week", F.col("o_orderstatus").alias("outcome")]
     old = rows.where(F.col("season") <= 1997).select(*base, F.col("o_totalprice").alias("8_spread"))
     new = rows.where(F.col("season") > 1997).select(
         *base, (F.col("o_totalprice") / 2).alias("10_total"), F.col("o_totalprice").alias("9_spread"))
-    old.write.option("header", True).csv(f"{path}/early")
-    new.write.option("header", True).csv(f"{path}/late")
+    return old, new
+
+
+_FAMILIES_SQL = f"""
+WITH {_ORDERS_SQL}
+SELECT o_orderkey AS game_id, o_custkey AS team_id, season, week, o_orderstatus AS outcome,
+  CASE WHEN season <= 1997 THEN o_totalprice END AS "8_spread",
+  CASE WHEN season > 1997 THEN o_totalprice END AS "9_spread",
+  CASE WHEN season > 1997 THEN o_totalprice / 2 END AS "10_total" FROM o"""
+
+
+@query("store_other_books", _FAMILIES_SQL)
+def store_other_books(spark, sf):
+    """Weeks of other books stored on two runs: every book's column reads back."""
+    path = scratch_folder(spark, "other-books")
+    old, new = _families(spark, sf)
+    write_weekly(old, path)
+    append_new(new, path)
+    return read_weekly(spark, path)
+
+
+@query("csv_round_trip", _FAMILIES_SQL)
+def csv_round_trip(spark, sf):
+    """The CSV form of the store, read back with season and week."""
+    path = scratch_folder(spark, "csv-store")
+    for part in _families(spark, sf):
+        write_weekly(part, path, fmt="csv")
     return read_weekly_csv(spark, path)
 
 
+@query("write_report", f"""
+WITH {_ORDERS_SQL}
+SELECT count(*) AS rows, 6 AS columns, count(DISTINCT season * 100 + week) AS weeks FROM o""")
+def write_reports(spark, sf):
+    """What a write says it has stored, beside what is there."""
+    path = scratch_folder(spark, "write-report")
+    report = write_weekly(_orders(spark, sf), path)
+    weeks = stored_partitions(read_weekly(spark, path))
+    return weeks.agg(F.lit(report.rows).cast("bigint").alias("rows"), F.lit(report.columns).alias("columns"),
+                     F.count(F.lit(1)).alias("weeks"))
+
+
+@query("weekly_csv", f"""
+WITH {_ORDERS_SQL}
+SELECT o_orderkey AS game_id, CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS team_id, season, week, o_orderstatus AS outcome,
+  CASE WHEN season <= 1997 THEN o_totalprice END AS "8_spread",
+  CASE WHEN season > 1997 THEN o_totalprice END AS "9_spread",
+  CASE WHEN season > 1997 THEN o_totalprice / 2 END AS "10_total",
+  CASE WHEN season <= 1997 AND o_custkey % 11 = 0 THEN 1 ELSE 0 END AS misses FROM o""")
+def weekly_csv(spark, sf):
+    """Files of two header families, with decimal, blank and wrong ids, read back by column name."""
+    path = scratch_folder(spark, "weekly-csv")
+    old, new = _families(spark, sf)
+    team = F.when(F.pmod("team_id", F.lit(7)) == 0, "nan").otherwise(F.concat(F.col("team_id").cast("string"), F.lit(".0")))
+    rotation = F.when(F.pmod("team_id", F.lit(11)) == 0, "??").otherwise("")
+    old.withColumns({"rotation": rotation, "team_id": team}).write.option("header", True).csv(f"{path}/early")
+    new.withColumn("team_id", team).write.option("header", True).csv(f"{path}/late")
+    return read_weekly_csv(spark, path, misses="misses").drop("rotation")
+
+
 @query("union_missing_columns", """
 SELECT o_orderkey, o_totalprice, NULL AS o_orderpriority FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT o_orderkey, NULL, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'""")
@@ -154,6 +224,38 @@ def manifest(spark, sf):
     return full.select("season", "week", "rows", "url")
 
 
+@query("manifest_strict", f"""
+WITH {_CALENDAR_SQL}, refs(season, ref) AS (VALUES {", ".join(f"({k}, {v})" for k, v in SEASON_REFS.items())}),
+want AS (SELECT season, week, count(*) AS rows, {_GROUP_SQL} AS g FROM cal GROUP BY season, week)
+SELECT w.season, w.week, CASE WHEN g IS NOT NULL AND ref IS NOT NULL
+  THEN '{PAGE}?egid=' || g || '&seid=' || ref END AS url
+FROM want w LEFT JOIN refs USING (season)""")
+def manifest_strict(spark, sf):
+    """Known weeks through the strict form, which ends at an unknown one; unknown weeks apart."""
+    wanted = _calendar(spark, sf).distinct()
+    dim = seasons(spark)
+    groups = event_groups(dim)
+    unknown = unknown_weeks(wanted, dim, groups)
+    known = request_manifest(wanted.join(unknown, ["season", "week"], "left_anti"), dim, groups, PAGE)
+    return known.select("season", "week", "url").unionByName(unknown, allowMissingColumns=True)
+
+
+@query("prefix_numbers", r"""
+WITH t AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN ' ' || c_acctbal || ' pts' WHEN 1 THEN '+' || c_custkey || 'abc'
+    WHEN 2 THEN '.5e1x' WHEN 3 THEN 'EVEN ' || c_custkey ELSE CAST(c_custkey AS VARCHAR) || '.' END AS text FROM customer)
+SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN c_acctbal WHEN 1 THEN c_custkey WHEN 2 THEN 5 WHEN 3 THEN NULL
+  ELSE c_custkey END::DOUBLE AS number,
+  CASE WHEN c_custkey % 5 = 3 THEN NULL WHEN c_custkey % 5 = 0 AND c_acctbal <= 0 THEN 'neg' ELSE 'pos' END AS flag FROM customer""")
+def prefix_numbers(spark, sf):
+    """Texts that begin with a number, or don't."""
+    key = F.col("c_custkey")
+    kind = F.pmod(key, F.lit(5))
+    text = (F.when(kind == 0, F.concat(F.lit(" "), F.col("c_acctbal").cast("string"), F.lit(" pts")))
+            .when(kind == 1, F.concat(F.lit("+"), key.cast("string"), F.lit("abc"))).when(kind == 2, ".5e1x")
+            .when(kind == 3, F.concat(F.lit("EVEN "), key.cast("string"))).otherwise(F.concat(key.cast("string"), F.lit("."))))
+    return table(spark, sf, "customer").select("c_custkey", prefix_number(text).alias("number"), sign_flag(text).alias("flag"))
+
+
 _CELLS_SQL = """
 WITH c AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 11 = 0 THEN '' WHEN c_custkey % 13 = 0 THEN 'EVEN'
              ELSE CAST(c_acctbal AS VARCHAR) END AS v FROM customer),

@@ -134,9 +134,16 @@ def opening_sql() -> list[str]:
     return [first_sql(f, f"market = '{m}'", f"opening_{o}") for o, (m, f) in PRICES.items()]
 
 
+_FIELDS = list(dict.fromkeys(field for _, field in [*PRICES.values(), *SHARES.values()]))
+FIRSTS_SQL = f"""firsts AS (SELECT game_id, team_id, book, market, {", ".join(
+    f"arg_min({f}, {{'a': seen, 'p': part, 'v': {f}}}) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in _FIELDS)}
+  FROM rec GROUP BY game_id, team_id, book, market)"""
+
+
 def wide_sql() -> list[str]:
+    """One plain conditional max per column, over the first value of each cell."""
     book_of = {"opening": 1, "consensus": 2}
-    return [first_sql(f, f"book = {book_of.get(kind, b)} AND market = '{m}'", name)
+    return [f"max({f}) FILTER (WHERE book = {book_of.get(kind, b)} AND market = '{m}') AS \"{name}\""
             for name, ((kind, b, m), f) in kind_outputs().items()]
 
 

@@ -4,46 +4,74 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.values import LARGEST
 from ..schema import canonical_order, weekly_schema
+from ..session import staged
 
 
-def header_families(spark: SparkSession, paths: str | list[str]) -> dict[str, list[str]]:
-    """Header line -> the files that start with it.
+def weekly_cells(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, names, cells) of every data line, read once.
 
-    Only the first split of a file can hold its header. The result has one
-    entry per file, as the driver's own file listing has.
+    A weekly file holds one week's games, so a file is one row; its first line
+    with any text is the header of its other lines, wherever its columns stand.
+    No list of files is gathered. Quoted cells may hold commas, not line ends.
     """
-    lines = spark.read.option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", "*.csv").text(paths)
-    first = (lines.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+    files = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+             .text(paths, wholetext=True)
              .select(F.col("_metadata.file_path").alias("path"),
-                     F.monotonically_increasing_id().alias("at"), "value")
-             .groupBy("path").agg(F.min_by("value", "at").alias("header")))
-    families: dict[str, list[str]] = {}
-    for header, files in (first.groupBy("header").agg(F.sort_array(F.collect_list("path")))
-                          .collect()):
-        families[header.strip().lstrip("﻿")] = files
-    return families
+                     F.filter(F.split(F.regexp_replace("value", "^\\uFEFF", ""), "\\r\\n|\\r|\\n"),
+                              lambda line: F.trim(line) != "").alias("lines")))
+    lines = files.select("path", _cells(F.col("lines")[0]).alias("names"),
+                         F.explode(F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
+    return lines.select("path", F.transform("names", F.trim).alias("names"), _cells(F.col("line")).alias("cells"))
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a CSV line, quotes taken off."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(found, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1), F.replace(
+        F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
+def _blank(text: Column) -> Column:
+    return text.isNull() | (text == "") | (F.lower(text) == "nan")
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """The cell's value; whole numbers may be written with decimals. Anything else is null."""
+    if isinstance(kind, T.StringType):
+        return F.when(text != "", text)
+    number = F.when(~_blank(text), F.trim(text).try_cast("double"))
+    number = F.when(F.abs(number) <= F.lit(LARGEST), number)
+    if isinstance(kind, T.DoubleType):
+        return number
+    return F.coalesce(F.trim(text).try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
 
 
 def read_weekly_csv(spark: SparkSession, paths: str | list[str],
-                    schema_of=weekly_schema) -> DataFrame:
+                    schema_of=weekly_schema, misses: str | None = None) -> DataFrame:
     """All weekly files as one table, columns matched by name.
 
     One CSV scan takes a single header and maps other files by position, which
-    puts prices under the wrong book. Each header family is read on its own
-    with its own schema; the union fills absent books with null.
+    puts prices under the wrong book. Here each line's cells are picked by the
+    header of its own file. The lines are stored once: the columns of the table
+    are the names found there. ``misses`` names a column that counts a row's
+    cells which hold text but no value of their type.
     """
-    families = header_families(spark, paths)
-    if not families:
-        return spark.createDataFrame([], schema_of(["game_id", "team_id", "season", "week"]))
-    frames = [spark.read.csv(files, header=True, schema=schema_of(header.split(",")),
-                             enforceSchema=False, mode="FAILFAST")
-              for header, files in sorted(families.items())]
-    table = union_tables(frames)
-    return table.select(*canonical_order(table.columns))
+    lines = staged(weekly_cells(spark, paths), "weekly-lines")
+    found = [r[0] for r in lines.select(F.explode("names")).distinct().collect() if r[0]]
+    schema = schema_of(canonical_order(sorted(found)) or ["game_id", "team_id", "season", "week"])
+    by_name = F.map_from_entries(F.arrays_zip(
+        F.col("names").alias("key"), F.transform("names", lambda _, i: F.get("cells", i)).alias("value")))
+    rows = lines.select(by_name.alias("__row"))
+    values = {f.name: _typed(F.col("__row")[f.name], f.dataType) for f in schema.fields}
+    if misses:
+        values[misses] = reduce(lambda a, b: a + b, [
+            (~_blank(F.col("__row")[f.name]) & _typed(F.col("__row")[f.name], f.dataType).isNull()).cast("int")
+            for f in schema.fields])
+    return rows.select(*[value.alias(name) for name, value in values.items()])
 
 
 def union_tables(frames: list[DataFrame]) -> DataFrame:

@@ -2,25 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.store import PARTITION, write_weekly
+from ..operators.games import latest_per_key
+from ..session import staged
+from ..sources.store import PARTITION, read_weekly, stored_partitions, write_weekly
+
+
+def merged(rows: DataFrame, stored: DataFrame | None, keys: list[str], newest: list[str],
+           by: list[str] = PARTITION) -> DataFrame:
+    """The new rows with the stored ones of their partitions, the newest of each key.
+
+    ``newest`` orders copies of a key; where they are equal, or without any, a
+    new row wins over a stored one. Rows with a null key are told apart by their
+    values, so an equal one is stored once.
+    """
+    fresh = rows.withColumn("__new", F.lit(1))
+    if stored is not None:
+        touched = stored_partitions(rows, by)
+        old = stored.join(touched, by, "left_semi").withColumn("__new", F.lit(0))
+        fresh = fresh.unionByName(old, allowMissingColumns=True)
+    return latest_per_key(fresh, [*by, *keys], [*newest, "__new"]).drop("__new")
 
 
 def ingest_available(spark: SparkSession, source, target: str, checkpoint: str,
-                     by: list[str] = PARTITION, transform=None) -> int:
-    """Process files not seen before and replace the partitions they hold.
+                     by: list[str] = PARTITION, transform=None,
+                     keys: list[str] = ("game_id", "team_id"), newest: list[str] = ()) -> int:
+    """Process files not seen before and merge their rows into the stored weeks.
 
     ``source`` is a streaming DataFrame over captured files. The checkpoint
-    remembers the files, so a routine run adds only new ones; a partition
-    captured again is replaced whole, which also makes a repeated batch safe.
-    A capture must hold its whole partition. Returns the rows written.
+    remembers the files, so a routine run adds only new ones. A week may come in
+    several files and several runs: a key captured again replaces its stored
+    row, all others stay. A batch merged twice gives the same table, so a
+    repeated batch is safe. Returns the rows written.
     """
     written = []
 
     def store(batch: DataFrame, _epoch: int) -> None:
         rows = transform(batch) if transform else batch
-        written.append(write_weekly(rows, target, by=by).rows)
+        result = staged(merged(rows, read_weekly(spark, target), list(keys), list(newest), by), "merged")
+        written.append(write_weekly(result, target, by=by).rows)
 
     query = (source.writeStream.foreachBatch(store)
              .option("checkpointLocation", checkpoint)
