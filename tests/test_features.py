@@ -100,5 +100,7 @@ def test_evaluation(spark):
     df = spark.createDataFrame([(0.51, 1), (0.52, 0), (0.63, 1), (0.63, 1), (None, 1), (0.9, None),
                                 (float("nan"), None)], "prob double, covered int")
     assert rows(hit_rates(df, "prob", "covered", 0.1)) == [(5, 2, 0.5, False), (6, 2, 1.0, True)]
+    edge = spark.createDataFrame([(0.6, 1), (0.55, 0)], "prob double, covered int")
+    assert rows(hit_rates(edge, "prob", "covered", 0.05), "bucket") == [(11,), (12,)]
     assert rows(qualifying(df, "prob", 0.62)) == [(3, 7)]
     assert qualifying(df.where(F.lit(False)), "prob", 0.5).collect()[0]["total"] == 0

@@ -151,3 +151,9 @@ def test_nothing_to_bet_on(spark):
     empty = spark.createDataFrame([], SCHEMA)
     ledger = run_ledger(empty, [Strategy()], ["season"])
     assert ledger.count() == 0 and final_wealth(ledger, ["season"]).count() == 0
+
+
+def test_both_paths_agree_to_the_last_digit(spark):
+    df = spark.createDataFrame(random_bets(21, 2, 8), SCHEMA).repartition(6, "prob")
+    folded, rounds = (run_ledger(df, STRATEGIES, ["season"], class_limit=n) for n in (20_000, 0))
+    assert rows(folded.select(rounds.columns)) == rows(rounds) and rounds.count() > 0

@@ -3,8 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from linesmith.operators.ordered import fill_within, number_within, pair_band
-from linesmith.operators.skew import plan_split
+from linesmith.operators.ordered import SLICE, fill_within, number_within, pair_band, sliced
 from .conftest import rows
 
 SCHEMA = "g string, pos long, date string, score double"
@@ -36,45 +35,46 @@ def fill_by_hand(data):
     return sorted([(v["g"], p, v[2], v[3]) for p, v in out.items()], key=repr)
 
 
-@pytest.mark.parametrize("size,sample", [(10_000, 9999), (200, 9999), (30, 9999), (9, 150)])
-def test_fill_equals_plain_fill_however_groups_are_cut(spark, size, sample):
+@pytest.fixture(params=[1, 5, 40])
+def slices(spark, request):
+    """Range partitions, none of them merged: 40 cut every group of the tests."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, (request.param, "false")):
+        spark.conf.set(name, value)
+    yield request.param
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
+def test_fill_equals_plain_fill_however_groups_are_cut(spark, slices):
     data = random_rows(7)
     df = spark.createDataFrame(data, SCHEMA).repartition(5, "date")
-    split = plan_split(df, ["g"], "pos", size, sample)
-    assert bool(split.hot) == (size < 600)
-    got = fill_within(df, ["g"], "pos", ["date", "score"], split)
-    assert rows(got) == fill_by_hand(data)
+    assert rows(fill_within(df, ["g"], "pos", ["date", "score"])) == fill_by_hand(data)
 
 
-def test_fill_plans_its_own_split(spark):
+@pytest.mark.parametrize("kind", ["string", "timestamp_ntz", "double"])
+def test_order_of_any_type(spark, slices, kind):
     data = random_rows(8, 200)
-    got = fill_within(spark.createDataFrame(data, SCHEMA), ["g"], "pos", ["date", "score"])
+    at = {"string": "lpad(cast(pos as string), 6, '0')", "double": "if(pos = 597, double('nan'), double(pos))",
+          "timestamp_ntz": "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, pos)"}[kind]
+    df = spark.createDataFrame(data, SCHEMA).selectExpr("*", f"{at} as at")
+    got = fill_within(df, ["g"], "at", ["date", "score"]).drop("at")
     assert rows(got) == fill_by_hand(data)
 
 
-def test_a_third_of_all_rows_in_one_key_is_cut_into_even_slices(spark):
-    df = spark.range(150_000).select(
-        F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 20 == 1, -2)
-        .otherwise(F.col("id")).alias("g"), F.pow("id", F.lit(3)).alias("pos"))
-    split = plan_split(df, ["g"], "pos", rows_per_slice=300)
-    assert len(split.hot) == 2 and len(split.levels) == 2 and split.parts > 1
-    sliced = df.select("g", split.slice_column().alias("s")).where("g < 0")
-    sizes = {g: [r["count"] for r in sliced.where(f"g = {g}").groupBy("s").count().collect()]
-             for g in (-1, -2)}
-    assert sum(sizes[-1]) == 50_000 and max(sizes[-1]) < 3_000 and len(sizes[-1]) > 60
-    assert max(sizes[-2]) < 3_000 and len(sizes[-2]) < len(sizes[-1]) / 3
-    ordered = df.where("g = -1").select(split.slice_column().alias("s"), "pos").orderBy("pos")
-    along = [r["s"] for r in ordered.collect()]
-    assert along == sorted(along)
+def test_a_hot_key_is_cut_into_slices(spark, slices):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("g"), F.pow("id", F.lit(3)).alias("pos"))
+    sizes = [r["count"] for r in sliced(df, ["g"], ["pos"]).groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) == slices and max(sizes) < 3 * 20_000 / slices
 
 
 @pytest.mark.parametrize("keys", [["g"], []])
-@pytest.mark.parametrize("size", [10_000, 40, 3])
-def test_numbering_equals_a_plain_count(spark, keys, size):
+def test_numbering_equals_a_plain_count(spark, keys, slices):
     data = [(r[0], r[1] // 6) for r in random_rows(9)]
     data = [(g, p, i) for i, (g, p) in enumerate(data)]
     df = spark.createDataFrame(data, "g string, pos long, id int").repartition(6, "id")
-    got = number_within(df, keys, "pos", "n", ["id"], plan_split(df, keys, "pos", size))
+    got = number_within(df, keys, "pos", "n", ["id"])
     want, count = [], {}
     for g, p, i in sorted(data, key=lambda r: (r[1], r[2])):
         k = g if keys else 0

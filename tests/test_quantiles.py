@@ -23,7 +23,7 @@ def test_equals_numpy_through_many_rounds(spark, seed, q):
         "two": [1.0] * 500 + [2.0] * 500,
         "one": [4.5], "none": [],
     }
-    got = exact_quantiles(frame(spark, columns), list(columns), q, gather=3, bins=8)
+    got = exact_quantiles(frame(spark, columns), list(columns), q, bins=8)
     for name, values in columns.items():
         if not values:
             assert got[name] is None
@@ -35,3 +35,12 @@ def test_defaults(spark):
     values = [float(i % 97) ** 2 for i in range(5000)]
     got = exact_quantiles(frame(spark, {"v": values}), ["v"])
     assert got["v"] == np.median(values)
+
+
+def test_ends_on_infinities_nan_and_the_whole_range(spark):
+    inf, nan, big = float("inf"), float("nan"), 1.7976931348623157e308
+    columns = {"some": [inf, -inf, nan, 1.0, 2.0, 5e-324, 0.0], "all": [inf, inf], "wide": [-big, big, 1.0], "close": [5e-324, 0.0, 1e-323]}
+    got = exact_quantiles(frame(spark, columns), list(columns), 0.5, bins=4)
+    assert got == {"some": (1.0 + 5e-324) / 2, "all": inf, "wide": 1.0, "close": 5e-324}
+    many = {"v": [float(i) for i in range(300)] + [inf]}
+    assert exact_quantiles(frame(spark, many), ["v"])["v"] == 150.0

@@ -1,10 +1,9 @@
 from linesmith.operators.ledger import Strategy, run_ledger, settle_bets
-from linesmith.operators.render import join_lines, pick_text, week_story
+from linesmith.operators.render import join_lines, pick_text, story_lines
 from .conftest import rows
 
 SCHEMA = ("season int, week int, prob double, covered int, id int, team string, opp_team string, "
           "score int, opp_score int, opening_spread double")
-RULE = "━" * 36
 
 
 def test_picks_of_a_week(spark):
@@ -13,13 +12,7 @@ def test_picks_of_a_week(spark):
                                "week int, id int, team string, s double, p double, c int")
     picks = df.withColumn("t", pick_text("team", "s", "p", "c"))
     assert rows(join_lines(picks, ["week"], "id", "t", "  ")) == [
-        (1, 0, "NYJ (+7.0,70%,✗)  BUF (-3.5,64%,✓)  SEA (?,62%,✓)")]
-
-
-def test_long_groups_continue_in_parts(spark):
-    df = spark.range(10).selectExpr("0 AS k", "id", "cast(id as string) AS t").repartition(4)
-    parts = sorted(rows(join_lines(df, ["k"], "id", "t", "", per_part=4)), key=lambda r: r[1])
-    assert [p[1:] for p in parts] == [(0, "0123"), (1, "4567"), (2, "89")]
+        (1, "NYJ (+7.0,70%,✗)  BUF (-3.5,64%,✓)  SEA (?,62%,✓)")]
 
 
 def test_story_of_each_week(spark):
@@ -29,45 +22,36 @@ def test_story_of_each_week(spark):
     plan = [Strategy("s", start=40.0, kelly=0.5)]
     ledger = run_ledger(df, plan, ["season"])
     bets = settle_bets(df, ledger, plan, ["season"])
-    got = {r["week"]: r["story"].split("<br>") for r in
-           week_story(ledger, bets, ["season", "strategy_id"], "id").collect()}
+    told = story_lines(ledger, bets, ["season", "strategy_id"], "id")
+    got = {w: [(r["kind"], r["text"]) for r in sorted(told.collect(), key=lambda r: (r["week"], r["line"])) if r["week"] == w] for w in range(4)}
     week = {r["week"]: r for r in ledger.collect()}
     placed = {r["id"]: r for r in bets.collect()}
 
     def money(x):
         return f"{x:,.0f}"
 
-    def closing(w):
-        return (f"Bankroll: ${money(w['bankroll'])}  |  Stash: ${money(w['stash'])}  |  Total invested: "
-                f"${money(w['total_in'])}  |  <b>Total wealth: ${money(w['total'])}</b>")
-
     w = week[1]
-    assert got[1][0] == "<b>Week 1</b>"
-    assert got[1][1:3] == ["<b>2 bets placed — betting on spread covers</b>", RULE]
-    assert got[1][3:6] == [
-        "✅ <b>Bet: BUF to cover -3.5</b>",
-        "   vs NYJ &nbsp;|&nbsp; Final: BUF 24 – NYJ 17",
-        f"   covered by 3.5 &nbsp;|&nbsp; Conf: 70% &nbsp;|&nbsp; Wagered: ${money(placed[1]['bet_amt'])}"
-        f" &nbsp;→&nbsp; <b>+${money(placed[1]['payout'])}</b>"]
-    assert got[1][7] == "   vs LAR &nbsp;|&nbsp; Final: SEA ? – LAR 20"
-    assert got[1][8].startswith("   did not cover &nbsp;") and got[1][8].endswith(
-        f"<b>-${money(-placed[2]['payout'])}</b>")
     sign = "+" if w["net_pnl"] >= 0 else "-"
-    assert got[1][9:11] == [RULE, f"Week profit/loss: <b>{sign}${money(abs(w['net_pnl']))}</b>"]
-    assert got[1][-1] == closing(w) and w["topup"] == 100.0
-    assert got[1][11] == "💰 <b>Top-up this week: +$100</b>  (bankroll was low)"
-    assert got[2][:2] == ["<b>Week 2</b>", "No qualifying bets this week"]
-    assert got[3][1] == "<b>1 bet placed — betting on spread covers</b>"
-
-
-def test_a_week_with_many_bets_continues_in_parts(spark):
-    data = [(2025, 1, 0.7, 1, i, f"T{i}", "O", 1, 0, 0.0) for i in range(5)]
+    assert got[0] == [("start", "Before week 1: $40 to stake")]
+    assert got[1] == [
+        ("week", "Week 1, bets placed: 2"),
+        ("bet", f"[✓] BUF -3.5 against NYJ, 24:17 (covered by 3.5); chance 70%, stake ${money(placed[1]['bet_amt'])}, "
+                f"result +${money(placed[1]['payout'])}"),
+        ("bet", f"[✗] SEA +2.5 against LAR, ?:20 (did not cover); chance 65%, stake ${money(placed[2]['bet_amt'])}, "
+                f"result -${money(-placed[2]['payout'])}"),
+        ("result", f"Result of the week: {sign}${money(abs(w['net_pnl']))}"), ("topup", "Paid in: $100"),
+        ("balance", f"To stake ${money(w['bankroll'])}, set aside ${money(w['stash'])}, paid in so far ${money(w['total_in'])}, "
+                    f"worth ${money(w['total'])}")]
+    assert [kind for kind, _ in got[2]][:1] == ["week"] and got[2][0][1] == "Week 2, bets placed: 0"
+    own = story_lines(ledger, bets, ["season", "strategy_id"], "id", templates={"bet": "{team} {margin}"})
+    assert {r["text"] for r in own.where("kind = 'bet'").collect()} == {"BUF 3.5", "SEA ?", "KC -9.0"}
+
+
+def test_a_week_with_many_bets_keeps_its_grain(spark):
+    data = [(2025, 1, 0.7, 1, i, f"T{i}", "O", 1, 0, 0.0) for i in range(50)]
     df = spark.createDataFrame(data, SCHEMA)
-    plan = [Strategy("s", kelly=0.01)]
+    plan = [Strategy("s", kelly=0.001)]
     ledger = run_ledger(df, plan, ["season"])
-    run = ["season", "strategy_id"]
     bets = settle_bets(df, ledger, plan, ["season"])
-    whole = week_story(ledger, bets, run, "id").collect()[0]["story"]
-    parts = sorted(week_story(ledger, bets, run, "id", per_part=2).collect(), key=lambda r: r["part"])
-    assert [p["part"] for p in parts] == [0, 1, 2]
-    assert "<br>".join(p["story"] for p in parts) == whole
+    lines = rows(story_lines(ledger, bets, ["season", "strategy_id"], "id").where("kind = 'bet'"), "line", "text")
+    assert [(n, t.split()[1]) for n, t in sorted(lines)] == [(i + 1, f"T{i}") for i in range(50)]

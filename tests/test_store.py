@@ -1,11 +1,12 @@
 import pytest
 
 from linesmith.schema import weekly_schema
-from linesmith.session import scratch_folder, staged
+from linesmith import session
+from linesmith.session import clear_scratch, scratch_folder, staged
 from linesmith.sources.store import (append_new, has_rows, load_week, pending, preview,
                                      read_weekly, write_weekly)
-from linesmith.sources.weekly_csv import header_families, read_weekly_csv, union_tables
-from linesmith.streaming.ingest import capture_stream, ingest_available
+from linesmith.sources.weekly_csv import read_weekly_csv, union_tables
+from linesmith.streaming.ingest import capture_stream, ingest_available, merged
 from .conftest import rows
 
 SCHEMA = "season int, week int, game_id long, note string"
@@ -45,12 +46,26 @@ def test_point_load_prunes_partitions(spark, tmp_path):
     assert has_rows(week) and not has_rows(load_week(read_weekly(spark, path), 2024, 9))
 
 
-def test_csv_sink(spark, tmp_path):
+def test_csv_sink_keeps_season_and_week_inside(spark, tmp_path):
     path = str(tmp_path / "csv")
-    write_weekly(table(spark, (2024, 1, 1, None), (2024, 2, 2, "x")), path, fmt="csv")
-    files = list((tmp_path / "csv" / "season=2024" / "week=1").glob("*.csv"))
-    assert [f.read_text() for f in files] == ["game_id,note\n1,\n"] or \
-        [f.read_text() for f in files] == ['game_id,note\n1,""\n']
+    data = [(2024, 1, 1, None), (2024, 2, 2, 'x, "y"')]
+    write_weekly(spark.createDataFrame(data, "season int, week int, game_id long, team string"), path, fmt="csv")
+    write_weekly(spark.createDataFrame([(2024, 2, 3, "z")], "season int, week int, game_id long, team string"), path, fmt="csv")
+    assert rows(read_weekly_csv(spark, path), "season", "week", "game_id", "team") == [(2024, 1, 1, None), (2024, 2, 3, "z")]
+    files = list((tmp_path / "csv" / "season_folder=2024" / "week_folder=1").glob("*.csv"))
+    assert [f.read_text().splitlines()[0] for f in files] == ["season,week,game_id,team"]
+
+
+def test_weeks_of_other_books_keep_their_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = "game_id long, season int, week int"
+    write_weekly(spark.createDataFrame([(1, 2024, 1, 3.5)], base + ", `8_spread` double"), path)
+    append_new(spark.createDataFrame([(2, 2024, 2, 4.5, "x")], base + ", `9_spread` double, note string"), path)
+    got = read_weekly(spark, path)
+    assert got.columns == ["game_id", "season", "week", "8_spread", "9_spread", "note"]
+    assert rows(got) == [(1, 2024, 1, 3.5, None, None), (2, 2024, 2, None, 4.5, "x")]
+    with pytest.raises(ValueError, match="note"):
+        write_weekly(spark.createDataFrame([(3, 2024, 3, 1)], base + ", note int"), path)
 
 
 def write(folder, name, text):
@@ -65,7 +80,6 @@ def test_files_with_other_books_do_not_shift(spark, tmp_path):
           "2,10,2021,2,A,7,41\n")
     write(tmp_path / "2022", "week_1.csv", "game_id,team_id,season,week,team,9_spread,20_total\n"
           "3,12,2022,1,C,1.5,50\n")
-    assert sorted(len(f) for f in header_families(spark, str(tmp_path)).values()) == [1, 2]
     df = read_weekly_csv(spark, str(tmp_path))
     assert df.columns == ["game_id", "team_id", "season", "week", "team", "8_spread", "9_spread",
                           "20_total"]
@@ -77,6 +91,14 @@ def test_files_with_other_books_do_not_shift(spark, tmp_path):
     assert df.select("team").distinct().count() == 3
 
 
+def test_cells_that_files_hold(spark, tmp_path):
+    write(tmp_path, "week_1.csv", "\ufeffgame_id,team_id,season,week,team,rotation,8_spread\r\n"
+          '1,1549.0,2021,1,"A, ""the"" team",nan,3.5\r\n9007199254740993,,2021,1.0,B,101.5,pk\r\n3,x,2021,1\r\n')
+    df = read_weekly_csv(spark, str(tmp_path), misses="misses")
+    assert rows(df) == sorted([(1, 1549, 2021, 1, 'A, "the" team', None, 3.5, 0), (9007199254740993, None, 2021, 1, "B", None, None, 2),
+                               (3, None, 2021, 1, None, None, None, 1)], key=repr)
+
+
 def test_no_files(spark, tmp_path):
     assert read_weekly_csv(spark, str(tmp_path)).count() == 0
 
@@ -87,25 +109,35 @@ def test_union_fills_missing_columns(spark):
     assert rows(union_tables([a, b])) == [(1, 2, None), (3, None, "x")]
 
 
-def test_stream_sees_each_file_once_and_replaces_a_week(spark, tmp_path):
+def test_stream_sees_each_file_once_and_merges_a_week(spark, tmp_path):
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
 
     def run():
-        return ingest_available(spark, capture_stream(spark, source, SCHEMA), target, progress)
+        return ingest_available(spark, capture_stream(spark, source, SCHEMA), target, progress, keys=["game_id"])
 
-    table(spark, (2024, 1, 1, "a"), (2024, 2, 2, "b")).coalesce(1).write.parquet(source)
-    assert run() == 2 and run() == 0
-    table(spark, (2024, 2, 7, "corrected")).coalesce(1).write.mode("append").parquet(source)
-    assert run() == 1
+    table(spark, (2024, 1, 1, "a"), (2024, 2, 2, "b"), (2024, 2, 3, "c")).coalesce(1).write.parquet(source)
+    assert run() == 3 and run() == 0
+    table(spark, (2024, 2, 3, "corrected"), (2024, 2, 4, "new")).coalesce(1).write.mode("append").parquet(source)
+    assert run() == 3
     assert rows(read_weekly(spark, target), "week", "game_id", "note") == [
-        (1, 1, "a"), (2, 7, "corrected")]
+        (1, 1, "a"), (2, 2, "b"), (2, 3, "corrected"), (2, 4, "new")]
+
+
+def test_an_older_copy_does_not_win(spark):
+    stored = table(spark, (2024, 1, 1, "2"), (2024, 2, 9, "kept where it is"))
+    fresh = table(spark, (2024, 1, 1, "1"), (2024, 1, 2, "1"))
+    assert rows(merged(fresh, stored, ["game_id"], ["note"]), "game_id", "note") == [(1, "2"), (2, "1")]
+    assert rows(merged(fresh, stored, ["game_id"], []), "game_id", "note") == [(1, "1"), (2, "1")]
 
 
 class Session:
     """A session that only knows its settings and master."""
 
-    def __init__(self, settings, master):
-        self.conf, self.sparkContext, self.master = settings, self, master
+    def __init__(self, settings, master, folder=None):
+        self.conf, self.sparkContext, self.master, self.folder = settings, self, master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
 
 
 def test_scratch_follows_the_session(spark, tmp_path):
@@ -113,12 +145,21 @@ def test_scratch_follows_the_session(spark, tmp_path):
     assert scratch_folder(shared, "x").startswith("hdfs://h/shared/linesmith-x-")
     assert scratch_folder(shared, "x") != scratch_folder(shared, "x")
     assert scratch_folder(Session({}, "local[2]"), "x")
+    assert scratch_folder(Session({}, "yarn", "hdfs://h/c"), "x").startswith("hdfs://h/c/linesmith-x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_folder(Session({}, "yarn"), "x")
     df = staged(table(spark, (2024, 1, 1, None)), "t")
     assert rows(df) == [(2024, 1, 1, None)] and df.schema == table(spark).schema
 
 
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
+    monkeypatch.setattr(session, "shared_root", lambda _: f"file://{tmp_path}")
+    staged(table(spark, (2024, 1, 1, None)), "t")
+    assert len(list(tmp_path.iterdir())) == 1
+    assert clear_scratch(spark) == 1 and not list(tmp_path.iterdir())
+
+
 def test_types_follow_names():
     assert [f.dataType.simpleString() for f in weekly_schema(
         ["game_id", "score", "date", "8_total_odds", "total_dollar_pct"])] == [

@@ -87,10 +87,9 @@ def test_empty_input_keeps_its_columns(spark):
     assert unpack_pivot(frame(spark, []), ["game"], "mtid", "book", ["pos"], SPEC).columns == ["game"]
 
 
-def test_unbounded_pivot_column_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(unpack, "MAX_SOURCES", 3)
+def test_unbounded_pivot_column_is_refused(spark):
     with pytest.raises(ValueError, match="pivot"):
-        unpack.present_sources(spark.range(10), "id")
+        unpack.present_sources(spark.range(10), "id", most=3)
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
