@@ -19,6 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from linesmith.plans.catalog import all_queries  # noqa: E402
 from linesmith.session import clear_scratch, local_session  # noqa: E402
 
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
