@@ -140,7 +140,8 @@ class Session:
         return self.folder
 
 
-def test_scratch_follows_the_session(spark, tmp_path):
+def test_scratch_follows_the_session(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_made", [])
     shared = Session({"spark.checkpoint.dir": "hdfs://h/shared/"}, "yarn")
     assert scratch_folder(shared, "x").startswith("hdfs://h/shared/linesmith-x-")
     assert scratch_folder(shared, "x") != scratch_folder(shared, "x")
