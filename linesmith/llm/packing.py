@@ -23,8 +23,6 @@ from __future__ import annotations
 import json
 import re
 import struct
-import sys
-import types
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -35,13 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .batches import cuts, sliced
 from .shipping import ship
 from .texts import salt, salts, text_of
 
 ship(__name__)
 
-RUN_CACHE, PIECE_CACHE = 1 << 19, 1 << 19
-AT_ONCE = 1 << 23  # bytes of text tokenized in one go
+RUN_CACHE, PIECE_CACHE = 1 << 17, 1 << 18
 
 
 #: The normalizer and splitter of vocabularies whose pieces are cut here, and the same cut for plain runs.
@@ -110,9 +108,7 @@ class RunTokens(dict):
 
     def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text. Each distinct run of some megabytes of text is looked up once."""
-        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-        slices = np.flatnonzero(np.diff(np.cumsum(sizes) // AT_ONCE, prepend=-1))
-        for start, stop in zip(slices, [*slices[1:], len(texts)][:len(slices)], strict=True):
+        for start, stop in cuts(texts):
             runs = pc.ascii_split_whitespace(texts[start:stop])
             flat = runs.flatten().dictionary_encode()
             coded = list(map(self.__getitem__, flat.dictionary.cast(pa.binary()).to_pylist()))
@@ -126,23 +122,18 @@ class RunTokens(dict):
                 yield ids[a:b]
 
 
-def run_tokens(path: str) -> RunTokens:
-    """The tokens this Python worker knows, kept from task to task."""
-    state = sys.modules.setdefault("worker_token_caches", types.ModuleType("worker_token_caches"))
-    if path not in vars(state):
-        vars(state)[path] = RunTokens(path)
-    return vars(state)[path]
-
-
 def pieces(docs: DataFrame, vocabulary: str, *, capacity: int, id: str = "doc_id", text: str = "text", end: int = 0) -> DataFrame:
     """``id``, ``piece``, ``start``, ``length`` and ``ids`` (little-endian 32-bit) of every piece.
 
     ``vocabulary`` is the path of a ``tokenizers`` file whose pre-tokenizer drops
     white space; executors read it there.
     """
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tail, step = run_tokens(vocabulary), np.array([end], dtype="<u4").tobytes(), 4 * capacity
-        for batch in batches:
+    names = [id, "piece", "start", "length", "ids"]
+
+    def start():
+        known, tail, step = RunTokens(vocabulary), np.array([end], dtype="<u4").tobytes(), 4 * capacity
+
+        def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc, found in zip(batch.column(0).to_pylist(), known.of(batch.column(1)), strict=True):
                 ids = found.tobytes() + tail
@@ -150,11 +141,12 @@ def pieces(docs: DataFrame, vocabulary: str, *, capacity: int, id: str = "doc_id
                     cut = ids[k:k + step]
                     for column, value in zip(out, (doc, k // step, k // 4, len(cut) // 4, cut), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                names=[id, "piece", "start", "length", "ids"])
+            kinds = (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+        return rows
     kind = dict(docs.dtypes)[id]
-    return docs.select(id, text_of(text).alias("pack_text")).mapInArrow(rows, f"`{id}` {kind}, piece int, start long, length long, ids binary")
+    return docs.select(id, text_of(text).alias("pack_text")).mapInArrow(
+        sliced("pack_text", start), f"`{id}` {kind}, piece int, start long, length long, ids binary")
 
 
 @dataclass(frozen=True)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .batches import Rows, sliced
 from .shipping import ship
 from .texts import text_of
 
@@ -35,7 +36,7 @@ ship(__name__)
 
 ORDER, BITS = 4, 6
 SIZE = 1 << BITS
-AT_ONCE = 1 << 22  # characters scored in one go
+AT_ONCE = 1 << 20  # characters scored in one go
 
 
 def character_classes() -> np.ndarray:
@@ -82,12 +83,15 @@ def codes_of(texts: list[str], classes: np.ndarray) -> Iterator[tuple[int, np.nd
         yield first, codes[mine], owner[mine]
 
 
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_rows() -> Rows:
     classes = character_classes()
-    for batch in batches:
-        for _, codes, _ in codes_of(batch.column(0).to_pylist(), classes):
-            code, n = np.unique(codes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        counts: list[np.ndarray] = [np.unique(codes, return_counts=True) for _, codes, _ in codes_of(batch.column(0).to_pylist(), classes)]
+        code, at = np.unique(np.concatenate([c for c, _ in counts]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([n for _, n in counts]), len(code)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n)], names=["code", "n"])
+    return rows
 
 
 def discounts(counted: dict[int, int]) -> tuple[float, float, float]:
@@ -101,7 +105,7 @@ def discounts(counted: dict[int, int]) -> tuple[float, float, float]:
 
 def train(texts: DataFrame, text: str = "text") -> dict[int, tuple[np.ndarray, ...]]:
     """By order: n-gram codes with their discounted shares, and contexts with what they leave to the order below."""
-    grams = staged(texts.select(text_of(text)).mapInArrow(_count_rows, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "kn-counts")
+    grams = staged(texts.select(text_of(text).alias("kn_text")).mapInArrow(sliced("kn_text", _count_rows), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "kn-counts")
     model: dict[int, tuple[np.ndarray, ...]] = {}
     for order in range(ORDER, 0, -1):
         few = {r[0]: r[1] for r in grams.where("n <= 4").groupBy("n").agg(F.count("*")).collect()}
@@ -127,16 +131,17 @@ def log_table(model: dict[int, tuple[np.ndarray, ...]]) -> np.ndarray:
         now = (left.reshape(-1, max(1, len(below) // SIZE), 1) * below.reshape(1, -1, SIZE)).reshape(-1)
         now[code] += share
         below = now
-    return np.log(below)
+    return np.log(below, out=below)
 
 
 def scored(docs: DataFrame, model: dict[int, tuple[np.ndarray, ...]], keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and ``kn_chars``, ``kn_log`` (negative log likelihood per character) of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start() -> Rows:
         classes, table = character_classes(), log_table(sent.value)
-        for batch in batches:
+
+        def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             total, chars = np.zeros(len(texts)), np.array([len(t) for t in texts], dtype=np.int64)
             for first, codes, owner in codes_of(texts, classes):
@@ -144,8 +149,9 @@ def scored(docs: DataFrame, model: dict[int, tuple[np.ndarray, ...]], keep: list
                 total[first:first + len(sums)] += sums
             logs = [-s / n if n else None for s, n in zip(total.tolist(), chars.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(chars), pa.array(logs, pa.float64())], names=[*keep, "kn_chars", "kn_log"])
+        return rows
     kinds = dict(docs.dtypes)
-    return docs.select(*keep, text_of(text).alias("kn_text")).mapInArrow(rows, ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", kn_chars long, kn_log double")
+    return docs.select(*keep, text_of(text).alias("kn_text")).mapInArrow(sliced("kn_text", start), ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", kn_chars long, kn_log double")
 
 
 def language_limits(trusted: DataFrame, language: str, quantile: float) -> DataFrame:

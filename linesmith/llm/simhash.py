@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,12 +42,12 @@ PARTNER = (1, 2, 0)
 AT_ONCE = 1 << 16
 
 
-def fingerprint_of(text: str | None, shingle: int = 3) -> int:
+def fingerprint_of(text: bytes, shingle: int = 3) -> int:
     """The SimHash as an unsigned number; bit counts are summed in bounded pieces."""
     import xxhash
 
     # bytes: only A-Z are lowered, and only ASCII space, tab, LF, VT, FF, CR split
-    parts = (text or "").encode().lower().split()
+    parts = text.lower().split()
     if not parts:
         return 0
     shingles = map(b" ".join, zip(*[parts[k:] for k in range(shingle)], strict=False)) if len(parts) >= shingle else iter([b" ".join(parts)])
@@ -61,22 +61,23 @@ def fingerprint_of(text: str | None, shingle: int = 3) -> int:
 
 def fingerprint(text: Column, shingle: int = 3) -> Column:
     """SimHash of a text column, as a signed long."""
-    @F.pandas_udf(T.LongType())
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint_of(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
-    return simhash(text)
+    @F.arrow_udf(T.LongType())
+    def simhash(texts: pa.Array) -> pa.Array:
+        found = np.fromiter((fingerprint_of(t.as_py(), shingle) for t in texts), dtype=np.uint64, count=len(texts))
+        return pa.array(found.view(np.int64))
+    return simhash(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = batch["print"].to_numpy(dtype=np.int64).view(np.uint64)
+        prints = batch.column("print").to_numpy().view(np.uint64)
         parts = [((prints >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.int64) for at, width in SEGMENTS]
         for i, own in enumerate(parts):
             found = golay_keys(parts[PARTNER[i]])
             times = [len(f) for f in found]
             if times:
-                yield pd.DataFrame({"print": np.repeat(prints.view(np.int64), times),
-                                    "key": (np.repeat(own, times) << 12 | np.concatenate(found)) << 2 | i})
+                keys = (np.repeat(own, times) << 12 | np.concatenate(found)) << 2 | i
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(prints.view(np.int64), times)), pa.array(keys)], names=["print", "key"])
 
 
 def links(prints: DataFrame, bits: int = 2, crowd: int = 256) -> DataFrame:
@@ -88,7 +89,7 @@ def links(prints: DataFrame, bits: int = 2, crowd: int = 256) -> DataFrame:
     """
     if not 0 <= bits <= 2:
         raise ValueError("Golay keys reach two bits")
-    keyed = staged(prints.select("print").mapInPandas(_keys, "print long, key long"), "keys")
+    keyed = staged(prints.select("print").mapInArrow(_keys, "print long, key long"), "keys")
     crowded = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("key"), "crowds")
     sparse = keyed.join(crowded, "key", "left_anti")
     one, other = sparse.withColumnRenamed("print", "a"), sparse.select(F.col("print").alias("b"), F.col("key").alias("same"))

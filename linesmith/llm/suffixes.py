@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .batches import sliced
 from .shipping import ship
 from .texts import shuffle_width, text_of
 
@@ -44,7 +45,7 @@ ship(__name__)
 #: A start is below 2**39; the bits above tell rows of one id apart.
 START_BITS = 39
 LAST_ID = (1 << 63) - 1
-CACHE = 1 << 20
+CACHE = 1 << 16
 
 
 class WordHashes(dict):
@@ -128,10 +129,11 @@ def chunk_hashes(hashes: np.ndarray, first: np.ndarray, count: np.ndarray, width
 
 
 def _sent_rows(width: int, key: int):
-    """The chunks of each document, the first of a batch's copies only; the other copies are marked at once."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks of each document, the first of a slice's copies only; the other copies are marked at once."""
+    def start():
         known = WordHashes()
-        for batch in batches:
+
+        def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             found, times = [], []
             for text in batch.column("cut_text"):
                 parts = text.as_py().split()
@@ -141,7 +143,7 @@ def _sent_rows(width: int, key: int):
                 if len(first):
                     found.append((keys, chunk_hashes(hashes, first, count, width), first, count))
             if not found:
-                continue
+                return
             keys, same, first, count = (np.concatenate(c) for c in zip(*found, strict=True))
             keys, same = keys.view(np.int64), same.view(np.int64)
             ids = np.repeat(batch.column("cut_id").to_numpy(), times)
@@ -151,7 +153,8 @@ def _sent_rows(width: int, key: int):
             yield _batch(SENT, keys[lead], same[lead], ids[lead], ats[lead], count[lead], np.zeros(len(lead), dtype=bool))
             if len(again):
                 yield _marked(ids[again], ats[again], count[again])
-    return rows
+        return rows
+    return sliced("cut_text", start)
 
 
 def _first_rows(largest: int):
@@ -204,34 +207,33 @@ def _text_rows(width: int):
     """The wanted chunks with their words; those of crowded keys window by window, under a hash of the window."""
     names = ["cut_key", "cut_id", "cut_at", "cut_n", "cut_words", "cut_copy"]
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
-            out: list[tuple] = []
-            split: list[tuple] = []
-            for id, offset, text, wanted in zip(*(batch.column(k).to_pylist() for k in ("cut_id", "cut_at", "cut_text", "cut_wanted")), strict=True):
-                parts = text.split()
-                for x in wanted:
-                    at = x["cut_at"] - offset
-                    if not x["cut_crowd"]:
-                        out.append((x["cut_key"], id, x["cut_at"], x["cut_n"], b" ".join(parts[at:at + x["cut_n"] - 1 + width])))
-                        continue
-                    for k in range(x["cut_n"]):
-                        window = b" ".join(parts[at + k:at + k + width])
-                        split.append((xxhash.xxh64_intdigest(window, 2) - (1 << 63), id, x["cut_at"] + k, 1, window))
-            if split:  # as with chunks, a batch sends the first of equal windows
-                keys, ids, ats = (np.array(c) for c in list(zip(*split, strict=True))[:3])
-                other = np.array([xxhash.xxh64_intdigest(w[4], 3) for w in split], dtype=np.uint64)
-                order, new, later = _leaders(ids, ats, keys, other)
-                out += [split[i] for i in order[new]]
-                again = order[later]
-                if len(again):
-                    marks = _marked(ids[again], ats[again], np.ones(len(again), dtype=np.int64))
-                    yield _batch(names, *(marks.column(c) for c in names[:4]), pa.nulls(marks.num_rows, pa.binary()), marks.column("cut_copy"))
-            if out:
-                yield _batch(names, *zip(*out, strict=True), np.zeros(len(out), dtype=bool))
-    return rows
+        out: list[tuple] = []
+        split: list[tuple] = []
+        for id, offset, text, wanted in zip(*(batch.column(k).to_pylist() for k in ("cut_id", "cut_at", "cut_text", "cut_wanted")), strict=True):
+            parts = text.split()
+            for x in wanted:
+                at = x["cut_at"] - offset
+                if not x["cut_crowd"]:
+                    out.append((x["cut_key"], id, x["cut_at"], x["cut_n"], b" ".join(parts[at:at + x["cut_n"] - 1 + width])))
+                    continue
+                for k in range(x["cut_n"]):
+                    window = b" ".join(parts[at + k:at + k + width])
+                    split.append((xxhash.xxh64_intdigest(window, 2) - (1 << 63), id, x["cut_at"] + k, 1, window))
+        if split:  # as with chunks, a slice sends the first of equal windows
+            keys, ids, ats = (np.array(c) for c in list(zip(*split, strict=True))[:3])
+            other = np.array([xxhash.xxh64_intdigest(w[4], 3) for w in split], dtype=np.uint64)
+            order, new, later = _leaders(ids, ats, keys, other)
+            out += [split[i] for i in order[new]]
+            again = order[later]
+            if len(again):
+                marks = _marked(ids[again], ats[again], np.ones(len(again), dtype=np.int64))
+                yield _batch(names, *(marks.column(c) for c in names[:4]), pa.nulls(marks.num_rows, pa.binary()), marks.column("cut_copy"))
+        if out:
+            yield _batch(names, *zip(*out, strict=True), np.zeros(len(out), dtype=bool))
+    return sliced("cut_text", lambda: rows)
 
 
 def repeats(texts: list[bytes], counts: np.ndarray, ids: np.ndarray, ats: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -288,27 +290,26 @@ def _tree_rows(width: int, group: int):
 
 
 def _kept_rows(width: int, names: list[str]):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total, removed, kept = [], [], []
-            for text, offset, spans in zip(*(batch.column(k).to_pylist() for k in ("cut_text", "cut_at", "cut_spans")), strict=True):
-                parts = text.split()
-                edges = np.zeros(len(parts) + 1, dtype=np.int64)
-                for span in spans or ():
-                    start = span["cut_at"] - offset
-                    edges[start] += 1
-                    edges[start + span["cut_n"] - 1 + width] -= 1
-                gone = np.cumsum(edges[:-1]) > 0
-                total.append(len(parts))
-                removed.append(int(gone.sum()))
-                kept.append(b" ".join(p for p, g in zip(parts, gone.tolist(), strict=True) if not g) if removed[-1] else b" ".join(parts))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())],
-                names=[*names, "cut_words", "cut_removed", "cut_kept"])
-    return rows
-
-
-def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 20, key: int = 6, group: int = 20_000, largest: int = 100_000) -> DataFrame:
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        total, removed, kept = [], [], []
+        for text, offset, spans in zip(*(batch.column(k).to_pylist() for k in ("cut_text", "cut_at", "cut_spans")), strict=True):
+            parts = text.split()
+            edges = np.zeros(len(parts) + 1, dtype=np.int64)
+            for span in spans or ():
+                start = span["cut_at"] - offset
+                edges[start] += 1
+                edges[start + span["cut_n"] - 1 + width] -= 1
+            gone = np.cumsum(edges[:-1]) > 0
+            total.append(len(parts))
+            removed.append(int(gone.sum()))
+            kept.append(b" ".join(p for p, g in zip(parts, gone.tolist(), strict=True) if not g) if removed[-1] else b" ".join(parts))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(n) for n in names] + [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())],
+            names=[*names, "cut_words", "cut_removed", "cut_kept"])
+    return sliced("cut_text", lambda: rows)
+
+
+def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 20, key: int = 6, group: int = 20_000, largest: int = 1_000) -> DataFrame:
     """The rows with ``cut_words``, ``cut_removed`` and ``cut_kept``, the kept words joined by one space.
 
     ``group`` is the number of chunks whose tree is built at once, ``largest``
