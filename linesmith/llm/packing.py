@@ -39,7 +39,7 @@ from .texts import salt, salts, text_of
 
 ship(__name__)
 
-RUN_CACHE, PIECE_CACHE = 1 << 17, 1 << 18
+RUN_CACHE, PIECE_CACHE = 1 << 17, 1 << 19
 
 
 #: The normalizer and splitter of vocabularies whose pieces are cut here, and the same cut for plain runs.
@@ -97,14 +97,20 @@ class RunTokens(dict):
     def __missing__(self, run: bytes) -> bytes:
         if len(self) >= RUN_CACHE:
             self.clear()
+        value = self[run] = self._found(run)
+        return value
+
+    def _found(self, run: bytes) -> bytes:
+        if self.pieces is not None:
+            if run.isalpha():  # of bytes: a-z and A-Z only
+                return self.pieces[run.lower().decode()]
+            if run[:-1].isalpha() and run[-1:] in (b".", b","):
+                return self.pieces[run[:-1].lower().decode()] + self.pieces[run[-1:].decode()]
         text = run.decode()
         if self.pieces is not None and PLAIN.fullmatch(text) and not any(a in text for a in self.added):
-            value = b"".join(map(self.pieces.__getitem__, CUT.findall(text.lower())))
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            value = struct.pack(f"<{len(ids)}I", *ids)
-        self[run] = value
-        return value
+            return b"".join(map(self.pieces.__getitem__, CUT.findall(text.lower())))
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text. Each distinct run of some megabytes of text is looked up once."""
