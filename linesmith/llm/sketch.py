@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .texts import as_row, fields, let, salts, words
+from .texts import let, salts, words
 
 
 def sketch(text: Column, shingle: int = 5, fraction: float = 1 / 8) -> Column:
@@ -63,9 +63,13 @@ def with_next(docs: DataFrame, columns: list[str], id: str = "doc_id") -> DataFr
     spark, names = docs.sparkSession, docs.columns
     follow = [f"next_{c}" for c in columns]
     own = [f"sketch_{k}" for k in range(len(columns))]
-    rows = docs.select(as_row(docs).alias("sketch_row"), F.col(id).alias("sketch_id"), *[F.col(c).alias(o) for c, o in zip(columns, own, strict=True)])
+    rest = docs.drop(*columns)  # a text moves once, not in the row as well
+    row = F.struct(F.lit(None).cast("int").alias("sketch_none"), *[F.col(f"`{c}`") for c in rest.columns])
+    rows = docs.select(row.alias("sketch_row"), F.col(id).alias("sketch_id"), *[F.col(c).alias(o) for c, o in zip(columns, own, strict=True)])
     done = _with_next(spark, rows, "sketch_id", own)
-    return done.select(*fields("sketch_row", names, tuple(follow)), *[F.col(f"next_{o}").alias(n) for o, n in zip(own, follow, strict=True)])
+    at = dict(zip(columns, own, strict=True))
+    kept = [F.col(at[c]).alias(c) if c in at else F.col(f"sketch_row.`{c}`") for c in names if c.lower() not in follow]
+    return done.select(*kept, *[F.col(f"next_{o}").alias(n) for o, n in zip(own, follow, strict=True)])
 
 
 def _with_next(spark: SparkSession, docs: DataFrame, id: str, columns: list[str]) -> DataFrame:
