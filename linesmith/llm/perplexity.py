@@ -1,21 +1,19 @@
-"""Interpolated modified Kneser-Ney perplexity, trained on trusted texts.
-
-Texts are read as sequences of 64 character classes, so there are at most
-64**4 four-grams whatever the corpus: the counts are taken over all trusted
-text, sharded by n-gram, and joined with the totals of their contexts, and the
-model that comes out is small enough, by construction, to go to every task.
-Scoring then needs no shuffle.
-
-Orders above one use continuation counts below the top, three discounts per
-order from the counts of counts (1/2, 1 and 3/2 where these are missing), and
-end in the uniform distribution. Perplexity is per character; a document is
-kept when it is at most its language's limit, a quantile of the trusted
-documents of that language, times a margin. Quantiles are exact on a grid of
+"""Documents kept by the perplexity of a model trained on trusted texts.
+
+The model (``grams.py``) is interpolated modified Kneser-Ney over full code
+points; its counts stay in sharded tables, and scoring joins them. Perplexity is
+per character; a document is kept when it is at most its language's limit, a
+quantile of trusted documents of that language, times a margin. The fifth of the
+trusted documents that sets the limits is held out of training, as a model knows
+the texts it was trained on too well. Quantiles are exact on a grid of
 thousandths of the log, from counts.
 
 Null and empty texts have no perplexity and are not kept. A null language is a
 language of its own; one without trusted documents has no limit and keeps all
 texts that have a perplexity. Without any trusted text the model is uniform.
+
+``character_classes``, ``codes_of``, ``train`` and ``log_table`` are a smaller model
+of 64 character classes that fits every task. No query uses it.
 """
 
 from __future__ import annotations
@@ -24,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
 from .batches import Rows, sliced
+from .grams import HEAD, answered, counted, discounts, scored
 from .shipping import ship
 from .texts import text_of
 
@@ -94,15 +93,6 @@ def _count_rows() -> Rows:
     return rows
 
 
-def discounts(counted: dict[int, int]) -> tuple[float, float, float]:
-    """Of counts 1, 2 and above, from how many n-grams occur once to four times."""
-    n1, n2, n3, n4 = (counted.get(k, 0) for k in (1, 2, 3, 4))
-    if not (n1 and n2 and n3 and n4):
-        return 0.5, 1.0, 1.5
-    y = n1 / (n1 + 2 * n2)
-    return tuple(min(max(k - (k + 1) * y * b / a, 0.0), float(k)) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
-
-
 def train(texts: DataFrame, text: str = "text") -> dict[int, tuple[np.ndarray, ...]]:
     """By order: n-gram codes with their discounted shares, and contexts with what they leave to the order below."""
     grams = staged(texts.select(text_of(text).alias("kn_text")).mapInArrow(sliced("kn_text", _count_rows), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "kn-counts")
@@ -134,24 +124,9 @@ def log_table(model: dict[int, tuple[np.ndarray, ...]]) -> np.ndarray:
     return np.log(below, out=below)
 
 
-def scored(docs: DataFrame, model: dict[int, tuple[np.ndarray, ...]], keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and ``kn_chars``, ``kn_log`` (negative log likelihood per character) of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def start() -> Rows:
-        classes, table = character_classes(), log_table(sent.value)
-
-        def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            total, chars = np.zeros(len(texts)), np.array([len(t) for t in texts], dtype=np.int64)
-            for first, codes, owner in codes_of(texts, classes):
-                sums = np.bincount(owner, weights=table[codes])
-                total[first:first + len(sums)] += sums
-            logs = [-s / n if n else None for s, n in zip(total.tolist(), chars.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(chars), pa.array(logs, pa.float64())], names=[*keep, "kn_chars", "kn_log"])
-        return rows
-    kinds = dict(docs.dtypes)
-    return docs.select(*keep, text_of(text).alias("kn_text")).mapInArrow(sliced("kn_text", start), ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", kn_chars long, kn_log double")
+def held_out(text: str) -> Column:
+    """A fifth of the texts, by content, so that copies stay together: trusted ones set the limits and do not train."""
+    return F.pmod(F.xxhash64(F.lit("held out"), text_of(text)), F.lit(5)) == 0
 
 
 def language_limits(trusted: DataFrame, language: str, quantile: float) -> DataFrame:
@@ -163,16 +138,18 @@ def language_limits(trusted: DataFrame, language: str, quantile: float) -> DataF
     return cells.withColumn("kn_part", part).where(F.col("kn_part") >= quantile).groupBy("kn_lang").agg((F.min("kn_cell") / 1000).alias("kn_limit"))
 
 
-def classify(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", language: str = "lang", quantile: float = 0.99, margin: float = 1.15) -> DataFrame:
+def classify(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", language: str = "lang", quantile: float = 0.99, margin: float = 1.15, head: int = HEAD) -> DataFrame:
     """``id``, ``language``, ``n_chars``, ``perplexity``, ``threshold`` and ``kept`` of every row.
 
     ``trusted`` has the ids of the trusted documents.
     """
     known = trusted.select(id).where(F.col(id).isNotNull()).distinct()
+    marked = docs.select(id, language, "text", held_out("text").alias("kn_held"))
     # one plan at every size: both sides are shuffled by id, as neither has a bound
-    model = train(docs.select(id, "text").join(known.hint("merge"), id, "left_semi").select("text"))
-    rows = staged(scored(docs, model, [id, language]), "perplexities")
-    limits = staged(language_limits(rows.join(known, id, "left_semi"), language, quantile), "limits")
+    model = staged(counted(marked.where(~F.col("kn_held")).select(id, "text").join(known.hint("merge"), id, "left_semi")), "kn-counts")
+    answers = answered(staged(counted(docs), "kn-asked"), model)
+    rows = staged(scored(marked, answers, [id, language, "kn_held"], head=head), "perplexities")
+    limits = staged(language_limits(rows.where("kn_held").join(known, id, "left_semi"), language, quantile), "limits")
     limit = F.exp("kn_limit") * margin
     return (rows.join(limits, F.col(language).eqNullSafe(F.col("kn_lang")), "left")
             .select(id, language, F.col("kn_chars").alias("n_chars"), F.exp("kn_log").alias("perplexity"), limit.alias("threshold"),

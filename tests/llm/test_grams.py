@@ -1,0 +1,98 @@
+"""The Kneser-Ney model over full code points against plain counts."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from linesmith.llm import grams, perplexity
+
+
+def packed(gram):
+    symbols = [0] * (grams.ORDER - len(gram)) + list(gram)
+    hi = lo = 0
+    for s in symbols[:-grams.LOW]:
+        hi = hi << grams.WIDTH | s
+    for s in symbols[-grams.LOW:]:
+        lo = lo << grams.WIDTH | s
+    return hi, lo
+
+
+def plain_grams(text):
+    s = [0] * (grams.ORDER - 1) + [ord(c) + 1 for c in text]
+    return [tuple(s[i:i + grams.ORDER]) for i in range(len(text))]
+
+
+def plain_probability(counts, gram):
+    if not gram:
+        return 1 / 0x110000
+    off = grams.discounts(Counter(c for c in counts.values() if c <= 4))
+    mine = {g: c for g, c in counts.items() if g[:-1] == gram[:-1]}
+    below = plain_probability(Counter(g[1:] for g in counts), gram[1:])
+    if not mine:
+        return below
+    total, n = sum(mine.values()), mine.get(gram, 0)
+    left = sum(off[min(c, 3) - 1] for c in mine.values()) / total
+    return (n - off[min(n, 3) - 1] if n else 0) / total + left * below
+
+
+@pytest.mark.parametrize("letters", ["aAbB19 .éЖж中\n\0\U0010ffff", "".join(map(chr, range(0x4E00, 0x4E00 + 5000)))])
+def test_grams_are_code_points_without_folding(letters):
+    draw = random.Random(1)
+    texts = ["", letters, *("".join(draw.choices(letters, k=draw.randint(0, 300))) for _ in range(9))]
+    want, got = Counter(), Counter()
+    for k, t in enumerate(texts):
+        want.update((k, *packed(g)) for g in plain_grams(t))
+    for first, hi, lo, which, owner in grams.grams_of(texts):
+        got.update((int(o) + first, int(hi[w]), int(lo[w])) for o, w in zip(owner, which, strict=True))
+        assert len(set(zip(hi.tolist(), lo.tolist(), strict=True))) == len(hi)
+    assert got == want
+
+
+def test_sharded_counts_give_the_plain_probabilities(spark):
+    draw = random.Random(3)
+    trusted, others = ([("".join(draw.choice(letters) for _ in range(draw.randint(0, 60))),) for _ in range(10)] for letters in ("aab bcd e.", "aAb b1é."))
+    table = grams.answered(grams.counted(spark.createDataFrame(others, "text string")), grams.counted(spark.createDataFrame(trusted, "text string")))
+    asked, counts = Counter(g for t, in others for g in plain_grams(t)), Counter(g for t, in trusted for g in plain_grams(t))
+    got = {(r.hi, r.lo): (r.n, r.log) for r in table.collect()}
+    assert {k: n for k, (n, _) in got.items()} == {packed(g): n for g, n in asked.items()}
+    for g in draw.sample(sorted(asked), 80):
+        assert got[packed(g)][1] == pytest.approx(np.log(plain_probability(counts, g)), abs=1e-9)
+
+
+def prose(draw, letters="abcdefgh", n=200):
+    words = ["".join(random.Random(k).choices(letters, k=3 + k % 4)) for k in range(30)]
+    return " ".join(draw.choices(words, k=n))
+
+
+def test_case_digits_and_letters_count(spark):
+    draw = random.Random(4)
+    rows = [(k, prose(draw) + " 1st", "en") for k in range(40)]
+    rows += [(100, rows[0][1].upper(), "en"), (101, rows[0][1].replace("1", "2"), "en"), (102, rows[0][1].translate({97 + k: 0x430 + k for k in range(26)}), "en"),
+             (103, rows[0][1].translate({97 + k: 0x430 + 24 + k for k in range(26)}), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in perplexity.classify(docs, docs.where("doc_id < 40").select("doc_id")).collect()}
+    assert got[0].perplexity < got[101].perplexity < got[100].perplexity
+    assert got[0].kept and not any(got[k].kept for k in (100, 102, 103))
+
+
+def test_grams_beyond_the_head_are_joined(spark):
+    draw = random.Random(5)
+    rows = [(k % 30 or None, prose(draw, n=draw.randint(0, 60)) or None, "en") for k in range(40)] + [(7, "", "en"), (7, "Ωμέγα 中文", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, asked = grams.counted(docs.where("doc_id < 20")), grams.counted(docs)
+    answers = grams.answered(asked, model)
+
+    def found(head):
+        out = grams.scored(docs, answers, ["doc_id", "lang", "text"], head=head).collect()
+        return sorted(((r.doc_id or 0, r.text or "", r.lang or "", r.kn_chars, r.kn_log or 0.0) for r in out))
+    whole = found(grams.HEAD)
+    assert grams.least_count(answers, 50) > 1 and len(whole) == len(rows)
+    for head in (0, 50):
+        assert [r[:4] for r in found(head)] == [r[:4] for r in whole]
+        assert [r[4] for r in found(head)] == pytest.approx([r[4] for r in whole], rel=1e-12)
+
+
+@pytest.mark.parametrize("few", [{}, {1: 5, 2: 4, 3: 1, 4: 9}, {1: 1, 2: 9, 3: 2, 4: 1}, {1: 90, 2: 40, 3: 20, 4: 10}])
+def test_discounts_leave_something_for_unseen_grams(few):
+    assert all(0 < off <= k for k, off in enumerate(grams.discounts(few), 1))
