@@ -9,8 +9,10 @@ the texts it was trained on too well. Quantiles are exact on a grid of
 thousandths of the log, from counts.
 
 Null and empty texts have no perplexity and are not kept. A null language is a
-language of its own; one without trusted documents has no limit and keeps all
-texts that have a perplexity. Without any trusted text the model is uniform.
+language of its own; one without held-out documents gets the limit over those of
+all languages, or where none are held out, over all trusted documents. Only
+without any trusted text, when the model is uniform, there is no limit and all
+texts that have a perplexity are kept.
 
 ``character_classes``, ``codes_of``, ``train`` and ``log_table`` are a smaller model
 of 64 character classes that fits every task. No query uses it.
@@ -138,6 +140,11 @@ def language_limits(trusted: DataFrame, language: str, quantile: float) -> DataF
     return cells.withColumn("kn_part", part).where(F.col("kn_part") >= quantile).groupBy("kn_lang").agg((F.min("kn_cell") / 1000).alias("kn_limit"))
 
 
+def pooled_limit(trusted: DataFrame, quantile: float, name: str) -> DataFrame:
+    """One row: the limit over all languages, null without trusted rows."""
+    return language_limits(trusted.withColumn("kn_all", F.lit(0)), "kn_all", quantile).agg(F.max("kn_limit").alias(name))
+
+
 def classify(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", language: str = "lang", quantile: float = 0.99, margin: float = 1.15, head: int = HEAD) -> DataFrame:
     """``id``, ``language``, ``n_chars``, ``perplexity``, ``threshold`` and ``kept`` of every row.
 
@@ -149,8 +156,11 @@ def classify(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", languag
     model = staged(counted(marked.where(~F.col("kn_held")).select(id, "text").join(known.hint("merge"), id, "left_semi")), "kn-counts")
     answers = answered(staged(counted(docs), "kn-asked"), model)
     rows = staged(scored(marked, answers, [id, language, "kn_held"], head=head), "perplexities")
-    limits = staged(language_limits(rows.where("kn_held").join(known, id, "left_semi"), language, quantile), "limits")
-    limit = F.exp("kn_limit") * margin
-    return (rows.join(limits, F.col(language).eqNullSafe(F.col("kn_lang")), "left")
+    own = staged(rows.join(known, id, "left_semi").select(F.col(language).alias("kn_own"), "kn_held", "kn_log"), "trusted")
+    held = own.where("kn_held")
+    limits = staged(language_limits(held, "kn_own", quantile), "limits")
+    pooled = F.broadcast(pooled_limit(held, quantile, "kn_pooled").crossJoin(pooled_limit(own, quantile, "kn_known")))
+    limit = F.exp(F.coalesce("kn_limit", "kn_pooled", "kn_known")) * margin
+    return (rows.join(limits, F.col(language).eqNullSafe(F.col("kn_lang")), "left").crossJoin(pooled)
             .select(id, language, F.col("kn_chars").alias("n_chars"), F.exp("kn_log").alias("perplexity"), limit.alias("threshold"),
                     (F.col("kn_log").isNotNull() & F.coalesce(F.exp("kn_log") <= limit, F.lit(True))).alias("kept")))

@@ -96,3 +96,30 @@ def test_grams_beyond_the_head_are_joined(spark):
 @pytest.mark.parametrize("few", [{}, {1: 5, 2: 4, 3: 1, 4: 9}, {1: 1, 2: 9, 3: 2, 4: 1}, {1: 90, 2: 40, 3: 20, 4: 10}])
 def test_discounts_leave_something_for_unseen_grams(few):
     assert all(0 < off <= k for k, off in enumerate(grams.discounts(few), 1))
+
+
+def test_limits_come_from_held_out_texts_and_reach_every_language(spark):
+    draw = random.Random(6)
+    rows = [(k, prose(draw), ("en", "de", None)[k % 3]) for k in range(60)]
+    junk = ["".join(draw.choices("§$%&/()=?`*#", k=200)) for _ in range(4)]
+    rows += [(100, junk[0], "xx"), (101, prose(draw), "xx"), (102, junk[1], "en"), (103, junk[2], "yy"), (104, "", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in perplexity.classify(docs, docs.where("doc_id < 60").select("doc_id")).collect()}
+    assert [got[k].kept for k in range(100, 105)] == [False, True, False, False, False]
+    held = {r.doc_id: r.lang for r in docs.where("doc_id < 60").where(perplexity.held_out("text")).collect()}
+
+    def limit(languages):
+        return 1.15 * np.exp(max(np.ceil(np.log(got[k].perplexity) * 1000) for k, lang in held.items() if lang in languages) / 1000)
+    assert set(held.values()) == {"en", "de", None}
+    for k, r in got.items():
+        assert r.threshold == pytest.approx(limit([r.lang] if k < 60 or r.lang == "en" else ["en", "de", None]))
+
+
+def test_limits_without_held_out_texts(spark):
+    rows = [(k, f"the cat sat on mat {k}", "en") for k in range(30)] + [(100, "§§§$$$", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one = docs.where(~perplexity.held_out("text") & (docs.doc_id < 100)).limit(1).select("doc_id")
+    got = perplexity.classify(docs, one).where("doc_id = 100").collect()[0]
+    assert got.threshold is not None and not got.kept
+    nobody = perplexity.classify(docs, docs.where("false").select("doc_id")).collect()
+    assert all(r.kept and r.threshold is None for r in nobody)
