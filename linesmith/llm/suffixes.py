@@ -20,9 +20,10 @@ key in a row are handled as one chunk.
    first start are marked.
 4. Words that a marked window covers are removed.
 
-Order is that of ids, then of starts. Null text has no words. Null ids come
-last. Rows with equal ids are documents of their own in order of a hash of
-their text; rows with equal ids and texts are one document and get one result.
+A document is named by its id and two hashes of its text, 127 bits together.
+Order is that of ids, then of these, then of starts. Null text has no words. Null
+ids come last. Rows with equal ids are documents of their own in order of a hash
+of their text; rows with equal ids and texts are one document and get one result.
 Columns of the input that are named like the new ones are replaced.
 """
 
@@ -42,9 +43,10 @@ from .texts import shuffle_width, text_of
 
 ship(__name__)
 
-#: A start is below 2**39; the bits above tell rows of one id apart.
-START_BITS = 39
 LAST_ID = (1 << 63) - 1
+#: What tells documents apart; ``cut_doc`` and ``cut_more`` are hashes of the text.
+DOCUMENT = ["cut_id", "cut_doc", "cut_more"]
+DOCUMENT_TYPES = "cut_id long, cut_doc long, cut_more long"
 CACHE = 1 << 16
 
 
@@ -86,35 +88,46 @@ def chunks_of(hashes: np.ndarray, width: int, key: int) -> tuple[np.ndarray, np.
     return first, np.diff(np.append(first, windows)), runs[least[first]]
 
 
-SENT = ["cut_key", "cut_same", "cut_id", "cut_at", "cut_n", "cut_copy"]
-SENT_TYPES = "cut_key long, cut_same long, cut_id long, cut_at long, cut_n long, cut_copy boolean"
+SENT = ["cut_key", "cut_same", *DOCUMENT, "cut_at", "cut_n", "cut_copy"]
+SENT_TYPES = f"cut_key long, cut_same long, {DOCUMENT_TYPES}, cut_at long, cut_n long, cut_copy boolean"
+#: The columns of a document, from first to last.
+Documents = tuple[np.ndarray, ...]
 
 
 def _batch(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _runs(ids: np.ndarray, ats: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Adjoining stretches of a document as one: (id, first start, number of starts)."""
-    order = np.lexsort((ats, ids))
-    ids, ats, counts = ids[order], ats[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ats[1:] != ats[:-1] + counts[:-1])]))
-    return ids[first], ats[first], np.add.reduceat(counts, first) if len(first) else counts
+def _documents(rows: pa.RecordBatch | pa.Table) -> Documents:
+    return tuple(rows.column(c).to_numpy() for c in DOCUMENT)
 
 
-def _marked(ids: np.ndarray, ats: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+def _picked(docs: Documents, rows: np.ndarray) -> Documents:
+    return tuple(d[rows] for d in docs)
+
+
+def _runs(docs: Documents, ats: np.ndarray, counts: np.ndarray) -> tuple[Documents, np.ndarray, np.ndarray]:
+    """Adjoining stretches of a document as one: (document, first start, number of starts)."""
+    order = np.lexsort((ats, *docs[::-1]))
+    docs, ats, counts = _picked(docs, order), ats[order], counts[order]
+    other = np.any([d[1:] != d[:-1] for d in docs], axis=0)
+    first = np.flatnonzero(np.concatenate([[True], other | (ats[1:] != ats[:-1] + counts[:-1])]))
+    return _picked(docs, first), ats[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _marked(docs: Documents, ats: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     """Rows for repeats."""
-    ids, ats, counts = _runs(ids, ats, counts)
-    none = np.zeros(len(ids), dtype=np.int64)
-    return _batch(SENT, none, none, ids, ats, counts, np.ones(len(ids), dtype=bool))
+    docs, ats, counts = _runs(docs, ats, counts)
+    none = np.zeros(len(ats), dtype=np.int64)
+    return _batch(SENT, none, none, *docs, ats, counts, np.ones(len(ats), dtype=bool))
 
 
-def _leaders(ids: np.ndarray, ats: np.ndarray, *names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows in order of ``names``, id and start; whether each is the first of its names, and whether a later start repeats it."""
-    order = np.lexsort((ats, ids, *names[::-1]))
+def _leaders(docs: Documents, ats: np.ndarray, *names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in order of ``names``, document and start; whether each is the first of its names, and whether a later start repeats it."""
+    order = np.lexsort((ats, *docs[::-1], *names[::-1]))
     new = np.concatenate([[True], np.any([n[order][1:] != n[order][:-1] for n in names], axis=0)])
     first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    later = ~new & ((ids[order] != ids[first]) | (ats[order] != ats[first]))
+    later = ~new & np.any([c[order] != c[first] for c in (*docs, ats)], axis=0)
     return order, new, later
 
 
@@ -146,13 +159,12 @@ def _sent_rows(width: int, key: int):
                 return
             keys, same, first, count = (np.concatenate(c) for c in zip(*found, strict=True))
             keys, same = keys.view(np.int64), same.view(np.int64)
-            ids = np.repeat(batch.column("cut_id").to_numpy(), times)
-            ats = first + np.repeat(batch.column("cut_at").to_numpy(), times)
-            order, new, later = _leaders(ids, ats, keys, same)
+            docs = tuple(np.repeat(d, times) for d in _documents(batch))
+            order, new, later = _leaders(docs, first, keys, same)
             lead, again = order[new], order[later]
-            yield _batch(SENT, keys[lead], same[lead], ids[lead], ats[lead], count[lead], np.zeros(len(lead), dtype=bool))
+            yield _batch(SENT, keys[lead], same[lead], *_picked(docs, lead), first[lead], count[lead], np.zeros(len(lead), dtype=bool))
             if len(again):
-                yield _marked(ids[again], ats[again], count[again])
+                yield _marked(_picked(docs, again), first[again], count[again])
         return rows
     return sliced("cut_text", start)
 
@@ -164,7 +176,8 @@ def _first_rows(largest: int):
     copies, how many chunks its key has so far, and whether it was sent.
     ``cut_crowd`` is true for one row of a key that has more than ``largest``.
     """
-    names = ["cut_key", "cut_id", "cut_at", "cut_n", "cut_copy", "cut_crowd"]
+    names = ["cut_key", *DOCUMENT, "cut_at", "cut_n", "cut_copy", "cut_crowd"]
+    passed = names[:-1]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before, sent = None, 0, False
@@ -172,14 +185,15 @@ def _first_rows(largest: int):
             copy = batch.column("cut_copy").to_numpy(zero_copy_only=False)
             if copy.any():
                 part = batch.filter(pa.array(copy))
-                yield _batch(names, *(part.column(c) for c in ("cut_key", "cut_id", "cut_at", "cut_n", "cut_copy")), np.zeros(part.num_rows, dtype=bool))
+                yield _batch(names, *(part.column(c) for c in passed), np.zeros(part.num_rows, dtype=bool))
                 batch = batch.filter(pa.array(~copy))
             if not batch.num_rows:
                 continue
-            key, same, ids, ats, count = (batch.column(c).to_numpy() for c in SENT[:5])
+            columns = [batch.column(c).to_numpy() for c in SENT[:-1]]
             if held is not None:
-                key, same, ids, ats, count = (np.concatenate([[h], c]) for h, c in zip(held, (key, same, ids, ats, count), strict=True))
-            order, new, later = _leaders(ids, ats, key, same)  # in order already, but for the ties of equal rows
+                columns = [np.concatenate([[h], c]) for h, c in zip(held, columns, strict=True)]
+            key, same, *docs, ats, count = columns
+            order, new, later = _leaders(docs, ats, key, same)  # in order already, but for the ties of equal rows
             assert held is None or order[0] == 0
             lead = order[new]
             starts = np.flatnonzero(np.concatenate([[True], key[lead][1:] != key[lead][:-1]]))
@@ -193,51 +207,51 @@ def _first_rows(largest: int):
                 wanted[0] = False
             pick = lead[wanted]
             if len(pick):
-                yield _batch(names, key[pick], ids[pick], ats[pick], count[pick], np.zeros(len(pick), dtype=bool), place[wanted] == largest)
+                yield _batch(names, key[pick], *_picked(docs, pick), ats[pick], count[pick], np.zeros(len(pick), dtype=bool), place[wanted] == largest)
             again = order[later]
             if len(again):
-                marks = _marked(ids[again], ats[again], count[again])
-                yield _batch(names, *(marks.column(c) for c in ("cut_key", "cut_id", "cut_at", "cut_n", "cut_copy")), np.zeros(marks.num_rows, dtype=bool))
+                marks = _marked(_picked(docs, again), ats[again], count[again])
+                yield _batch(names, *(marks.column(c) for c in passed), np.zeros(marks.num_rows, dtype=bool))
             last = lead[-1]
-            held, before, sent = tuple(c[last] for c in (key, same, ids, ats, count)), int(sizes[-1]), bool(sizes[-1] > 1)
+            held, before, sent = tuple(c[last] for c in columns), int(sizes[-1]), bool(sizes[-1] > 1)
     return rows
 
 
 def _text_rows(width: int):
     """The wanted chunks with their words; those of crowded keys window by window, under a hash of the window."""
-    names = ["cut_key", "cut_id", "cut_at", "cut_n", "cut_words", "cut_copy"]
+    names = ["cut_key", *DOCUMENT, "cut_at", "cut_n", "cut_words", "cut_copy"]
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         out: list[tuple] = []
         split: list[tuple] = []
-        for id, offset, text, wanted in zip(*(batch.column(k).to_pylist() for k in ("cut_id", "cut_at", "cut_text", "cut_wanted")), strict=True):
+        for *doc, text, wanted in zip(*(batch.column(k).to_pylist() for k in (*DOCUMENT, "cut_text", "cut_wanted")), strict=True):
             parts = text.split()
             for x in wanted:
-                at = x["cut_at"] - offset
+                at = x["cut_at"]
                 if not x["cut_crowd"]:
-                    out.append((x["cut_key"], id, x["cut_at"], x["cut_n"], b" ".join(parts[at:at + x["cut_n"] - 1 + width])))
+                    out.append((x["cut_key"], *doc, at, x["cut_n"], b" ".join(parts[at:at + x["cut_n"] - 1 + width])))
                     continue
                 for k in range(x["cut_n"]):
                     window = b" ".join(parts[at + k:at + k + width])
-                    split.append((xxhash.xxh64_intdigest(window, 2) - (1 << 63), id, x["cut_at"] + k, 1, window))
+                    split.append((xxhash.xxh64_intdigest(window, 2) - (1 << 63), *doc, at + k, 1, window))
         if split:  # as with chunks, a slice sends the first of equal windows
-            keys, ids, ats = (np.array(c) for c in list(zip(*split, strict=True))[:3])
-            other = np.array([xxhash.xxh64_intdigest(w[4], 3) for w in split], dtype=np.uint64)
-            order, new, later = _leaders(ids, ats, keys, other)
+            keys, *docs, ats = (np.array(c) for c in list(zip(*split, strict=True))[:-2])
+            other = np.array([xxhash.xxh64_intdigest(w[-1], 3) for w in split], dtype=np.uint64)
+            order, new, later = _leaders(docs, ats, keys, other)
             out += [split[i] for i in order[new]]
             again = order[later]
             if len(again):
-                marks = _marked(ids[again], ats[again], np.ones(len(again), dtype=np.int64))
-                yield _batch(names, *(marks.column(c) for c in names[:4]), pa.nulls(marks.num_rows, pa.binary()), marks.column("cut_copy"))
+                marks = _marked(_picked(docs, again), ats[again], np.ones(len(again), dtype=np.int64))
+                yield _batch(names, *(marks.column(c) for c in names[:-2]), pa.nulls(marks.num_rows, pa.binary()), marks.column("cut_copy"))
         if out:
             yield _batch(names, *zip(*out, strict=True), np.zeros(len(out), dtype=bool))
     return sliced("cut_text", lambda: rows)
 
 
-def repeats(texts: list[bytes], counts: np.ndarray, ids: np.ndarray, ats: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(id, start) of all suffixes but the first below each node of depth ``width``.
+def repeats(texts: list[bytes], counts: np.ndarray, docs: Documents, ats: np.ndarray, width: int) -> tuple[Documents, np.ndarray]:
+    """(document, start) of all suffixes but the first below each node of depth ``width``.
 
     Sorted suffixes and the common prefixes of neighbours are the tree: a node
     of depth d is a run of neighbours with at least d words in common.
@@ -247,26 +261,27 @@ def repeats(texts: list[bytes], counts: np.ndarray, ids: np.ndarray, ats: np.nda
     bases = np.concatenate([[0], np.cumsum([len(c) for c in coded])[:-1]])
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     starts = np.repeat(bases, counts) + within
-    owner, place = np.repeat(ids, counts), np.repeat(ats, counts) + within
+    owner, place = tuple(np.repeat(d, counts) for d in docs), np.repeat(ats, counts) + within
     heads = np.concatenate(coded)[starts[:, None] + np.arange(width)]
-    order = np.lexsort((place, owner, *heads.T[::-1]))
+    order = np.lexsort((place, *owner[::-1], *heads.T[::-1]))
     heads = heads[order]
     depth = np.where((same := heads[1:] == heads[:-1]).all(axis=1), width, same.argmin(axis=1))
     above = np.concatenate([[True], depth < width])  # a new node begins
     first = order[np.maximum.accumulate(np.where(above, np.arange(len(order)), 0))]
-    again = order[~above & ((owner[order] != owner[first]) | (place[order] != place[first]))]
-    return owner[again], place[again]
+    again = order[~above & np.any([c[order] != c[first] for c in (*owner, place)], axis=0)]
+    return _picked(owner, again), place[again]
 
 
 def _tree_rows(width: int, group: int):
     """Marks pass as they are; chunks come in order of key and are gathered into groups of whole keys."""
-    names = ["cut_id", "cut_at", "cut_n"]
+    names = [*DOCUMENT, "cut_at", "cut_n"]
 
     def solve(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(parts)
-        ids, ats = repeats(rows["cut_words"].to_pylist(), rows["cut_n"].to_numpy(), rows["cut_id"].to_numpy(), rows["cut_at"].to_numpy(), width)
-        if len(ids):
-            yield _batch(names, *_runs(ids, ats, np.ones(len(ids), dtype=np.int64)))
+        docs, ats = repeats(rows["cut_words"].to_pylist(), rows["cut_n"].to_numpy(), _documents(rows), rows["cut_at"].to_numpy(), width)
+        if len(ats):
+            docs, ats, counts = _runs(docs, ats, np.ones(len(ats), dtype=np.int64))
+            yield _batch(names, *docs, ats, counts)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -292,11 +307,11 @@ def _tree_rows(width: int, group: int):
 def _kept_rows(width: int, names: list[str]):
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         total, removed, kept = [], [], []
-        for text, offset, spans in zip(*(batch.column(k).to_pylist() for k in ("cut_text", "cut_at", "cut_spans")), strict=True):
+        for text, spans in zip(*(batch.column(k).to_pylist() for k in ("cut_text", "cut_spans")), strict=True):
             parts = text.split()
             edges = np.zeros(len(parts) + 1, dtype=np.int64)
             for span in spans or ():
-                start = span["cut_at"] - offset
+                start = span["cut_at"]
                 edges[start] += 1
                 edges[start + span["cut_n"] - 1 + width] -= 1
             gone = np.cumsum(edges[:-1]) > 0
@@ -321,33 +336,35 @@ def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     content = text_of(text)
     added = ("cut_words", "cut_removed", "cut_kept")
     others = [c for c in docs.columns if c != text and c not in added]
+    # in order of the hash's last 24 bits, then of the others; null ids after the greatest id
+    hashed = F.shiftleft(F.xxhash64(content).bitwiseAND(F.lit((1 << 24) - 1)), 39).bitwiseOR(F.shiftrightunsigned(F.xxhash64(content), 25))
+    hashed = F.when(F.col(id).cast("long").isNull(), hashed).otherwise(hashed.bitwiseOR(F.lit(-1 << 63)))
     own = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(LAST_ID)).alias("cut_id"),
-        F.shiftleft(F.xxhash64(content).bitwiseAND(F.lit((1 << 24) - 1)), START_BITS).alias("cut_at"),
+        hashed.alias("cut_doc"), F.xxhash64(F.lit("other"), content).alias("cut_more"),
         content.cast("binary").alias("cut_text"), F.struct(F.lit(None).cast("int").alias("cut_none"), *[F.col(f"`{c}`") for c in others]).alias("cut_row"),
         F.col(text).isNull().alias("cut_null"))
-    document = F.shiftleft(F.shiftright("cut_at", START_BITS), START_BITS)
 
     def dealt(rows: DataFrame, *order: str) -> DataFrame:
         """By key; marks, which may all have one, by document."""
-        route = F.when(F.col("cut_copy"), F.xxhash64("cut_id")).otherwise(F.xxhash64("cut_key"))
+        route = F.when(F.col("cut_copy"), F.xxhash64(*DOCUMENT)).otherwise(F.xxhash64("cut_key"))
         return rows.repartition(parts, route).sortWithinPartitions("cut_copy", "cut_key", *order)
 
-    sent = own.select("cut_id", "cut_at", "cut_text").mapInArrow(_sent_rows(width, key), SENT_TYPES)
-    known = staged(dealt(sent, "cut_same", "cut_id", "cut_at").mapInArrow(
-        _first_rows(largest), "cut_key long, cut_id long, cut_at long, cut_n long, cut_copy boolean, cut_crowd boolean"), "chunks")
+    sent = own.select(*DOCUMENT, "cut_text").mapInArrow(_sent_rows(width, key), SENT_TYPES)
+    known = staged(dealt(sent, "cut_same", *DOCUMENT, "cut_at").mapInArrow(
+        _first_rows(largest), f"cut_key long, {DOCUMENT_TYPES}, cut_at long, cut_n long, cut_copy boolean, cut_crowd boolean"), "chunks")
     crowds = known.where("cut_crowd").select("cut_key", F.lit(True).alias("cut_many"))
     wanted = (known.where(~F.col("cut_copy")).drop("cut_crowd").join(crowds, "cut_key", "left")
               .withColumn("cut_chunk", F.struct("cut_at", "cut_n", "cut_key", F.coalesce("cut_many", F.lit(False)).alias("cut_crowd")))
-              .groupBy("cut_id", document.alias("cut_at")).agg(F.collect_list("cut_chunk").alias("cut_wanted")))
-    placed = own.repartition(parts, "cut_id", "cut_at")
-    texts = placed.join(wanted, ["cut_id", "cut_at"]).mapInArrow(
-        _text_rows(width), "cut_key long, cut_id long, cut_at long, cut_n long, cut_words binary, cut_copy boolean")
-    marks = (dealt(texts).mapInArrow(_tree_rows(width, group), "cut_id long, cut_at long, cut_n long")
-             .union(known.where("cut_copy").select("cut_id", "cut_at", "cut_n")))
+              .groupBy(*DOCUMENT).agg(F.collect_list("cut_chunk").alias("cut_wanted")))
+    placed = own.repartition(parts, *DOCUMENT)
+    texts = placed.join(wanted, DOCUMENT).mapInArrow(
+        _text_rows(width), f"cut_key long, {DOCUMENT_TYPES}, cut_at long, cut_n long, cut_words binary, cut_copy boolean")
+    marks = (dealt(texts).mapInArrow(_tree_rows(width, group), f"{DOCUMENT_TYPES}, cut_at long, cut_n long")
+             .union(known.where("cut_copy").select(*DOCUMENT, "cut_at", "cut_n")))
     gathered = (marks.withColumn("cut_span", F.struct("cut_at", "cut_n"))
-                .groupBy("cut_id", document.alias("cut_at")).agg(F.collect_list("cut_span").alias("cut_spans")))
-    joined = placed.join(gathered, ["cut_id", "cut_at"], "left")
+                .groupBy(*DOCUMENT).agg(F.collect_list("cut_span").alias("cut_spans")))
+    joined = placed.join(gathered, DOCUMENT, "left")
     row_type = dict(own.dtypes)["cut_row"]
     done = joined.mapInArrow(_kept_rows(width, ["cut_row", "cut_text", "cut_null"]),
                              f"cut_row {row_type}, cut_text binary, cut_null boolean, cut_words long, cut_removed long, cut_kept binary")
