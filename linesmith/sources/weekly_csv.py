@@ -1,4 +1,4 @@
-"""Weekly odds files whose headers differ in their book columns."""
+"""Weekly odds files whose headers differ in their book columns, read line by line."""
 
 from __future__ import annotations
 
@@ -11,25 +11,35 @@ from ..schema import canonical_order, weekly_schema
 from ..session import staged
 
 
-def weekly_cells(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, names, cells) of every data line, read once.
+def weekly_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Every line with any text: its file, the block of the file it lies in, its place there, and the line.
 
-    A weekly file holds one week's games, so a file is one row; its first line
-    with any text is the header of its other lines, wherever its columns stand.
-    No list of files is gathered. Quoted cells may hold commas, not line ends.
+    Files are read line by line, large ones in blocks by several tasks. A block
+    belongs to one task, which reads it in order. The lines are stored, as
+    places are only good within one scan.
     """
-    files = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-             .text(paths, wholetext=True)
-             .select(F.col("_metadata.file_path").alias("path"),
-                     F.filter(F.split(F.regexp_replace("value", "^\\uFEFF", ""), "\\r\\n|\\r|\\n"),
-                              lambda line: F.trim(line) != "").alias("lines")))
-    lines = files.select("path", _cells(F.col("lines")[0]).alias("names"),
-                         F.explode(F.slice("lines", F.lit(2), F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
-    return lines.select("path", F.transform("names", F.trim).alias("names"), _cells(F.col("line")).alias("cells"))
+    found = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(paths)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
+             .where(F.trim(F.regexp_replace("line", "^\\uFEFF", "")) != ""))
+    return staged(found, "weekly-lines")
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(path, block, place, names): the first line of each file, one row per file."""
+    first = F.struct("block", "place", "line")
+    top = lines.groupBy("path").agg(F.min(first).alias("top"))
+    names = _cells(F.regexp_replace("top.line", "^\\uFEFF", ""))
+    return staged(top.select("path", F.col("top.block").alias("block"), F.col("top.place").alias("place"),
+                             F.transform(names, F.trim).alias("names")), "weekly-headers")
 
 
 def _cells(line: Column) -> Column:
-    """The cells of a CSV line, quotes taken off."""
+    """The cells of a CSV line, quotes taken off; a line without any is only split."""
+    return F.when(line.contains('"'), _quoted_cells(line)).otherwise(F.split(line, ","))
+
+
+def _quoted_cells(line: Column) -> Column:
     found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
     return F.transform(found, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1), F.replace(
         F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
@@ -56,20 +66,27 @@ def read_weekly_csv(spark: SparkSession, paths: str | list[str],
 
     One CSV scan takes a single header and maps other files by position, which
     puts prices under the wrong book. Here each line's cells are picked by the
-    header of its own file. The lines are stored once: the columns of the table
-    are the names found there. ``misses`` names a column that counts a row's
-    cells which hold text but no value of their type.
+    header of its own file: the place of every column in a header is looked up
+    once per file and joined to the file's lines, which stay narrow. A line has
+    the text of its own cells only, so neither a file's nor a week's size
+    matters. Quoted cells may hold commas, not line ends; of columns named
+    twice the first counts. ``misses`` names a column that counts a row's cells
+    which hold text but no value of their type.
     """
-    lines = staged(weekly_cells(spark, paths), "weekly-lines")
-    found = [r[0] for r in lines.select(F.explode("names")).distinct().collect() if r[0]]
+    lines = weekly_lines(spark, paths)
+    headers = file_headers(lines)
+    found = [r[0] for r in headers.select(F.explode("names")).distinct().collect() if r[0]]
     schema = schema_of(canonical_order(sorted(found)) or ["game_id", "team_id", "season", "week"])
-    by_name = F.map_from_entries(F.arrays_zip(
-        F.col("names").alias("key"), F.transform("names", lambda _, i: F.get("cells", i)).alias("value")))
-    rows = lines.select(by_name.alias("__row"))
-    values = {f.name: _typed(F.col("__row")[f.name], f.dataType) for f in schema.fields}
+    at = F.array(*[F.array_position("names", f.name).cast("int") - 1 for f in schema.fields])
+    heads = headers.select("path", F.struct("block", "place").alias("__head"), at.alias("__at"))
+    rows = (lines.join(heads, "path").where(F.struct("block", "place") != F.col("__head"))
+            .select("__at", _cells(F.col("line")).alias("__cells")))
+    # the cells are cut once per line: Catalyst would copy them into every column
+    cell = {f.name: F.when(F.col("__at")[i] >= 0, F.get("__cells", F.col("__at")[i])) for i, f in enumerate(schema.fields)}
+    values = {f.name: _typed(cell[f.name], f.dataType) for f in schema.fields}
     if misses:
         values[misses] = reduce(lambda a, b: a + b, [
-            (~_blank(F.col("__row")[f.name]) & _typed(F.col("__row")[f.name], f.dataType).isNull()).cast("int")
+            (~_blank(cell[f.name]) & _typed(cell[f.name], f.dataType).isNull()).cast("int")
             for f in schema.fields])
     return rows.select(*[value.alias(name) for name, value in values.items()])
 
