@@ -121,6 +121,9 @@ def story_lines(ledger: DataFrame, settled: DataFrame, run: list[str], order: st
     start = (ledger.groupBy(*run).agg(F.max("start").alias("start"))
              .select(*run, F.lit(0).alias("week"), F.lit(0).cast("bigint").alias("line"), F.lit("start").alias("kind"),
                      filled(say["start"], {"start": v.dollars("start")}).alias("text")))
-    bets = number_within(settled.withColumn("__text", filled(say["bet"], bet_fields())), [*run, "week"], order, "line", tie)
-    bets = bets.select(*run, "week", "line", F.lit("bet").alias("kind"), F.col("__text").alias("text"))
+    # numbered first, told last: cutting into slices reads its input twice
+    used = ["team", "opp_team", "score", "opp_score", "opening_spread", "prob", "covered", "bet_amt", "payout"]
+    placed = settled.select(*dict.fromkeys([*run, "week", order, *(tie or []), *used]))
+    bets = number_within(placed, [*run, "week"], order, "line", tie)
+    bets = bets.select(*run, "week", "line", F.lit("bet").alias("kind"), filled(say["bet"], bet_fields()).alias("text"))
     return start.unionByName(weeks).unionByName(bets)

@@ -15,13 +15,11 @@ from .registry import query, table
 from .weekly import page_order, weekly_odds, wide_lines
 
 _CLASS = {f.name: f.cls for f in PARTICIPANT_FIELDS}
-#: Sixteen orders make a page, so pages stay small however large the tables are.
-_PER_PAGE = 16
 _DAY = "timestamp'2024-09-08 12:00:00'"
 
 # A game is an order with two suppliers or more: the least and the largest play.
-_GAMES_SQL = f"""g AS (SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS INTEGER) AS season,
-    CAST(o_orderkey // {_PER_PAGE} AS INTEGER) AS week, min(l_suppkey) AS low, max(l_suppkey) AS high,
+_GAMES_SQL = """g AS (SELECT o_orderkey AS game_id, CAST(year(o_orderdate) AS INTEGER) AS season,
+    CAST(month(o_orderdate) AS INTEGER) AS week, min(l_suppkey) AS low, max(l_suppkey) AS high,
     CAST(min(l_linenumber) AS INTEGER) AS low_score, CAST(count(*) * 3 AS INTEGER) AS high_score,
     CAST(min(l_quantity) AS INTEGER) / 2 AS line, max(l_tax) * 100 AS share
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL HAVING min(l_suppkey) < max(l_suppkey)),
@@ -32,12 +30,11 @@ s AS (SELECT game_id, season, week, low AS team_id, low_score AS score, line, sh
 def _games(spark, sf) -> DataFrame:
     """The sides of all games: team, score, line and share."""
     rows = table(spark, sf, "orders").join(table(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    games = (rows.groupBy(F.col("o_orderkey").alias("game_id"), F.year("o_orderdate").alias("season"))
+    games = (rows.groupBy(F.col("o_orderkey").alias("game_id"), F.year("o_orderdate").alias("season"), F.month("o_orderdate").alias("week"))
              .agg(F.min("l_suppkey").alias("low"), F.max("l_suppkey").alias("high"),
                   F.min("l_linenumber").cast("int").alias("low_score"), (F.count(F.lit(1)) * 3).cast("int").alias("high_score"),
                   (F.min("l_quantity").cast("int") / 2).alias("line"), (F.max("l_tax") * 100).alias("share"))
-             .where(F.col("low") < F.col("high"))
-             .withColumn("week", F.floor(F.col("game_id") / _PER_PAGE).cast("int")))
+             .where(F.col("low") < F.col("high")))
     sides = F.array(F.struct(F.col("low").alias("team_id"), F.col("low_score").alias("score"), F.col("line"), F.col("share"), F.lit(1).alias("rotation")),
                     F.struct(F.col("high").alias("team_id"), F.col("high_score").alias("score"), (-F.col("line")).alias("line"),
                              (100 - F.col("share")).alias("share"), F.lit(2).alias("rotation")))
@@ -118,7 +115,7 @@ SELECT a.game_id, a.team_id, a.season, a.week, a.score, b.score AS opp_score, 1.
 FROM s a JOIN s b ON a.game_id = b.game_id AND a.team_id <> b.team_id""")
 def captures_to_games(spark, sf):
     """Pages and responses, the weekly table, then opponents, moves and labels."""
-    games = combine_games(staged(_wide(spark, sf), "wide"))
+    games = combine_games(staged(_wide(spark, sf), "wide")).pairs
     return games.select("game_id", "team_id", "season", "week", "score", "opp_score",
                         F.round("line_movement", 6).alias("line_movement"), "margin", "covered")
 

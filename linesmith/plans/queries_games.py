@@ -9,8 +9,8 @@ from ..functions.values import fill_with, log1p_money, to_double, zscore
 from ..operators.assemble import left_join
 from ..operators.features import (fit_cover_model, hit_rates, qualifying, scale_stats,
                                   season_split)
-from ..operators.games import (game_grain, latest_per_key, line_movement, mean_of, odd_games,
-                               pair_opponents)
+from ..operators.games import (game_grain, latest_per_key, line_movement, match_games, mean_of,
+                               odd_games, pair_opponents)
 from ..operators.quantiles import exact_quantiles
 from ..operators.unpack import unpack_pivot
 from . import star
@@ -51,6 +51,23 @@ def opponents_odd_games(spark, sf):
     return both.unionByName(odd_games(lines), allowMissingColumns=True)
 
 
+@query("games_accounted", """
+WITH r AS (SELECT CASE WHEN l_linenumber <> 7 THEN l_orderkey END AS g, CASE WHEN l_suppkey % 13 <> 0 THEN l_suppkey END AS t FROM lineitem),
+k AS (SELECT g, count(*) AS n, count(DISTINCT t) AS teams FROM r WHERE g IS NOT NULL AND t IS NOT NULL GROUP BY g)
+SELECT g AS game_id, CASE WHEN n = 2 AND teams = 2 THEN 'pair' WHEN n = 1 THEN 'one side' WHEN teams = 1 THEN 'one team' ELSE 'more rows' END AS reason,
+  n AS rows FROM k
+UNION ALL SELECT g, 'no team', count(*) FROM r WHERE g IS NOT NULL AND t IS NULL GROUP BY g
+UNION ALL SELECT NULL, 'no game', count(*) FROM r WHERE g IS NULL""")
+def games_accounted(spark, sf):
+    """Every row of every order is in a pair or counted under a reason."""
+    lines = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("game_id"),
+        F.when(F.pmod("l_suppkey", F.lit(13)) != 0, F.col("l_suppkey")).alias("team_id"), "l_linenumber")
+    games = match_games(lines, carry={"l_linenumber": "opp_line"})
+    pairs = games.pairs.groupBy("game_id").agg(F.lit("pair").alias("reason"), F.count("opp_line").alias("rows"))
+    return pairs.unionByName(games.rejects)
+
+
 @query("cover_margin", f"""
 WITH {_PAIRED_SQL},
 m AS (SELECT game_id, team_id, score + opening_spread - opp_score AS margin FROM paired)
@@ -79,7 +96,7 @@ FROM books GROUP BY game_id, team_id""")
 def line_movements(spark, sf):
     """Book 1 is the opener; without its line there is no movement."""
     wide = unpack_pivot(star.records(spark, sf), ["game_id", "team_id"], "market", "book",
-                        star.ORDER, {"spread": star.PRICES["spread"]}, star.BOOKS)
+                        star.ORDER, {"spread": star.PRICES["spread"]})
     wide = wide.withColumn("opening_spread", F.col("1_spread"))
     return wide.select("game_id", "team_id", "opening_spread",
                        F.round(line_movement(wide), 6).alias("line_movement"),
@@ -182,6 +199,24 @@ def median_with_infinity(spark, sf):
     return spark.createDataFrame([(k, round(v, 6)) for k, v in medians.items()], "feature string, median double")
 
 
+_WIDE = """w AS (SELECT l_orderkey % 7 AS part, (CASE WHEN l_linenumber % 2 = 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END * l_extendedprice)
+    * ('1e' || CAST(l_orderkey * 7 % 600 - 303 AS VARCHAR))::DOUBLE AS v FROM lineitem)"""
+
+
+@query("medians_over_decades", f"""
+WITH {_WIDE}, n AS (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY v) - 1 AS place, count(*) OVER (PARTITION BY part) AS n FROM w)
+SELECT 'part_' || part AS feature, max(v) FILTER (WHERE place = (n - 1) // 2) + (max(v) FILTER (WHERE place = n // 2)
+  - max(v) FILTER (WHERE place = (n - 1) // 2)) * 0.5::DOUBLE AS median FROM n GROUP BY part""")
+def medians_over_decades(spark, sf):
+    """Seven columns of both signs over 600 decades."""
+    scale = F.concat(F.lit("1e"), (F.pmod(F.col("l_orderkey") * 7, F.lit(600)) - 303).cast("string")).cast("double")
+    value = F.when(F.pmod("l_linenumber", F.lit(2)) == 0, -1.0).otherwise(1.0) * F.col("l_extendedprice") * scale
+    rows = table(spark, sf, "lineitem").select(*[
+        F.when(F.pmod("l_orderkey", F.lit(7)) == k, value).alias(f"part_{k}") for k in range(7)])
+    medians = exact_quantiles(rows, rows.columns)
+    return spark.createDataFrame([r for r in medians.items() if r[1] is not None], "feature string, median double")
+
+
 @query("standardise", """
 WITH s AS (SELECT avg(p_retailprice) AS m, stddev_pop(p_retailprice) AS d,
                   avg(p_size) AS ms, stddev_pop(p_size) AS ds FROM part)

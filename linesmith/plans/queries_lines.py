@@ -8,7 +8,7 @@ from ..functions.values import url_param
 from ..operators.assemble import ambiguous_sides, assemble_wide, left_join, lookup_name
 from ..operators.ordered import fill_within, number_within, pair_band
 from ..operators.unpack import pivot_sources, unpack_first, unpack_pivot
-from ..sources.captures import Field, odds_records, page_rows, parse_responses
+from ..sources.captures import Field, odds_records, open_records, page_rows, parse_responses
 from ..schema import total_columns
 from ..session import staged
 from . import star
@@ -57,7 +57,7 @@ SELECT game_id, team_id, {_comma(star.books_sql())}
 FROM rec GROUP BY game_id, team_id""")
 def pivot_books(spark, sf):
     return unpack_pivot(star.records(spark, sf), ["game_id", "team_id"], "market", "book",
-                        star.ORDER, star.PRICES, star.BOOKS)
+                        star.ORDER, star.PRICES)
 
 
 @query("pivot_sources", """
@@ -89,8 +89,9 @@ def consensus_share(spark, sf):
 
 
 def _wide_sql() -> str:
-    totals = total_columns(list(star.kind_outputs()))
-    plain = [c for c in star.kind_outputs() if c not in totals]
+    outputs = star.kind_outputs(star.BOOKS[2:])
+    totals = total_columns(list(outputs))
+    plain = [c for c in outputs if c not in totals]
     return f"""
 WITH {star.RECORDS_SQL}, {star.META_SQL},
 {star.FIRSTS_SQL},
@@ -250,6 +251,25 @@ def json_records(spark, sf):
         "event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
+@query("odds_open_records", """
+SELECT l_orderkey AS eid, CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END AS partid, l_extendedprice AS ap, l_linenumber AS pos,
+  CASE WHEN l_suppkey % 7 = 0 THEN 1 ELSE 0 END AS bad, CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 0 END AS unknown,
+  CASE WHEN l_linenumber % 2 = 0 THEN l_shipmode END AS mode, CASE WHEN l_linenumber % 2 = 0 THEN l_partkey END AS part
+FROM (SELECT *, l_returnflag || l_linestatus AS l_shipmode FROM lineitem)""")
+def odds_open_records(spark, sf):
+    """Records with fields nobody declared, ids as texts and ids that are none."""
+    team = F.when(F.pmod("l_suppkey", F.lit(7)) == 0, "none").otherwise(F.col("l_suppkey").cast("string"))
+    more = F.when(F.pmod("l_linenumber", F.lit(2)) == 0, F.struct(
+        F.concat("l_returnflag", "l_linestatus").alias("mode"), F.array("l_partkey").alias("parts")))
+    record = F.struct(F.col("l_orderkey").alias("eid"), team.alias("partid"), F.lit(83).alias("mtid"), F.col("l_linenumber").alias("lineid"),
+                      F.col("l_extendedprice").alias("ap"), more["mode"].alias("mode"), more["parts"].alias("parts"))
+    bodies = table(spark, sf, "lineitem").select(F.to_json(F.struct(F.struct(F.array(record).alias("A_CL")).alias("data"))).alias("body"))
+    found = open_records(bodies, "body")
+    return found.select("eid", "partid", "ap", F.col("lineid").cast("int").alias("pos"), "bad", "unknown",
+                        F.try_variant_get(F.col("extra")["mode"], "$", "string").alias("mode"),
+                        F.try_variant_get(F.col("extra")["parts"], "$[0]", "bigint").alias("part"))
+
+
 @query("odds_response", """
 SELECT kind, l_linenumber AS paid, l_returnflag AS market, count(*) AS records,
   min(CASE WHEN kind = 'consensus' THEN NULL ELSE l_extendedprice END) AS low_price,

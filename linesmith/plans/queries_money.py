@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.betting import PAYOUT, confident, kelly, result_flag, settle, stake
 from ..operators.ledger import (Strategy, final_wealth, run_ledger, season_record, settle_bets,
                                 topup_events, wealth_curve)
-from ..operators.render import TEMPLATES, join_lines, pick_text, story_lines
+from ..operators.ordered import number_within
+from ..operators.render import TEMPLATES, pick_text, story_lines
 from . import star
 from .registry import query, table
 
@@ -176,13 +177,13 @@ _PICK_SQL = f"""key || ' (' || {_SIGN.format(x='spread')} || ',' ||
 @query("pick_strings", f"""
 WITH {star.BETS_SQL}, picks AS (SELECT key, week, game_id, line_no, part, price, {_PICK_SQL} AS pick
   FROM (SELECT *, round_even((prob - 0.6::DOUBLE) * 100, 0) / 2 AS spread FROM bets WHERE prob > 0.62))
-SELECT key, week, string_agg(pick, '  ' ORDER BY game_id, line_no, part, price, pick) AS pick
-FROM picks GROUP BY ALL""")
+SELECT key, week, row_number() OVER (PARTITION BY key, week ORDER BY game_id, line_no, part, price, pick) AS line, pick FROM picks""")
 def pick_strings(spark, sf):
     spread = F.rint((F.col("prob") - 0.6) * 100) / 2
     picks = (star.bets(spark, sf).where(confident("prob", 0.62))
              .withColumn("pick", pick_text(F.col("key").cast("string"), spread, "prob", "covered")))
-    return join_lines(picks, ["key", "week"], "game_id", "pick", "  ", ["line_no", "part", "price"])
+    lines = number_within(picks, ["key", "week"], "game_id", "line", ["line_no", "part", "price", "pick"])
+    return lines.select("key", "week", "line", "pick")
 
 
 def _told(template: str, fields: dict[str, str]) -> str:

@@ -10,10 +10,10 @@ from ..operators.render import cell_flags, render_cell
 from ..session import scratch_folder
 from ..sources.dims import (SEASON_REFS, event_groups, request_manifest, seasons,
                             unknown_weeks)
-from ..sources.store import (append_new, load_week, pending, preview, read_weekly,
+from ..sources.store import (append_new, has_rows, load_week, pending, preview, read_weekly,
                              stored_partitions, write_weekly)
 from ..sources.weekly_csv import read_weekly_csv, union_tables
-from ..streaming.ingest import capture_stream, ingest_available
+from ..streaming.ingest import capture_stream, ingest_available, newest_by_state, read_newest
 from .registry import query, table
 
 PAGE = "https://odds.example.org/nfl/"
@@ -57,6 +57,24 @@ def week_load(spark, sf):
                    ["o_orderkey", "o_custkey", "o_totalprice"])
 
 
+@query("week_present", f"""
+WITH {_ORDERS_SQL}, w AS (SELECT season, week, count(*) AS rows FROM o GROUP BY season, week),
+asked(season, week) AS (VALUES (1995, 1), (1998, 6), (1997, 12), (1997, 13), (2024, 1))
+SELECT a.season, a.week, coalesce(rows, 0) > 0 AS present, CASE WHEN rows IS NULL THEN 'No data for this week' ELSE 'Rows: ' || rows END AS note
+FROM asked a LEFT JOIN w USING (season, week)""")
+def week_present(spark, sf):
+    """Stored and absent weeks: the guard before a week is shown."""
+    path = scratch_folder(spark, "week-present")
+    write_weekly(_orders(spark, sf), path)
+    stored = read_weekly(spark, path)
+    found = []
+    for season, week in ((1995, 1), (1998, 6), (1997, 12), (1997, 13), (2024, 1)):
+        rows = load_week(stored, season, week)
+        present = has_rows(rows)
+        found.append((season, week, present, f"Rows: {rows.count()}" if present else "No data for this week"))
+    return spark.createDataFrame(found, "season int, week int, present boolean, note string")
+
+
 @query("weekly_store", f"""
 WITH {_ORDERS_SQL}
 SELECT season, week, count(*) AS rows, round(sum(o_totalprice), 2) AS price FROM o GROUP BY season, week""")
@@ -100,6 +118,28 @@ def stream_two_files(spark, sf):
     return read_weekly(spark, f"{root}/table").select("season", "week", "o_orderkey", "version", "price")
 
 
+@query("stream_newest", f"""
+WITH {_ORDERS_SQL}
+SELECT season, week, o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE 2 END AS version,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE o_totalprice - 1 END AS price FROM o""")
+def stream_newest(spark, sf):
+    """Four runs: all orders, a third of them newer, all of them older (late), and the first third again."""
+    root = scratch_folder(spark, "stream-state")
+    rows = _orders(spark, sf)
+
+    def version(number, price, only=None):
+        some = rows if only is None else rows.where(only)
+        return some.select("season", "week", "o_orderkey", F.lit(number).alias("version"), price.alias("price"))
+    third, price = F.pmod("o_orderkey", F.lit(3)) == 0, F.col("o_totalprice")
+    newer = version(3, price, third)
+    for captured in (version(2, price - 1), newer, version(1, price - 2), newer):
+        captured.write.mode("append").parquet(f"{root}/captured")
+        newest_by_state(capture_stream(spark, f"{root}/captured", newer.schema), f"{root}/log", f"{root}/progress",
+                        ["o_orderkey"], ["version"])
+    return (read_newest(spark, f"{root}/log", newer.schema, ["o_orderkey"])
+            .select("season", "week", "o_orderkey", "version", "price"))
+
+
 def _families(spark, sf):
     """Weekly rows of two header families."""
     rows = _orders(spark, sf)

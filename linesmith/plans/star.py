@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.assemble import TOTAL_PARTICIPANTS
-from ..operators.unpack import pivot_first
+from ..operators.unpack import pivot_first, present_sources
 from .registry import table
 
 ODD, EVEN = TOTAL_PARTICIPANTS
+#: The books of the given tables, for the SQL twins only: queries take theirs from the data.
 BOOKS = list(range(1, 8))
 # The capture position; lineitem has no unique key, so values break ties.
 ORDER = ["seen", "part"]
@@ -46,16 +47,16 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("rotation", F.col("team_id").cast("int")))
 
 
-def kind_outputs() -> dict:
+def kind_outputs(books: list[int]) -> dict:
     """Columns of the wide table: (kind, book, market) and the field to take.
 
     Line 1 is the opener's record, line 2 the consensus, the others are the
-    current lines of five books.
+    current lines of ``books``.
     """
     outputs = {f"opening_{out}": (("opening", None, m), f) for out, (m, f) in PRICES.items()}
     outputs |= {out: (("consensus", None, m), f) for out, (m, f) in SHARES.items()}
     return outputs | {f"{b}_{out}": (("current", b, m), f)
-                      for b in BOOKS[2:] for out, (m, f) in PRICES.items()}
+                      for b in books for out, (m, f) in PRICES.items()}
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +66,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     rows = records(spark, sf).withColumn("kind", kind).withColumn(
         "book", F.when(F.col("kind") == "current", F.col("book")))
     return pivot_first(rows, ["game_id", "team_id"], ["kind", "book", "market"], ORDER,
-                       kind_outputs())
+                       kind_outputs(present_sources(rows, "book")))
 
 
 def sides(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,7 +145,7 @@ def wide_sql() -> list[str]:
     """One plain conditional max per column, over the first value of each cell."""
     book_of = {"opening": 1, "consensus": 2}
     return [f"max({f}) FILTER (WHERE book = {book_of.get(kind, b)} AND market = '{m}') AS \"{name}\""
-            for name, ((kind, b, m), f) in kind_outputs().items()]
+            for name, ((kind, b, m), f) in kind_outputs(BOOKS[2:]).items()]
 
 
 def books_sql() -> list[str]:

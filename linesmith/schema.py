@@ -70,6 +70,12 @@ RECORD = T.StructType([T.StructField(name, T.StringType()) for name, _ in RECORD
 RESPONSE_PARTS = {"opening": "A_OL", "current": "A_CL", "consensus": "A_CO"}
 RESPONSE = T.StructType([T.StructField("data", T.StructType(
     [T.StructField(part, T.ArrayType(RECORD)) for part in RESPONSE_PARTS.values()]))])
+#: Holds a response that does not fit the types as it stands.
+WHOLE = "__whole"
+_KINDS = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType()}
+TYPED_RECORD = T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in RECORD_FIELDS])
+TYPED_RESPONSE = T.StructType([T.StructField("data", T.StructType(
+    [T.StructField(part, T.ArrayType(TYPED_RECORD)) for part in RESPONSE_PARTS.values()])), T.StructField(WHOLE, T.StringType())])
 
 PAGE_CAPTURE = T.StructType([
     T.StructField("season", T.IntegerType()), T.StructField("week", T.IntegerType()),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.games import latest_per_key
 from ..session import staged
@@ -50,6 +50,38 @@ def ingest_available(spark: SparkSession, source, target: str, checkpoint: str,
     return sum(written)
 
 
+def newest_by_state(source: DataFrame, target: str, checkpoint: str, keys: list[str], newest: list[str],
+                    at_once: bool = True) -> int:
+    """Keep the newest row of each key in the stream's state and append the changed keys to a log.
+
+    A week is not rewritten when a row of it comes again: the state store holds
+    the newest row of every key, partitioned by key, and a batch adds the keys that
+    changed and no others. ``newest`` orders rows of a key, the other columns
+    settle ties; older rows that come late, and repeated ones, change nothing. A
+    batch is a folder of its own, replaced where the batch is run again. Returns
+    the rows appended; ``read_newest`` has the table.
+    """
+    rest = [c for c in source.columns if c not in keys and c not in newest]
+    best = source.groupBy(*keys).agg(F.max(F.struct(*newest, *rest)).alias("__best"))
+    appended = []
+
+    def store(batch: DataFrame, number: int) -> None:
+        folder = f"{target}/batch={number}"
+        batch.select(*keys, "__best.*").write.mode("overwrite").parquet(folder)
+        appended.append(batch.sparkSession.read.schema(source.schema).parquet(folder).count())
+
+    writer = best.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+    query = (writer.trigger(availableNow=True) if at_once else writer).start()
+    query.awaitTermination()
+    return sum(appended)
+
+
+def read_newest(spark: SparkSession, target: str, schema, keys: list[str]) -> DataFrame:
+    """The newest row of each key from the log of ``newest_by_state``: the one of its last batch."""
+    log = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
+    return latest_per_key(log, list(keys), ["batch"]).drop("batch")
+
+
 def capture_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
                    files: str = "*") -> DataFrame:
     """Files of a folder, those matching ``files`` only, as a stream."""

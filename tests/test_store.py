@@ -165,3 +165,43 @@ def test_types_follow_names():
     assert [f.dataType.simpleString() for f in weekly_schema(
         ["game_id", "score", "date", "8_total_odds", "total_dollar_pct"])] == [
         "bigint", "int", "string", "double", "double"]
+
+
+def test_lines_carry_no_file_and_headers_no_lines(spark, tmp_path):
+    """No array is exploded and no row holds a file: lines are joined with one short row per file."""
+    write(tmp_path, "week_1.csv", "game_id,team_id,8_spread\n" + "".join(f"{k},{k},1.5\n" for k in range(3000)))
+    write(tmp_path, "week_2.csv", "\n  \nteam_id,game_id,game_id,9_spread\n5,6,7,8\n")
+    df = read_weekly_csv(spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "collect" not in plan
+    assert df.count() == 3001 and rows(df.where("`9_spread` is not null"), "game_id", "team_id", "9_spread") == [(6, 5, 8.0)]
+
+
+def test_a_file_read_in_blocks(spark, tmp_path):
+    write(tmp_path, "week_1.csv", "game_id,team_id,team\n" + "".join(f'{k},{k},"a, {k}"\n' for k in range(20_000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        got = read_weekly_csv(spark, str(tmp_path))
+        assert got.count() == 20_000 and got.where("team = concat('a, ', game_id)").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_state_keeps_the_newest_row_of_a_key(spark, tmp_path):
+    from linesmith.streaming.ingest import newest_by_state, read_newest
+    source, log, progress = (str(tmp_path / n) for n in ("in", "log", "progress"))
+    schema = "game_id long, team_id long, version int, note string"
+
+    def run(*data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(source)
+        stream = capture_stream(spark, source, schema)
+        return newest_by_state(stream, log, progress, ["game_id", "team_id"], ["version"])
+
+    def now():
+        kinds = spark.createDataFrame([], schema).schema
+        return rows(read_newest(spark, log, kinds, ["game_id", "team_id"]))
+    assert run((1, 10, 2, "a"), (1, 11, 2, "b"), (1, 10, 1, "older")) == 2
+    assert run((1, 10, 3, "new"), (2, 12, 1, "c")) == 2
+    run((1, 10, 1, "late"), (1, 11, 2, "b"), (1, 11, 2, "a"))
+    assert now() == [(1, 10, 3, "new"), (1, 11, 2, "b"), (2, 12, 1, "c")]

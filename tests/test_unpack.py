@@ -100,3 +100,20 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "SortAggregate" not in plan
     assert got.where("game = 0").collect()[0]["m"] == 0.0
+
+
+def test_queries_take_their_books_from_the_data(spark, tmp_path):
+    """A book no list knows has its columns and counts in the consensus."""
+    from pyspark.sql import functions as F
+
+    from linesmith.plans.catalog import all_queries
+    line = (1, 2, 3, 8, 5.0, 100.0, 0.07, 0.02, "N", "O")
+    lines = spark.createDataFrame([line, (1, 2, 3, 1, 5.0, 100.0, 0.05, 0.02, "N", "O"), (1, 2, 3, 2, 5.0, 100.0, 0.05, 0.02, "N", "O")],
+                                  "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                  "l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    lines.withColumn("l_shipdate", F.expr("timestamp_ntz'1997-01-01 00:00:00'")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    known = all_queries()
+    assert known["pivot_books"].run(spark, str(tmp_path)).select("8_spread").first()[0] == 0.07
+    assert known["assemble_wide"].run(spark, str(tmp_path)).select("8_spread", "opening_spread").first() == (0.07, 0.05)
+    moved = known["line_movement"].run(spark, str(tmp_path)).first()
+    assert (moved["line_movement"], moved["mean_movement"]) == (0.0, round(0.17 / 3 - 0.05, 6))
