@@ -2,7 +2,8 @@
 
 Turns come in order of turn, then role and text; null turns come first. A null
 text or role is an empty one, a null conversation id is a conversation of its
-own. A conversation becomes one row, as long as its turns together: its turns
+own. An empty table gives an empty one; only the four columns named are read, so
+others cannot clash. A conversation becomes one row, as long as its turns together: its turns
 are gathered by an aggregate that combines before the shuffle.
 """
 

@@ -14,118 +14,24 @@ all languages, or where none are held out, over all trusted documents. Only
 without any trusted text, when the model is uniform, there is no limit and all
 texts that have a perplexity are kept.
 
-``character_classes``, ``codes_of``, ``train`` and ``log_table`` are a smaller model
-of 64 character classes that fits every task. No query uses it.
+Long texts are counted whole, in slices of a task. Repeated rows are rows of their
+own, each with the same result; copies of a trusted text train as often as they
+come. An empty table gives an empty one. Only the columns named are read, so
+others cannot clash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .batches import Rows, sliced
-from .grams import HEAD, answered, counted, discounts, scored
+from .grams import HEAD, answered, counted, scored
 from .shipping import ship
 from .texts import text_of
 
 ship(__name__)
 
-ORDER, BITS = 4, 6
-SIZE = 1 << BITS
-AT_ONCE = 1 << 20  # characters scored in one go
-
-
-def character_classes() -> np.ndarray:
-    """The class of each code point: 0 is the edge of a text.
-
-    1 blank, 2 line end, 3 digit, 4-29 the letters a-z in either case, 30-53
-    other letters by code point, 54-63 the marks.
-    """
-    out = np.empty(0x110000, dtype=np.uint8)
-    out[:] = 62
-    for point in range(0x110000):
-        c = chr(point)
-        if c.isalpha():
-            out[point] = 30 + ord(c.lower()[0]) % 24
-        elif c.isdigit():
-            out[point] = 3
-        elif c.isspace():
-            out[point] = 1
-    out[ord("\n")] = 2
-    for k in range(26):
-        out[ord("a") + k] = out[ord("A") + k] = 4 + k
-    for k, group in enumerate((".", ",", "'-", "!?", ";:", "()[]{}", "\"`", "#*$%&|<>", "@/\\_+=~^")):
-        for c in group:
-            out[ord(c)] = 54 + min(k, 7)
-    out[:32][out[:32] == 62] = 63
-    return out
-
-
-def codes_of(texts: list[str], classes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Four-gram codes of the texts, some millions at a time: (first text, codes, their texts)."""
-    at = 0
-    while at < len(texts):
-        parts, owners, total, first = [], [], 0, at
-        while at < len(texts) and (not parts or total + len(texts[at]) <= AT_ONCE):
-            points = np.frombuffer(texts[at].encode("utf-32-le"), dtype="<u4")
-            parts += [np.zeros(ORDER - 1, dtype=np.int32), classes[points].astype(np.int32)]
-            owners += [np.full(ORDER - 1, -1), np.full(len(points), at - first)]
-            total, at = total + len(points), at + 1
-        symbols, owner = np.concatenate(parts), np.concatenate(owners)
-        codes = np.zeros(len(symbols), dtype=np.int32)
-        for back in range(ORDER):
-            codes[back:] |= symbols[:len(symbols) - back] << (BITS * back)
-        mine = owner >= 0
-        yield first, codes[mine], owner[mine]
-
-
-def _count_rows() -> Rows:
-    classes = character_classes()
-
-    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        counts: list[np.ndarray] = [np.unique(codes, return_counts=True) for _, codes, _ in codes_of(batch.column(0).to_pylist(), classes)]
-        code, at = np.unique(np.concatenate([c for c, _ in counts]), return_inverse=True)
-        n = np.bincount(at, np.concatenate([n for _, n in counts]), len(code)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64)), pa.array(n)], names=["code", "n"])
-    return rows
-
-
-def train(texts: DataFrame, text: str = "text") -> dict[int, tuple[np.ndarray, ...]]:
-    """By order: n-gram codes with their discounted shares, and contexts with what they leave to the order below."""
-    grams = staged(texts.select(text_of(text).alias("kn_text")).mapInArrow(sliced("kn_text", _count_rows), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "kn-counts")
-    model: dict[int, tuple[np.ndarray, ...]] = {}
-    for order in range(ORDER, 0, -1):
-        few = {r[0]: r[1] for r in grams.where("n <= 4").groupBy("n").agg(F.count("*")).collect()}
-        off = discounts(few)
-        taken = F.when(F.col("n") == 1, off[0]).when(F.col("n") == 2, off[1]).otherwise(off[2])
-        named = grams.withColumn("context", F.shiftright("code", BITS)).withColumn("taken", taken)
-        contexts = named.groupBy("context").agg(F.sum("n").alias("total"), F.sum("taken").alias("left"))
-        shares = named.join(contexts.select("context", "total"), "context").select("code", ((F.col("n") - F.col("taken")) / F.col("total")).alias("share")).toPandas()
-        rest = contexts.select("context", (F.col("left") / F.col("total")).alias("rest")).toPandas()
-        model[order] = (shares["code"].to_numpy(np.int32), shares["share"].to_numpy(np.float32), rest["context"].to_numpy(np.int32), rest["rest"].to_numpy(np.float32))
-        if order > 1:  # below the top: in how many contexts an n-gram is continued
-            grams = staged(grams.groupBy(F.col("code").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1)).alias("code")).agg(F.count("*").alias("n")), "kn-counts")
-    return model
-
-
-def log_table(model: dict[int, tuple[np.ndarray, ...]]) -> np.ndarray:
-    """log p of every four-gram's last symbol."""
-    below = np.full(SIZE, 1 / SIZE, dtype=np.float32)
-    for order in range(1, ORDER + 1):
-        code, share, context, rest = model[order]
-        left = np.ones(1 << BITS * (order - 1), dtype=np.float32)
-        left[context] = rest
-        now = (left.reshape(-1, max(1, len(below) // SIZE), 1) * below.reshape(1, -1, SIZE)).reshape(-1)
-        now[code] += share
-        below = now
-    return np.log(below, out=below)
-
-
 def held_out(text: str) -> Column:
     """A fifth of the texts, by content, so that copies stay together: trusted ones set the limits and do not train."""
     return F.pmod(F.xxhash64(F.lit("held out"), text_of(text)), F.lit(5)) == 0

@@ -2,10 +2,17 @@
 
 Statements: ``{% for x in e %}``, ``{% if e %} {% elif e %} {% else %}``,
 ``{% set x = e %}``, ``{% generation %}``, each but ``set`` ended by ``end…``;
-``{{ e }}`` prints, ``{# … #}`` is a comment. Expressions: texts, whole numbers,
-``true false none``, names, ``a.b``, ``a['b']``, ``not and or``, ``== != in``,
-``~`` (joins texts) and filters ``e | name``. ``loop.first``, ``loop.last`` and
-``loop.index0`` exist inside ``for``.
+``{{ e }}`` prints, ``{# … #}`` is a comment; a ``-`` inside a tag's mark takes the
+white space next to it. Expressions: texts, whole numbers, ``true false none``,
+names, ``a.b``, ``a['b']``, ``a[0]``, ``a[1:]``, ``not and or``, ``== != < > <= >= in``,
+``not in``, ``is (not) defined/none/string``, ``+ - %``, ``~`` (joins texts) and filters
+``e | name``. Inside ``for`` there are ``loop.index``, ``index0``, ``first``, ``last``
+and ``length``.
+
+A name or key that does not exist is undefined: it is false, ``is defined`` tells,
+and anything else done with it is an error, as printing nothing would hide it.
+What the language lacks, calls and methods among them, is an error when the
+template is compiled.
 
 The sandbox is what the language lacks: no calls, no imports, no attributes but
 the keys of the values given, no writes outside ``set``. A template is parsed to
@@ -28,8 +35,8 @@ from .shipping import ship
 
 ship(__name__)
 
-TAGS = re.compile(r"\{%-?\s*(?P<statement>.*?)\s*-?%\}|\{\{\s*(?P<print>.*?)\s*\}\}|\{#.*?#\}", re.S)
-TOKENS = re.compile(r"""\s*(?:(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<mark>==|!=|[.\[\]|~()]))""", re.S)
+TAGS = re.compile(r"\{(?:%(?P<s1>-?)\s*(?P<statement>.*?)\s*(?P<s2>-?)%|\{(?P<p1>-?)\s*(?P<print>.*?)\s*(?P<p2>-?)\}|#(?P<c1>-?).*?(?P<c2>-?)#)\}", re.S)
+TOKENS = re.compile(r"""\s*(?:(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<mark>==|!=|<=|>=|[<>+%:.\[\]|~()-]))""", re.S)
 CONSTANTS = {"true": True, "false": False, "none": None}
 ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
 
@@ -104,14 +111,37 @@ class _Expression:
 
     def compared(self) -> Node:
         node = self.joined()
-        while sign := self.take("==", "!=", "in"):
-            node = (sign, node, self.joined())
+        while sign := self.take("==", "!=", "<=", ">=", "<", ">", "in", "not", "is"):
+            if sign == "is":
+                other = self.take("not")
+                test = self.name()
+                if test not in TESTS:
+                    raise SyntaxError(f"no such test: {test}")
+                node = ("not", ("is", test, node)) if other else ("is", test, node)
+            elif sign == "not":
+                if not self.take("in"):
+                    raise SyntaxError("in is missing")
+                node = ("not", ("in", node, self.joined()))
+            else:
+                node = (sign, node, self.joined())
         return node
 
     def joined(self) -> Node:
-        node = self.filtered()
+        node = self.added()
         while self.take("~"):
-            node = ("~", node, self.filtered())
+            node = ("~", node, self.added())
+        return node
+
+    def added(self) -> Node:
+        node = self.rest_of()
+        while sign := self.take("+", "-"):
+            node = (sign, node, self.rest_of())
+        return node
+
+    def rest_of(self) -> Node:
+        node = self.filtered()
+        while self.take("%"):
+            node = ("%", node, self.filtered())
         return node
 
     def filtered(self) -> Node:
@@ -122,9 +152,22 @@ class _Expression:
             elif mark == ".":
                 node = ("item", node, ("constant", self.name()))
             else:
-                node = ("item", node, self.either())
-                if not self.take("]"):
-                    raise SyntaxError("] is missing")
+                node = self.picked(node)
+        return node
+
+    def picked(self, node: Node) -> Node:
+        """Behind ``[``: a key, a place or a range."""
+        nothing: Node = ("constant", None)
+        low = nothing if self.take(":") else self.either()
+        ranged = low is nothing or bool(self.take(":"))
+        if not ranged:
+            node = ("item", node, low)
+        elif self.take("]"):
+            return ("slice", node, low, nothing)
+        else:
+            node = ("slice", node, low, self.either())
+        if not self.take("]"):
+            raise SyntaxError("] is missing")
         return node
 
     def atom(self) -> Node:
@@ -141,6 +184,9 @@ class _Expression:
             return ("constant", re.sub(r"\\(.)", lambda m: ESCAPES.get(m[1], m[1]), value[1:-1], flags=re.S))
         if kind == "number":
             return ("constant", int(value))
+        if value == "-" and self.at < len(self.items) and self.items[self.at][0] == "number":
+            self.at += 1
+            return ("constant", -int(self.items[self.at - 1][1]))
         if kind == "name":
             return ("constant", CONSTANTS[value]) if value in CONSTANTS else ("name", value)
         raise SyntaxError(f"not expected: {value!r}")
@@ -150,11 +196,15 @@ def parse(source: str) -> Node:
     """The syntax tree: ``("block", node, …)``."""
     parts: list[tuple[str, str]] = []
     at = 0
+    trim = False
     for m in TAGS.finditer(source):
-        parts.append(("text", source[at:m.start()]))
-        parts.append((m.lastgroup or "comment", m[m.lastgroup] if m.lastgroup else ""))
-        at = m.end()
-    parts.append(("text", source[at:]))
+        text = source[at:m.start()]
+        text = text.lstrip() if trim else text
+        parts.append(("text", text.rstrip() if m["s1"] or m["p1"] or m["c1"] else text))
+        kind = next((k for k in ("statement", "print") if m[k] is not None), "comment")
+        parts.append((kind, m[kind] if kind != "comment" else ""))
+        trim, at = bool(m["s2"] or m["p2"] or m["c2"]), m.end()
+    parts.append(("text", source[at:].lstrip() if trim else source[at:]))
     parts.reverse()
 
     def block(*ends: str) -> tuple[Node, str, str]:
@@ -166,7 +216,7 @@ def parse(source: str) -> Node:
             elif kind == "print":
                 nodes.append(("print", (e := _Expression(content)).end(e.either())))
             elif kind == "statement":
-                word, _, rest = content.partition(" ")
+                word, rest = [*re.split(r"\s+", content, maxsplit=1), ""][:2]
                 if word in ends:
                     return ("block", *nodes), word, rest
                 nodes.append(statement(word, rest))
@@ -189,7 +239,7 @@ def parse(source: str) -> Node:
             return condition(rest)
         if word == "generation":
             return ("generation", block("endgeneration")[0])
-        e = _Expression(rest.replace("=", " ~ ", 1) if word == "set" else rest)
+        e = _Expression(re.sub(r"^(\w+)\s*=(?!=)", r"\1 ~ ", rest, count=1) if word == "set" else rest)
         if word == "set":
             name = e.name()
             if not e.take("~"):
@@ -208,12 +258,63 @@ def parse(source: str) -> Node:
 
 # --- meaning
 
+class Undefined:
+    """What a name or key stands for that does not exist."""
+
+    def __init__(self, name: Any):
+        self.name = name
+
+    def __bool__(self) -> bool:
+        return False
+
+
+class RenderError(ValueError):
+    """A template asks for something its values do not have."""
+
+
+def _there(value: Any) -> Any:
+    if isinstance(value, Undefined):
+        raise RenderError(f"undefined: {value.name}")
+    return value
+
+
+def _item(holder: Any, key: Any) -> Any:
+    holder = _there(holder)
+    if isinstance(holder, dict):
+        return holder[key] if key in holder else Undefined(key)
+    if isinstance(holder, (list, tuple, str)) and isinstance(key, int) and not isinstance(key, bool):
+        return holder[key] if -len(holder) <= key < len(holder) else Undefined(key)
+    return Undefined(key)
+
+
+def _both(f: Callable[[Any, Any], Any]) -> Callable[[Any, Any], Any]:
+    def checked(a: Any, b: Any) -> Any:
+        try:
+            return f(_there(a), _there(b))
+        except TypeError as error:
+            raise RenderError(str(error)) from error
+    return checked
+
+
+def _equal(a: Any, b: Any) -> bool:
+    return not isinstance(a, Undefined) and not isinstance(b, Undefined) and a == b
+
+
+TESTS: dict[str, Callable[[Any], bool]] = {
+    "defined": lambda v: not isinstance(v, Undefined), "none": lambda v: v is None, "string": lambda v: isinstance(v, str)}
 BINARY: dict[str, Callable[[Any, Any], Any]] = {
-    "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "in": lambda a, b: a in b,
-    "~": lambda a, b: _text(a) + _text(b), "item": lambda a, b: a.get(b) if isinstance(a, dict) else None}
+    "==": _equal, "!=": lambda a, b: not _equal(a, b), "in": _both(lambda a, b: a in b),
+    "<": _both(lambda a, b: a < b), ">": _both(lambda a, b: a > b), "<=": _both(lambda a, b: a <= b), ">=": _both(lambda a, b: a >= b),
+    "+": _both(lambda a, b: a + b), "-": _both(lambda a, b: a - b), "%": _both(lambda a, b: a % b if isinstance(a, int) else _no_format()),
+    "~": lambda a, b: _text(a) + _text(b), "item": _item}
+
+
+def _no_format() -> Any:
+    raise TypeError("% is for whole numbers")
 
 
 def _text(value: Any) -> str:
+    value = _there(value)
     return "" if value is None else value if isinstance(value, str) else str(value).lower() if isinstance(value, bool) else str(value)
 
 
@@ -226,8 +327,13 @@ def fold(node: Node, filters: dict[str, Callable]) -> Node:
         raise SyntaxError(f"no such filter: {node[1]}")
     parts = tuple(fold(x, filters) if isinstance(x, tuple) else x for x in node[1:])
     values = [x[1] for x in parts if isinstance(x, tuple) and x[0] == "constant"]
-    if kind in BINARY and len(values) == 2:
-        return ("constant", BINARY[kind](*values))
+    if kind in BINARY and len(values) == 2 and kind != "item":
+        try:
+            return ("constant", BINARY[kind](*values))
+        except (RenderError, ZeroDivisionError) as error:
+            raise SyntaxError(str(error)) from error
+    if kind == "is" and values:
+        return ("constant", TESTS[parts[0]](values[0]))
     if kind == "not" and values:
         return ("constant", not values[0])
     if kind == "filter" and values:
@@ -267,11 +373,15 @@ def _value(node: Node, filters: dict[str, Callable]) -> Callable[[Env], Any]:
     if kind == "constant":
         return lambda env, v=node[1]: v
     if kind == "name":
-        return lambda env, n=node[1]: env.get(n)
+        return lambda env, n=node[1]: env[n] if n in env else Undefined(n)
     if kind == "filter":
         return lambda env, f=filters[node[1]], x=_value(node[2], filters): f(x(env))
     if kind == "not":
         return lambda env, x=_value(node[1], filters): not x(env)
+    if kind == "is":
+        return lambda env, f=TESTS[node[1]], x=_value(node[2], filters): f(x(env))
+    if kind == "slice":
+        return lambda env, x=[_value(p, filters) for p in node[1:]]: _there(x[0](env))[_there(x[1](env)):_there(x[2](env))]
     a, b = (_value(x, filters) for x in node[1:])
     if kind == "and":
         return lambda env: a(env) and b(env)
@@ -301,9 +411,10 @@ def _step(node: Node, filters: dict[str, Callable]) -> Callable[[Env, Output], N
         return marked
     if kind == "for":
         def loop(env: Env, out: Output, name=node[1], values=_value(node[2], filters), body=_step(node[3], filters)) -> None:
-            items = list(values(env) or ())
+            items = list(_there(values(env)) or ())
             for k, item in enumerate(items):
-                body(env | {name: item, "loop": {"index0": k, "first": k == 0, "last": k == len(items) - 1}}, out)
+                place = {"index": k + 1, "index0": k, "first": k == 0, "last": k == len(items) - 1, "length": len(items)}
+                body(env | {name: item, "loop": place}, out)
         return loop
     steps = [_step(x, filters) for x in node[1:]]
 
@@ -317,7 +428,7 @@ def compiled(source: str, controls: Iterable[str] = ()) -> Callable[[Env], tuple
     """A function from a context to the rendered text and its generation ranges."""
     filters: dict[str, Callable] = {
         "escape": (lambda f: lambda v: f(_text(v)))(escaper(controls)), "trim": lambda v: _text(v).strip(),
-        "upper": lambda v: _text(v).upper(), "lower": lambda v: _text(v).lower(), "length": lambda v: len(v or ())}
+        "upper": lambda v: _text(v).upper(), "lower": lambda v: _text(v).lower(), "length": lambda v: len(_there(v) or ())}
     run = _step(fold(parse(source), filters), filters)
 
     def render(context: Env) -> tuple[str, list[tuple[int, int]]]:

@@ -9,8 +9,11 @@ Payloads of at least ``least`` bytes are archived as one ``response``, that of
 the largest page id, and as ``revisit`` records that refer to it; smaller ones
 are all responses. Null html is an empty payload, a null url leaves its field
 out. Rows that repeat the largest page id are all responses; null ids are less
-than all others. Line breaks in a url are percent-encoded. Helper columns start
-with ``warc_``.
+than all others. All marks in a url that end a line, CR and LF as well as VT, FF,
+U+0085, U+2028 and U+2029, are percent-encoded, and header fields are only read
+behind CRLF, so a url cannot add any. An empty url stays one. A payload and a
+record are one cell each, at most 2 GB. Empty tables give empty archives. Helper
+columns start with ``warc_``.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 END = "\r\n"
+#: What some reader may take for the end of a line.
+LINE_MARKS = ("\r", "\n", "\x0b", "\x0c", "\x85", "\u2028", "\u2029")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -27,6 +32,12 @@ def _field(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(END)), F.lit(""))
 
 
+def _on_one_line(url: Column) -> Column:
+    for mark in LINE_MARKS:
+        url = F.replace(url, F.lit(mark), F.lit("".join(f"%{b:02X}" for b in mark.encode())))
+    return url
+
+
 def _record_id(page: Column, url: Column, digest: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"),
                     F.md5(F.concat_ws("\n", url, digest)), F.lit(">"))
@@ -41,7 +52,7 @@ def write_archive(pages: DataFrame, folder: str, *, id: str = "page_id", least:
     """
     payload = F.coalesce("html", F.lit("")).cast("binary")
     digested = pages.select(
-        F.col(id).alias("warc_page"), F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("warc_url"),
+        F.col(id).alias("warc_page"), _on_one_line(F.col("url")).alias("warc_url"),
         payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.sha1(payload).alias("warc_sha1"), F.octet_length(payload).alias("size"))
     same = (F.min("warc_sha1") == F.max("warc_sha1")) & (F.min("size") == F.max("size"))
     stored = digested.groupBy("digest").agg(
@@ -82,7 +93,11 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
 def parse_records(records: DataFrame) -> DataFrame:
     """The fields of each record, read from its bytes; a record that does not add up stops the job."""
     def named(name: str) -> Column:
-        return F.nullif(F.regexp_extract("warc_head", rf"(?m)^{name}: ([^\r\n]*)", 1), F.lit(""))
+        return F.nullif(F.regexp_extract("warc_head", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1), F.lit(""))
+
+    def target() -> Column:
+        there = F.contains(F.col("warc_head"), F.lit(f"{END}WARC-Target-URI: "))
+        return F.when(there, F.coalesce(named("WARC-Target-URI"), F.lit("")))
 
     def page_of(record_id: Column) -> Column:
         return F.regexp_extract(record_id, r"^<urn:page:(-?\d+):", 1).try_cast("long")
@@ -99,6 +114,6 @@ def parse_records(records: DataFrame) -> DataFrame:
     sound = ((F.octet_length("warc_block") == named("Content-Length").cast("long")) & (F.sha1("payload") == F.col("warc_sha1"))
              & (F.sha2("payload", 256) == F.col("digest")) & F.col("warc_rest").endswith(END * 2))
     return parsed.select(
-        page_of(named("WARC-Record-ID")).alias("page_id"), named("WARC-Target-URI").alias("url"), "record_type",
+        page_of(named("WARC-Record-ID")).alias("page_id"), target().alias("url"), "record_type",
         F.when(F.coalesce(sound, F.lit(False)), F.octet_length("payload").cast("long")).otherwise(F.raise_error(F.lit("damaged record")).cast("long")).alias("payload_bytes"),
         F.col("warc_sha1").alias("payload_digest"), page_of(named("WARC-Refers-To")).alias("refers_to"), "payload")

@@ -123,3 +123,38 @@ def test_limits_without_held_out_texts(spark):
     assert got.threshold is not None and not got.kept
     nobody = perplexity.classify(docs, docs.where("false").select("doc_id")).collect()
     assert all(r.kept and r.threshold is None for r in nobody)
+
+
+def test_classifier_equals_a_plain_one(spark):
+    """Perplexity, limit and verdict of every row from plain counts over the trained texts."""
+    draw = random.Random(11)
+    rows = [(k, prose(draw, "abcd", draw.randint(2, 8)), ("en", "de")[k % 2]) for k in range(24)]
+    rows += [(30, "zzzz qqqq", "en"), (31, "", "en"), (32, None, "de"), (33, rows[1][1], "xx"), (None, "abcd", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = docs.where("doc_id < 16").select("doc_id")
+    held = {r.doc_id for r in docs.where(perplexity.held_out("text")).collect()}
+    counts = Counter(g for k, t, _ in rows[:16] if k not in held for g in plain_grams(t))
+    memo = {}
+
+    def cost(text):
+        text = text or ""
+        for g in plain_grams(text):
+            if g not in memo:
+                memo[g] = np.log(plain_probability(counts, g))
+        return -sum(memo[g] for g in plain_grams(text)) / len(text) if text else None
+    costs = [cost(t) for _, t, _ in rows]
+    own = [(lang, c) for (k, _, lang), c in zip(rows[:16], costs, strict=False) if k in held]
+    assert own and counts
+
+    def limit(lang):
+        mine = sorted(int(np.ceil(c * 1000)) for at, c in own if at == lang) or sorted(int(np.ceil(c * 1000)) for _, c in own)
+        return 1.15 * np.exp(next(c for n, c in enumerate(mine, 1) if n / len(mine) >= 0.99) / 1000)
+    got = perplexity.classify(docs, trusted).collect()
+    key = {(k, t): (c, limit(lang)) for (k, t, lang), c in zip(rows, costs, strict=True)}
+    by_id = {k: t for k, t, _ in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        c, most = key[r.doc_id, by_id[r.doc_id]]
+        assert (r.perplexity is None) == (c is None) and r.threshold == pytest.approx(most)
+        assert c is None or r.perplexity == pytest.approx(np.exp(c), rel=1e-9)
+        assert r.kept == (c is not None and np.exp(c) <= most)

@@ -158,6 +158,11 @@ def test_sharding(spark, messy):
         texts[r["size"], r.text_crc32].add(r.shard)
     assert all(sorted(s) == list(range(len(s))) for s in shards.values()) and max(shards) < 40
     assert all(len(s) == 1 for s in texts.values())
+    atoms, filled = Counter(), Counter()
+    for r in got:
+        atoms[r["size"], r.text_crc32] += r["size"]
+        filled[r.shard] += r["size"]
+    assert max(filled.values()) <= sum(atoms.values()) / 40 + max(atoms.values())
 
 
 @settings(max_examples=200, deadline=None)
@@ -187,6 +192,18 @@ def test_warc(spark, messy):
     assert Counter(got) == want
 
 
+@pytest.mark.parametrize("mark", ["\u2028", "\u2029", "\x85", "\x0b", "\x0c", "\r", "\n", "\r\n"])
+def test_a_url_adds_no_header(spark, tmp_path, mark):
+    from linesmith.llm.warc import parse_records, read_records, write_archive
+    url = f"http://a/{mark}WARC-Refers-To: <urn:page:99:x>{mark}WARC-Payload-Digest: sha1:0{mark}Content-Length: 1"
+    pages = spark.createDataFrame([(1, url, "x" * 2000), (2, "", "x" * 2000), (3, None, "y")], "page_id long, url string, html string")
+    write_archive(pages, f"{tmp_path}/a")
+    got = {r.page_id: r for r in parse_records(read_records(spark, f"{tmp_path}/a")).collect()}
+    encoded = "".join(f"%{b:02X}" for b in mark.encode())
+    assert got[1].url == url.replace(mark, encoded) and (got[2].url, got[3].url) == ("", None)
+    assert [(got[k].record_type, got[k].refers_to) for k in (1, 2, 3)] == [("revisit", 2), ("response", None), ("response", None)]
+
+
 def test_chat(spark, messy):
     folder, *_, turns = messy
     got = {r.conv_id: r for r in QUERIES["op6_chat_format"](spark, folder).collect()}
@@ -215,6 +232,31 @@ def test_template_language():
             templates.compiled(bad)
 
 
+@pytest.mark.parametrize("source,context,want", [
+    ("a  {%- if x -%}  b  {%- endif -%}  c", {"x": 1}, "abc"), ("a {{- 'b' -}} c {#- x -#} d", {}, "abcd"),
+    ("{{ m[0]['role'] }}{{ m[-1].role }}{{ m[0].role[1:] }}{{ m[1:][0].role }}{{ m[:1] | length }}", {"m": [{"role": "user"}, {"role": "bot"}]}, "userbotserbot1"),
+    ("{% for x in m[1:] %}{{ loop.index }}{{ loop.length }}{{ loop.index0 % 2 == 1 }}{% endfor %}", {"m": "abc"}, "12false22true"),
+    ("{% if\nx is defined and y is not defined %}y{% endif %}{% if z is none %}n{% endif %}", {"x": 0, "z": None}, "yn"),
+    ("{% set a = 'x' + b %}{{ a }}{% set c = 1 + 2 - 4 %}{{ c }}{% if 3 >= 2 and not 1 > 2 and 'q' not in a %}!{% endif %}", {"b": "y"}, "xy-1!"),
+    ("{% if m.gone %}1{% elif not m.gone %}2{% endif %}{{ m.gone == 'x' }}{% set e = x == 1 %}{{ e }}", {"m": {}, "x": 1}, "2falsetrue"),
+])
+def test_templates_as_written_in_public(source, context, want):
+    assert templates.compiled(source)(context)[0] == want
+
+
+@pytest.mark.parametrize("source", ["{{ unknown }}", "{{ m.gone }}", "{{ m['gone'] | upper }}", "{{ 'a' ~ m.gone }}", "{% for x in gone %}{% endfor %}", "{{ l[5] }}",
+                                    "{{ m.gone.more }}", "{{ 1 + m.t }}", "{{ gone[1:] }}", "{{ 'x' in gone }}", "{{ gone | length }}"])
+def test_what_is_not_there_is_an_error(source):
+    with pytest.raises(templates.RenderError):
+        templates.compiled(source)({"m": {"t": "x"}, "l": [1]})
+
+
+@pytest.mark.parametrize("source", ["{{ m.t.strip() }}", "{{ raise_exception('x') }}", "{{ a is odd }}", "{{ a[1:2:3] }}", "{{ a[1 }}", "{{ 1 + 'a' }}", "{{ a not b }}"])
+def test_what_the_language_lacks_is_an_error(source):
+    with pytest.raises(SyntaxError):
+        templates.compiled(source)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "s>", "[", "INST]", "a", "\n"]), max_size=12).map("".join))
 def test_escape_is_reversible_and_hides_control_strings(text):
@@ -223,49 +265,6 @@ def test_escape_is_reversible_and_hides_control_strings(text):
     assert templates.unescape(hidden) == text and not any(c in hidden for c in controls)
 
 
-def test_kneser_ney_against_plain_counts():
-    texts, classes = ["the cat sat. the cat ran\nñ", "a", "", "the dog sat on 12 mats!" * 3], perplexity.character_classes()
-    seen = Counter()
-    for t in texts:
-        symbols = [0, 0, 0, *(int(classes[ord(c)]) for c in t)]
-        seen.update(tuple(symbols[i:i + 4]) for i in range(len(t)))
-
-    class Spark:  # the counts as the job makes them
-        rows = Counter()
-    for _, codes, _ in perplexity.codes_of(texts, classes):
-        Spark.rows.update(codes.tolist())
-    assert Spark.rows == Counter({a << 18 | b << 12 | c << 6 | d: n for (a, b, c, d), n in seen.items()})
-
-
-def _plain_probability(counts, gram):
-    """Interpolated modified Kneser-Ney by the book."""
-    if not gram:
-        return 1 / 64
-    off = perplexity.discounts(Counter(c for c in counts.values() if c <= 4))
-    mine = {g: c for g, c in counts.items() if g[:-1] == gram[:-1]}
-    lower = Counter(g[1:] for g in counts)
-    below = _plain_probability(lower, gram[1:])
-    if not mine:
-        return below
-    total = sum(mine.values())
-    left = sum(off[min(c, 3) - 1] for c in mine.values()) / total
-    return max(mine.get(gram, 0) - (off[min(mine[gram], 3) - 1] if gram in mine else 0), 0) / total + left * below
-
-
-def test_kneser_ney_model(spark):
-    draw = random.Random(3)
-    texts = ["".join(draw.choice("aab bcd e.") for _ in range(draw.randint(0, 80))) for _ in range(12)]
-    table = perplexity.log_table(perplexity.train(spark.createDataFrame([(t,) for t in texts], "text string")))
-    classes, counts = perplexity.character_classes(), Counter()
-    for t in texts:
-        s = [0, 0, 0, *(int(classes[ord(c)]) for c in t)]
-        counts.update(tuple(s[i:i + 4]) for i in range(len(t)))
-    for gram in [*draw.sample(sorted(counts), 40), (4, 4, 4, 9), (60, 60, 60, 60), (4, 5, 60, 4)]:
-        code = gram[0] << 18 | gram[1] << 12 | gram[2] << 6 | gram[3]
-        assert abs(np.exp(table[code]) - _plain_probability(counts, gram)) < 1e-5
-    assert abs(np.exp(table.reshape(-1, 64)).sum(axis=1) - 1).max() < 1e-4
-
-
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test tables not present")
 def test_classifier_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
@@ -275,7 +274,7 @@ def test_classifier_on_held_out_labels(spark):
     held = labels.where("pmod(hash(doc_id), 2) = 1").collect()
     good = [found[r.doc_id] for r in held if r.quality == 1 and r.toxic == 0]
     bad = [found[r.doc_id] for r in held if r.quality == 0]
-    assert np.mean(good) > 0.97 and np.mean(bad) < 0.2
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.1
 
 
 def test_classifier_on_awkward_rows(spark, messy):
