@@ -73,7 +73,9 @@ RESPONSE = T.StructType([T.StructField("data", T.StructType(
 #: Holds a response that does not fit the types as it stands.
 WHOLE = "__whole"
 _KINDS = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType()}
-TYPED_RECORD = T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in RECORD_FIELDS])
+#: With a place for the count of wrong fields, which no response fills.
+BAD = "__bad"
+TYPED_RECORD = T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in [*RECORD_FIELDS, (BAD, "int")]])
 TYPED_RESPONSE = T.StructType([T.StructField("data", T.StructType(
     [T.StructField(part, T.ArrayType(TYPED_RECORD)) for part in RESPONSE_PARTS.values()])), T.StructField(WHOLE, T.StringType())])
 
