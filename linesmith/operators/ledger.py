@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 from functools import reduce
@@ -77,11 +78,10 @@ def run_ledger(rows: DataFrame, strategies: Iterable[Strategy], keys: list[str],
     classes = spark.read.parquet(f"{folder}/classes")
     large = staged(classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
                    .where(F.col("__n") > class_limit).select(*keys), "large-keys")
+    if large.isEmpty():
+        return staged(_fold(classes, strategies, keys), "ledger-rows")
     small = _fold(classes.join(large, keys, "left_anti"), strategies, keys)
-    (classes.join(large, keys, "left_semi").write.partitionBy("week")
-     .parquet(f"{folder}/large"))
-    weeks = spark.read.schema(classes.schema).parquet(f"{folder}/large")
-    return staged(small, "ledger-rows").unionByName(_rounds(weeks, strategies, keys, folder))
+    return staged(small, "ledger-rows").unionByName(_rounds(classes.join(large, keys, "left_semi"), strategies, keys, folder))
 
 
 def _balances(b: Column, topup: Column, pnl: Column, stash: Column,
@@ -169,64 +169,76 @@ def _fold(classes: DataFrame, strategies: list[Strategy], keys: list[str]) -> Da
                        s["start"].alias("start"), F.inline("h"))
 
 
+def _bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int, by: list[str] = ()) -> None:
+    """Store as a table in buckets of ``keys``, sorted by them, one file per bucket (and folder of ``by``)."""
+    writer = df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    (writer.partitionBy(*by) if by else writer).saveAsTable(name)
+
+
 def _rounds(classes: DataFrame, strategies: list[Strategy], keys: list[str],
             folder: str) -> DataFrame:
     """The same ledger, one distributed step per week; state lives in tables.
 
-    ``classes`` is partitioned by week, so a step reads its own week only.
+    Weeks and states are stored in the same buckets of ``keys``, so that a step
+    joins and adds up where the rows lie: no shuffle per week. The classes are
+    partitioned by week, so a step reads its own week only.
     """
     spark = classes.sparkSession
-    found = classes.select("week").distinct().collect()
+    name = f"linesmith_ledger_{uuid.uuid4().hex}"
     run = [*keys, "strategy_id"]
     s = F.col("s")
-    (classes.select(*keys).distinct()
-     .withColumn("s", F.explode(strategy_array(strategies)))
-     .select(*keys, s["strategy_id"].alias("strategy_id"), s,
-             s["start"].alias("bank"), F.lit(0.0).alias("held"), s["start"].alias("paid_in"),
-             s["max_buyin"].alias("left"), F.lit(False).alias("over"))
-     .write.parquet(f"{folder}/state-0"))
-    state_cols = spark.read.parquet(f"{folder}/state-0").columns
-    steps = sorted(r[0] for r in found)
+    known = classes.select(*keys).distinct().count()
+    buckets = max(1, min(known, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    _bucketed(classes.repartition(buckets, *keys), name, f"{folder}/large", keys, buckets, ["week"])
+    steps = sorted(r[0] for r in spark.table(name).select("week").distinct().collect())
+    start = (classes.select(*keys).distinct().withColumn("s", F.explode(strategy_array(strategies)))
+             .select(*keys, s["strategy_id"].alias("strategy_id"), s,
+                     s["start"].alias("bank"), F.lit(0.0).alias("held"), s["start"].alias("paid_in"),
+                     s["max_buyin"].alias("left"), F.lit(False).alias("over")))
+    _bucketed(start.repartition(buckets, *keys), f"{name}_0", f"{folder}/state-0", keys, buckets)
     for i, number in enumerate(steps):
-        now = classes.where(F.col("week") == number)
-        playing = now.select(*keys).distinct().withColumn("__on", F.lit(True))
-        state = (spark.read.parquet(f"{folder}/state-{i}").select(*state_cols)
-                 .join(playing, keys, "left")
-                 .withColumn("__on", F.coalesce("__on", F.lit(False)) & ~F.col("over"))
-                 .withColumn("__topup", F.when(F.col("__on"), _topup(
-                     F.col("bank"), F.col("left"), s)).otherwise(0.0))
-                 .withColumn("__b", F.col("bank") + F.col("__topup")))
-        staked = _cents_staked(kelly("p", s["kelly"]), F.col("__b")) * F.col("n")
-        zero = F.lit(0).cast("bigint")
-        sums = (now.where(F.col("p").isNotNull())
-                .join(state.where("__on").select(*run, "s", "__b"), keys)
-                .where(F.col("p") > s["threshold"])
-                .groupBy(*run).agg(F.sum(F.when(F.col("won") == 1, staked)).alias("__won"),
-                                   F.sum(F.when(F.col("won") == 0, staked)).alias("__lost"),
-                                   F.sum("n").alias("__n")))
-        joined = (state.join(sums, run, "left")
-                  .withColumn("__pnl", _pnl(F.coalesce("__won", zero), F.coalesce("__lost", zero)))
-                  .withColumn("__n", F.coalesce("__n", zero)))
-        after = _balances(F.col("__b"), F.col("__topup"), F.col("__pnl"),
-                          F.col("held"), F.col("paid_in"))
-        left = F.col("left") - F.col("__topup")
-        on = F.col("__on")
-        over = F.when(on, (after["raw_bank"] <= 0) & (left <= 0)).otherwise(F.col("over"))
-        emitted = _emit(F.lit(number), F.col("__n"), F.col("__pnl"), F.col("__topup"),
-                        F.col("__b"), after)
-        (joined.select(
-            *run, "s", F.when(on, after["bank"]).otherwise(F.col("bank")).alias("bank"),
-            after["stash"].alias("held"), after["total_in"].alias("paid_in"),
-            left.alias("left"), over.alias("over"), on.alias("emitted"),
-            F.struct(*emitted).alias("row"))
-         .write.parquet(f"{folder}/state-{i + 1}"))
-    if not steps:
-        return _fold(classes, strategies, keys)
+        now = spark.table(name).where(F.col("week") == number)
+        after = _round(spark.table(f"{name}_{i}"), now, number, run, keys)
+        _bucketed(after, f"{name}_{i + 1}", f"{folder}/state-{i + 1}", keys, buckets)
+    for table in (name, *[f"{name}_{i}" for i in range(len(steps) + 1)]):
+        spark.sql(f"DROP TABLE {table}")  # its files stay
     states = [f"{folder}/state-{i + 1}" for i in range(len(steps))]
     return (spark.read.parquet(*states).where("emitted")
             .select(*run, s["start"].alias("start"), "row.*"))
 
 
+def _round(state: DataFrame, now: DataFrame, number: int, run: list[str], keys: list[str]) -> DataFrame:
+    """The states after a week from those before it and the week's classes.
+
+    One join and one aggregate, both by ``keys``: a state's columns depend on its
+    run, so they are grouped by as well.
+    """
+    s = F.col("s")
+    held = ["s", "bank", "held", "paid_in", "left", "over"]
+    bets = now.select(*keys, F.lit(True).alias("__on"), "p", "won", "n")
+    rows = (state.select(*run, *held).join(bets, keys, "left")
+            .withColumn("__on", F.coalesce("__on", F.lit(False)) & ~F.col("over"))
+            .withColumn("__topup", F.when(F.col("__on"), _topup(F.col("bank"), F.col("left"), s)).otherwise(0.0))
+            .withColumn("__b", F.col("bank") + F.col("__topup")))
+    placed = F.col("__on") & (F.col("p") > s["threshold"])
+    staked = _cents_staked(kelly("p", s["kelly"]), F.col("__b")) * F.col("n")
+    zero = F.lit(0).cast("bigint")
+    sums = rows.groupBy(*run, *held, "__on", "__topup", "__b").agg(
+        F.coalesce(F.sum(F.when(placed & (F.col("won") == 1), staked)), zero).alias("__won"),
+        F.coalesce(F.sum(F.when(placed & (F.col("won") == 0), staked)), zero).alias("__lost"),
+        F.coalesce(F.sum(F.when(placed, F.col("n"))), zero).alias("__n"))
+    pnl = sums.withColumn("__pnl", _pnl(F.col("__won"), F.col("__lost")))
+    after = _balances(F.col("__b"), F.col("__topup"), F.col("__pnl"), F.col("held"), F.col("paid_in"))
+    left, on = F.col("left") - F.col("__topup"), F.col("__on")
+    over = F.when(on, (after["raw_bank"] <= 0) & (left <= 0)).otherwise(F.col("over"))
+    emitted = _emit(F.lit(number), F.col("__n"), F.col("__pnl"), F.col("__topup"), F.col("__b"), after)
+    return pnl.select(
+        *run, "s", F.when(on, after["bank"]).otherwise(F.col("bank")).alias("bank"),
+        after["stash"].alias("held"), after["total_in"].alias("paid_in"),
+        left.alias("left"), over.alias("over"), on.alias("emitted"),
+        F.struct(*emitted).alias("row"))
+
+
 def settle_bets(rows: DataFrame, ledger: DataFrame, strategies: Iterable[Strategy],
                 keys: list[str], week: str = "week", prob: str = "prob",
                 covered: str = "covered") -> DataFrame:

@@ -157,3 +157,24 @@ def test_both_paths_agree_to_the_last_digit(spark):
     df = spark.createDataFrame(random_bets(21, 2, 8), SCHEMA).repartition(6, "prob")
     folded, rounds = (run_ledger(df, STRATEGIES, ["season"], class_limit=n) for n in (20_000, 0))
     assert rows(folded.select(rounds.columns)) == rows(rounds) and rounds.count() > 0
+
+
+def test_a_step_shuffles_nothing(spark, monkeypatch):
+    from linesmith.operators import ledger
+    plans, step = [], ledger._round
+
+    def seen(*a):
+        out = step(*a)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(ledger, "_round", seen)
+    few = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if states and weeks were large
+    try:
+        data = spark.createDataFrame(random_bets(5), SCHEMA)
+        rounds = rows(run_ledger(data, STRATEGIES, ["season"], class_limit=0), *COLS)
+        assert rounds == rows(run_ledger(data, STRATEGIES, ["season"]), *COLS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", few)
+    assert len(plans) > 15 and all("Exchange" not in p and "SortMergeJoin" in p for p in plans)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("linesmith_ledger")]
