@@ -11,6 +11,8 @@ key in a row are handled as one chunk.
    all words are copies: the first one stands for them, and the others are
    repeats from end to end. A task sends the first of its copies only, so however
    hot a passage is, each task sends it once.
+   Keys that more than a ``HOT``-th of all chunks have, as a phrase in every text
+   makes them, are counted first and dealt by key and words.
 2. A key that leaves a single chunk has no other repeat. Of keys with several
    chunks these are fetched as text, and dealt out by key in groups that fit
    memory. A key with more chunks than ``largest`` is split by the longest
@@ -21,7 +23,8 @@ key in a row are handled as one chunk.
 4. Words that a marked window covers are removed.
 
 A document is named by its id and two hashes of its text, 127 bits together.
-Order is that of ids, then of these, then of starts. Null text has no words. Null
+Order is that of ids, then of these, then of starts. Null text has no words, an
+empty table gives an empty one, and a text is handled whole in one row. Null
 ids come last. Rows with equal ids are documents of their own in order of a hash
 of their text; rows with equal ids and texts are one document and get one result.
 Columns of the input that are named like the new ones are replaced.
@@ -48,6 +51,8 @@ LAST_ID = (1 << 63) - 1
 DOCUMENT = ["cut_id", "cut_doc", "cut_more"]
 DOCUMENT_TYPES = "cut_id long, cut_doc long, cut_more long"
 CACHE = 1 << 16
+#: A key with more than this part of all chunks is dealt by words as well; there are fewer such keys.
+HOT = 8_192
 
 
 class WordHashes(dict):
@@ -174,7 +179,8 @@ def _first_rows(largest: int):
 
     What goes on from one batch to the next is the last chunk that leads its
     copies, how many chunks its key has so far, and whether it was sent.
-    ``cut_crowd`` is true for one row of a key that has more than ``largest``.
+    ``cut_crowd`` is true for one row of a key that has more than ``largest``. Of
+    hot keys, whose chunks other tasks have too, all are sent.
     """
     names = ["cut_key", *DOCUMENT, "cut_at", "cut_n", "cut_copy", "cut_crowd"]
     passed = names[:-1]
@@ -189,10 +195,10 @@ def _first_rows(largest: int):
                 batch = batch.filter(pa.array(~copy))
             if not batch.num_rows:
                 continue
-            columns = [batch.column(c).to_numpy() for c in SENT[:-1]]
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in (*SENT[:-1], "cut_hot")]
             if held is not None:
                 columns = [np.concatenate([[h], c]) for h, c in zip(held, columns, strict=True)]
-            key, same, *docs, ats, count = columns
+            key, same, *docs, ats, count, hot = columns
             order, new, later = _leaders(docs, ats, key, same)  # in order already, but for the ties of equal rows
             assert held is None or order[0] == 0
             lead = order[new]
@@ -202,7 +208,7 @@ def _first_rows(largest: int):
             number = np.repeat(sizes, np.diff(np.append(starts, len(lead))))
             place = np.arange(len(lead)) - np.repeat(starts, np.diff(np.append(starts, len(lead))))
             place[:len(lead) if len(starts) == 1 else starts[1]] += max(before - 1, 0)
-            wanted = number > 1
+            wanted = (number > 1) | hot[lead]
             if held is not None and sent:
                 wanted[0] = False
             pick = lead[wanted]
@@ -213,7 +219,7 @@ def _first_rows(largest: int):
                 marks = _marked(_picked(docs, again), ats[again], count[again])
                 yield _batch(names, *(marks.column(c) for c in passed), np.zeros(marks.num_rows, dtype=bool))
             last = lead[-1]
-            held, before, sent = tuple(c[last] for c in columns), int(sizes[-1]), bool(sizes[-1] > 1)
+            held, before, sent = tuple(c[last] for c in columns), int(sizes[-1]), bool(sizes[-1] > 1 or hot[last])
     return rows
 
 
@@ -348,13 +354,22 @@ def without_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     def dealt(rows: DataFrame, *order: str) -> DataFrame:
         """By key; marks, which may all have one, by document."""
         route = F.when(F.col("cut_copy"), F.xxhash64(*DOCUMENT)).otherwise(F.xxhash64("cut_key"))
+        if "cut_hot" in rows.columns:
+            route = F.when(F.col("cut_hot"), F.xxhash64("cut_key", "cut_same")).otherwise(route)
         return rows.repartition(parts, route).sortWithinPartitions("cut_copy", "cut_key", *order)
 
-    sent = own.select(*DOCUMENT, "cut_text").mapInArrow(_sent_rows(width, key), SENT_TYPES)
-    known = staged(dealt(sent, "cut_same", *DOCUMENT, "cut_at").mapInArrow(
+    sent = staged(own.select(*DOCUMENT, "cut_text").mapInArrow(_sent_rows(width, key), SENT_TYPES), "sent")
+    chunks = sent.where(~F.col("cut_copy"))
+    bound = max(largest, chunks.count() // HOT)
+    hot = F.broadcast(staged(chunks.groupBy("cut_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound).select("cut_key"), "hot"))
+    flagged = sent.join(hot.withColumn("cut_hot", ~F.isnull("cut_key")), "cut_key", "left").withColumn(
+        "cut_hot", F.coalesce("cut_hot", F.lit(False)) & ~F.col("cut_copy"))
+    known = staged(dealt(flagged, "cut_same", *DOCUMENT, "cut_at").mapInArrow(
         _first_rows(largest), f"cut_key long, {DOCUMENT_TYPES}, cut_at long, cut_n long, cut_copy boolean, cut_crowd boolean"), "chunks")
-    crowds = known.where("cut_crowd").select("cut_key", F.lit(True).alias("cut_many"))
-    wanted = (known.where(~F.col("cut_copy")).drop("cut_crowd").join(crowds, "cut_key", "left")
+    firsts = known.where(~F.col("cut_copy")).drop("cut_crowd")
+    crowds = known.where("cut_crowd").select("cut_key").distinct().withColumn("cut_many", F.lit(True))
+    split = firsts.join(hot, "cut_key").withColumn("cut_many", F.lit(True))
+    wanted = (firsts.join(hot, "cut_key", "left_anti").join(crowds, "cut_key", "left").unionByName(split)
               .withColumn("cut_chunk", F.struct("cut_at", "cut_n", "cut_key", F.coalesce("cut_many", F.lit(False)).alias("cut_crowd")))
               .groupBy(*DOCUMENT).agg(F.collect_list("cut_chunk").alias("cut_wanted")))
     placed = own.repartition(parts, *DOCUMENT)

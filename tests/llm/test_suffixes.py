@@ -42,3 +42,27 @@ def test_null_ids_come_after_the_greatest(spark):
     passage = " ".join(f"w{k}" for k in range(30))
     got = without_repeats(spark.createDataFrame([(None, passage), (LAST_ID, passage)], "doc_id long, text string")).collect()
     assert {r.doc_id: r.cut_removed for r in got} == {None: 30, LAST_ID: 0}
+
+
+@pytest.mark.parametrize("bound", [1, 10])
+def test_one_phrase_in_every_text(spark, monkeypatch, bound):
+    """Six words that all texts share and nothing else: their chunks all differ and come to no single task."""
+    from linesmith.llm import suffixes
+    draw = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    phrase = "these six words are all over"
+    texts = []
+    for _ in range(150):
+        words = [draw.choice(vocabulary) for _ in range(80)]
+        words[draw.randint(20, 50):] += phrase.split() + [draw.choice(vocabulary) for _ in range(20)]
+        texts.append(" ".join(words))
+    texts += [" ".join([*texts[3].split()[10:70], "new", "end"]), texts[5], texts[5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(suffixes, "HOT", 1 << 40)  # every key above ``largest`` counts as hot
+    routed = []
+    first = suffixes._first_rows
+    monkeypatch.setattr(suffixes, "_first_rows", lambda largest: routed.append(largest) or first(largest))
+    got = {r.doc_id: r.cut_kept for r in suffixes.without_repeats(docs, largest=bound).collect()}
+    assert routed == [bound]
+    assert got == {k: " ".join(kept) for k, (kept, _) in enumerate(brute.cut(list(enumerate(texts))))}
+    assert got[151] == "" and got[152] == "" and len(got[150].split()) == 2
