@@ -11,11 +11,16 @@ cut into ranges of the shuffle key (uniform, being a hash) or of the finish
 time (even, being fair), range totals are summed first, and rows are ordered
 inside their range.
 
-Null or empty text has size 0; such documents finish where they stand and take
-nothing. A null source is a source of its own, the last. Repeated rows are
-documents like any other in :func:`mix`; :func:`mixed_documents` takes rows
-equal in all columns as one. Empty tables give empty results. Columns of the
-input may have any other names.
+The shuffle key hashes the id and what else tells a row from others, so null and
+repeated ids are spread like any.
+
+Null or empty text has size 0; such documents finish where they stand, in a
+source without words where the shuffle puts them, and take nothing. A null
+source is a source of its own, the last. Repeated rows are documents like any
+other in :func:`mix`, for which :func:`sized` numbers them;
+:func:`mixed_documents` takes rows equal in all columns as one. Long texts are
+read once, for their size and digest. Empty tables give empty results. Columns
+of the input may have any other names.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .texts import as_row, row_hash, salts, text_of, words
+from .texts import as_row, each_copy, row_hash, salts, text_of, words
 
 
 def cyclic_weights(totals: DataFrame, weights: tuple[float, ...]) -> DataFrame:
@@ -75,9 +80,10 @@ def _running(rows: DataFrame, keys: list[str], bucket: str, order: list[Column],
 def mix(items: DataFrame, *, share: float, weights: tuple[float, ...], epochs: int, seed: str = "mix") -> DataFrame:
     """Every copy of every item, with its place in the queue.
 
-    ``items`` has ``mix_row`` (unique), ``mix_id`` (what the shuffle hashes),
-    ``mix_source`` and ``mix_size``, and is read more than once: pass a stored
-    table. Returns its columns and ``source_size``, ``target``, ``mix_epoch``,
+    ``items`` has ``mix_id`` and ``mix_row``, which the shuffle hashes together,
+    ``mix_source`` and ``mix_size``. ``mix_row`` is a text made of the row's
+    values, with ``mix_id`` unique in its source. ``items`` is read more than
+    once: pass what follows from a stored table. Returns its columns and ``source_size``, ``target``, ``mix_epoch``,
     ``mix_finish``, ``mix_end`` (tokens of the mix up to and with this copy)
     and ``mix_taken`` (whether that is within the budget).
     """
@@ -87,27 +93,38 @@ def mix(items: DataFrame, *, share: float, weights: tuple[float, ...], epochs: i
     sources = staged(
         fill_targets(cyclic_weights(totals, weights), share, epochs)
         .withColumn("mix_no", F.row_number().over(Window.orderBy(F.col("mix_source").asc_nulls_last()))), "sources")
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("mix_id").cast("string")))
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("mix_id").cast("string"), F.col("mix_row")))
+    part = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long") / F.lit(2.0 ** 32)
     queued = (items.join(sources.withColumnRenamed("mix_source", "mix_name"),
                          F.col("mix_source").eqNullSafe(F.col("mix_name"))).drop("mix_name", "weight")
               .withColumn("mix_key", key)
-              .withColumn("mix_range", (F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long") * slices / F.lit(2.0 ** 32)).cast("int")))
-    queued = _running(queued, ["mix_no"], "mix_range", [F.col("mix_key"), F.col("mix_size"), F.col("mix_row")], "mix_size", "mix_cum")
+              .withColumn("mix_range", (part * slices).cast("int")))
+    queued = _running(queued, ["mix_no"], "mix_range", [F.col("mix_key"), F.col("mix_row")], "mix_size", "mix_cum")
     finish = (F.col("mix_epoch") * F.col("source_size") + F.col("mix_cum")) / F.col("target")
     copies = (queued.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-              .withColumn("mix_finish", F.when(F.col("target") > 0, finish).otherwise(F.lit(0.0)))
+              .withColumn("mix_finish", F.when(F.col("target") > 0, finish).otherwise(F.col("mix_epoch") + part))
               .withColumn("mix_time", F.floor(F.col("mix_finish") * slices)))
-    copies = _running(copies, [], "mix_time", [F.col("mix_finish"), F.col("mix_no"), F.col("mix_epoch"), F.col("mix_key"), F.col("mix_size"), F.col("mix_row")],
+    copies = _running(copies, [], "mix_time", [F.col("mix_finish"), F.col("mix_no"), F.col("mix_epoch"), F.col("mix_key"), F.col("mix_row")],
                       "mix_size", "mix_end")
     return (copies.withColumn("mix_taken", F.col("mix_end") <= F.col("mix_budget"))
             .drop("mix_no", "mix_range", "mix_cum", "mix_time", "mix_key", "mix_budget"))
 
 
-def sized(docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id") -> DataFrame:
-    """The narrow table to mix, stored: row, id, source and size in words."""
-    return staged(docs.select(F.monotonically_increasing_id().alias("mix_row"), F.col(id).alias("mix_id"),
-                              F.col(source).alias("mix_source"),
-                              F.size(words(text_of(text))).cast("long").alias("mix_size")), "sizes")
+def sized(docs: DataFrame, text: str = "text", source: str = "source", id: str = "doc_id", chunk: int = 4096) -> DataFrame:
+    """The narrow table to mix: row, id, source and size in words.
+
+    Rows with the same id, source and text are counted before they are shuffled
+    and get numbers from 0 on; a row is its text's digest and its number. Which
+    of the equal rows has which number does not matter, so reruns agree. More
+    than ``chunk`` equal rows are numbered in as many tasks.
+    """
+    content = text_of(text)
+    counted = staged(
+        docs.select(F.col(id).alias("mix_id"), F.col(source).alias("mix_source"), F.md5(content).alias("mix_text"),
+                    F.size(words(content)).cast("long").alias("mix_size"))
+        .groupBy("mix_id", "mix_source", "mix_text", "mix_size").agg(F.count("*").alias("mix_n")), "sizes")
+    return (each_copy(counted, "mix_n", "mix_copy", chunk)
+            .select(F.concat_ws(":", "mix_text", "mix_copy").alias("mix_row"), "mix_id", "mix_source", "mix_size"))
 
 
 def mixed_documents(docs: DataFrame, *, share: float, weights: tuple[float, ...], epochs: int, seed: str = "mix") -> DataFrame:

@@ -14,8 +14,10 @@ pieces of one length that fill a run of sequences. Spark numbers the pieces of
 each length, salted so that a length shared by a third of all rows is numbered
 in slices, and a join with the plan's runs gives each its place.
 
-Null text is an empty one; its one piece holds the end token. Equal rows are
-packed each by itself. Without rows there are no sequences.
+Null text is an empty one; its one piece holds the end token. Null ids are ids;
+rows of one id are numbered in slices by their pieces' digests. Equal rows are
+packed each by itself and share a slice. Long texts are read in slices. Without
+rows there are no sequences. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -264,4 +266,4 @@ def pack(items: DataFrame, capacity: int, length: str = "length", order: Iterabl
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
     """Every piece of every document with its place; ``ids_crc32`` instead of the ids, which a join with ``pieces`` gives."""
     cut = staged(pieces(docs, vocabulary, capacity=capacity).withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
-    return pack(cut, capacity)
+    return pack(cut, capacity, order=("doc_id", "piece", "ids_crc32"))

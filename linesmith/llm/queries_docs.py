@@ -28,11 +28,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 _MIX_SQL = r"""
-WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, source,
-         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix:' || doc_id::VARCHAR) AS key
+WITH n AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(text, '')) AS digest
   FROM documents),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, size,
+         md5(concat_ws(':', 'mix', doc_id, digest, row_number() OVER (PARTITION BY doc_id, source, digest) - 1)) AS key
+  FROM n),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM d GROUP BY source),
 w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][1 + (no - 1) % 3] AS weight, source_size * 2 AS cap FROM s),
 o AS (SELECT *, cap / weight AS ratio, row_number() OVER (ORDER BY cap / weight, no) AS place,
@@ -55,7 +57,7 @@ FROM m GROUP BY r, doc_id, size
 @query("op1_mix_sources", _MIX_SQL)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     copies = mix(sized(table(spark, folder, "documents")), **MIX)
-    return (copies.groupBy("mix_row", F.col("mix_id").alias("doc_id"), F.col("mix_size").alias("size"), "source_size", "target")
+    return (copies.groupBy("mix_row", "mix_source", F.col("mix_id").alias("doc_id"), F.col("mix_size").alias("size"), "source_size", "target")
             .agg(F.sum(F.when(F.col("mix_taken"), F.col("mix_size")).otherwise(0)).alias("taken"))
             .select("doc_id", "size", "source_size", "target", "taken"))
 

@@ -8,8 +8,11 @@ Cuts are then made at the block borders nearest to even spacing, within that
 capacity. A block above an even share, which no cut can lower, comes first in
 the order and fills a shard, so the other shards stay even beside it.
 
-Null text is an empty one. Equal rows are in one shard and have slots of their
-own. Without rows there are no shards.
+Null text is an empty one, and null ids are ids. Equal rows are in one shard and
+have slots of their own; they are counted before the shuffle and numbered, so
+that however many there are, they lie in many slices. A text's length does not
+matter, only its bytes do. Without rows there are no shards. Columns of the
+input may have any names.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .texts import salt, salts, text_of
+from .texts import each_copy, salt, salts, text_of
 
 
 def _reach(ends: list[int], start: int, capacity: int) -> int:
@@ -86,10 +89,11 @@ def shard_by_bytes(docs: DataFrame, shards: int, *, text: str = "text", id: str
     spark = docs.sparkSession
     content = text_of(text)
     digest = F.sha2(content, 256)
-    rows = staged(docs.select(
-        F.col(id), (F.octet_length(content) + overhead).cast("long").alias("size"), F.crc32(content).alias("text_crc32"),
-        F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), 32 - bits).cast("int").alias("shard_block")), "atoms")
-    blocks = rows.groupBy("shard_block").agg(F.sum("size").alias("bytes")).orderBy("shard_block").collect()
+    counted = staged(docs.select(
+        F.col(id).alias("shard_id"), (F.octet_length(content) + overhead).cast("long").alias("size"), F.crc32(content).alias("text_crc32"),
+        F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), 32 - bits).cast("int").alias("shard_block"))
+        .groupBy("shard_id", "size", "text_crc32", "shard_block").agg(F.count("*").alias("shard_n")), "atoms")
+    blocks = counted.groupBy("shard_block").agg(F.sum(F.col("size") * F.col("shard_n")).alias("bytes")).orderBy("shard_block").collect()
     large, fair = oversized([b.bytes for b in blocks], shards)
     order = [blocks[i] for i in sorted(large)] + [b for i, b in enumerate(blocks) if i not in large]
     cuts = cut_points([b.bytes for b in order], shards, fair)
@@ -97,12 +101,13 @@ def shard_by_bytes(docs: DataFrame, shards: int, *, text: str = "text", id: str
     starts = F.array(*[F.lit(x) for x in firsts]) if firsts else F.array().cast("array<int>")
     shard = F.lit(len(cuts) - len(firsts)) + F.size(F.filter(starts, lambda first: first <= F.col("shard_block")))
     own = F.coalesce(*[F.when(F.col("shard_block") == b.shard_block, F.lit(bisect_right(cuts, i))) for i, b in enumerate(order[:len(large)])], shard)
-    placed = rows.withColumn("shard", own).withColumn("shard_salt", salt(salts(spark), id, "text_crc32"))
+    rows = each_copy(counted, "shard_n", "shard_copy")
+    placed = rows.withColumn("shard", own).withColumn("shard_salt", salt(salts(spark), "shard_id", "text_crc32", "shard_copy"))
     # slots: the slices of a shard are counted first, so that no task needs a whole shard
     earlier = Window.partitionBy("shard").orderBy("shard_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("shard", "shard_salt").agg(F.count("*").alias("n"))
                .select("shard", "shard_salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shard_first")))
-    inside = Window.partitionBy("shard", "shard_salt").orderBy(id, "text_crc32", "size", "shard_block")
+    inside = Window.partitionBy("shard", "shard_salt").orderBy("shard_id", "text_crc32", "size", "shard_block", "shard_copy")
     return (placed.join(offsets, ["shard", "shard_salt"])
             .withColumn("slot", (F.col("shard_first") + F.row_number().over(inside) - 1).cast("long"))
-            .select(id, "size", "text_crc32", "shard", "slot"))
+            .select(F.col("shard_id").alias(id), "size", "text_crc32", "shard", "slot"))

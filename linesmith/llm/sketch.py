@@ -8,11 +8,15 @@ which leaves no text with words without a sketch and merges like a minimum.
 
 Null text is an empty one and has an empty sketch; two empty sketches are alike
 (1), an empty and another one are not (0). A text shorter than a shingle is one
-shingle.
+shingle. A long text's sketch is as long as its share of the text, in one cell.
+Repeated rows have equal sketches and follow each other; an empty table has no
+rows. Columns of the input may have any names.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,8 +61,9 @@ def with_next(docs: DataFrame, columns: list[str], id: str = "doc_id") -> DataFr
     table, so each range's first row is known before any row moves: it is sent to
     its own range and, as a guest, to the end of the range before. The texts move
     once, and no range needs another one's rows. Null ids come last; equal ids
-    follow in order of the other columns. A column of the input with the name of
-    a new one is replaced.
+    follow in order of the first column's hash, by which an id that fills several
+    ranges is cut as well. Rows equal in id and that column lie in one range. A
+    column of the input with the name of a new one is replaced.
     """
     spark, names = docs.sparkSession, docs.columns
     follow = [f"next_{c}" for c in columns]
@@ -72,33 +77,59 @@ def with_next(docs: DataFrame, columns: list[str], id: str = "doc_id") -> DataFr
     return done.select(*kept, *[F.col(f"next_{o}").alias(n) for o, n in zip(own, follow, strict=True)])
 
 
+#: Below every hash: a range that starts here starts with its id.
+LOWEST = -(1 << 63)
+
+
+def _bounds(docs: DataFrame, id: str, wanted: int) -> list[tuple]:
+    """Where the ranges start, ``wanted`` to twice as many: (id is null, id, hash)."""
+    grid = F.array(*[F.lit(i / wanted) for i in range(wanted)])
+    ids, least, known, rows = docs.agg(F.percentile_approx(id, grid, F.lit(4 * wanted)), F.min(id), F.count(id), F.count("*")).first()
+    ranges = Counter(ids or [])
+    hot = {b: n for b, n in ranges.items() if n > 1}
+    nulls = (rows - known) * wanted // max(rows, 1)
+    if nulls > 1 or not known and rows:
+        hot[None] = max(nulls, 1)
+    bounds = {(0, b, LOWEST) for b in {least, *ranges} - {None, *hot}}
+    if hot:
+        chosen = F.col(id).isin([b for b in hot if b is not None])
+        cuts = (docs.where(chosen | F.col(id).isNull() if None in hot else chosen).groupBy(id)
+                .agg(F.percentile_approx("sketch_hash", grid, F.lit(4 * wanted)), F.min("sketch_hash")).collect())
+        for b, hashes, first in cuts:
+            own = [hashes[k * wanted // hot[b]] for k in range(hot[b])]
+            bounds |= {(int(b is None), b, h) for h in {first, *own}}
+    return sorted(bounds, key=lambda x: (x[0], 0 if x[1] is None else x[1], x[2]))
+
+
 def _with_next(spark: SparkSession, docs: DataFrame, id: str, columns: list[str]) -> DataFrame:
-    wanted = salts(spark)
-    found = docs.agg(F.percentile_approx(id, F.array(*[F.lit(i / wanted) for i in range(wanted)]), F.lit(4 * wanted)), F.min(id)).first()
-    bounds = sorted({found[1], *(found[0] or [])} - {None})
-    row_order = [F.col(id).asc_nulls_last(), *[F.col(c) for c in columns]]
-    if not bounds:  # no id at all: one order by the rest
-        w = Window.partitionBy(F.lit(0)).orderBy(*row_order)
-        first = Window.partitionBy(F.lit(0)).orderBy(*row_order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return docs.withColumns({f"next_{c}": F.coalesce(F.lead(c).over(w), F.first(c).over(first)) for c in columns})
+    docs = docs.withColumn("sketch_hash", F.xxhash64(columns[0]))
+    kind, bounds = docs.schema[id].dataType, _bounds(docs, id, salts(spark))
+    if not bounds:  # no rows
+        return docs.withColumns({f"next_{c}": F.col(c) for c in columns})
+
+    def key(missing: Column, value: Column, hashed: Column) -> Column:
+        return F.struct(missing.cast("int").alias("missing"), value.cast(kind).alias("id"), hashed.cast("long").alias("hash"))
+    places = [key(*[F.lit(x) for x in b]) for b in bounds]
     step = max(1, round(len(bounds) ** 0.5))
-    coarse = bounds[::step]
-    fine = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-    ids = F.array(*[F.lit(b) for b in coarse])
-    cells = F.array(*[F.array(*[F.lit(b) for b in cell + cell[-1:] * (step - len(cell))]) for cell in fine])
+    fine = [places[i:i + step] for i in range(0, len(places), step)]
+    coarse = F.array(*places[::step])
+    cells = F.array(*[F.array(*cell, *cell[-1:] * (step - len(cell))) for cell in fine])
     sizes = F.array(*[F.lit(len(cell)) for cell in fine])
-    block = F.size(F.filter(ids, lambda b: b <= F.col(id))) - 1
     last = len(bounds) - 1
-    bucket = let(block, lambda k: k * step + F.least(F.size(F.filter(F.get(cells, k), lambda b: b <= F.col(id))), F.get(sizes, k)) - 1)
-    placed = docs.withColumn("sketch_range", F.when(F.col(id).isNull(), F.lit(last)).otherwise(bucket))
-    is_first = F.col(id) == F.get(F.get(cells, F.floor(F.col("sketch_range") / step).cast("int")), F.col("sketch_range") % step)
+    placed = docs.withColumn("sketch_key", key(F.col(id).isNull(), F.col(id), F.col("sketch_hash")))
+    block = F.size(F.filter(coarse, lambda b: b <= F.col("sketch_key"))) - 1
+    bucket = let(block, lambda k: k * step + F.least(F.size(F.filter(F.get(cells, k), lambda b: b <= F.col("sketch_key"))), F.get(sizes, k)) - 1)
+    placed = (placed.withColumn("sketch_range", bucket)
+              .withColumn("sketch_start", F.get(F.get(cells, F.floor(F.col("sketch_range") / step).cast("int")), F.col("sketch_range") % step)))
+    start = F.col("sketch_start")
+    is_first = F.col(id).eqNullSafe(start["id"]) & ((start["hash"] == F.lit(LOWEST)) | (start["hash"] == F.col("sketch_hash")))
     before = F.when(F.col("sketch_range") == 0, F.lit(last)).otherwise(F.col("sketch_range") - 1)
-    sent = (placed.withColumn("sketch_first", F.coalesce(is_first, F.lit(False)))
-            .withColumn("sketch_guest", F.explode(F.when(F.col("sketch_first"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
-            .withColumn("sketch_range", F.when(F.col("sketch_guest"), before).otherwise(F.col("sketch_range"))))
-    w = Window.partitionBy("sketch_range").orderBy("sketch_guest", *row_order)
+    sent = (placed.withColumn("sketch_guest", F.explode(F.when(is_first, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+            .withColumn("sketch_range", F.when(F.col("sketch_guest"), before).otherwise(F.col("sketch_range")))
+            .drop("sketch_key", "sketch_start"))
+    w = Window.partitionBy("sketch_range").orderBy("sketch_guest", F.col(id).asc_nulls_last(), "sketch_hash", *columns)
     out = sent.withColumns({f"next_{c}": F.lead(c).over(w) for c in columns})
-    return out.where(~F.col("sketch_guest")).drop("sketch_range", "sketch_first", "sketch_guest")
+    return out.where(~F.col("sketch_guest")).drop("sketch_range", "sketch_guest", "sketch_hash")
 
 
 def edited(text: Column, following: Column) -> Column:

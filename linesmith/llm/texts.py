@@ -58,3 +58,18 @@ def fields(row: str, columns: list[str], without: tuple[str, ...] = ()) -> list[
     """The columns back from the struct, but those that new ones of the same name replace."""
     gone = {c.lower() for c in without}
     return [F.col(f"{row}.`{c}`") for c in columns if c.lower() not in gone]
+
+
+def each_copy(counted: DataFrame, count: str, number: str, chunk: int = 4096) -> DataFrame:
+    """Rows as often as ``count`` says, numbered from 0 in ``number``; pass a stored table.
+
+    For rows nothing tells apart: counted map-side, they reach the shuffle once,
+    and which of them has which number does not matter. More than ``chunk`` of a
+    kind come from as many tasks.
+    """
+    n, first = F.col(count), F.col("copy_chunk") * chunk
+    few = counted.where(n <= chunk).withColumn(number, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    many = (counted.where(n > chunk).withColumn("copy_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
+            .repartition(shuffle_width(counted.sparkSession), *[c for c in counted.columns if c != count], "copy_chunk")
+            .withColumn(number, F.explode(F.sequence(first, F.least(first + chunk, n) - 1))).drop("copy_chunk"))
+    return few.unionByName(many).drop(count)

@@ -19,15 +19,24 @@ def null_last(value):
     return (value is None, value if value is not None else 0)
 
 
-def mixed(docs, weights=(5, 2, 1), share=1.5, epochs=2):
-    """(doc_id, size, source_size, target, taken) of rows (doc_id, text, source)."""
+def mixed(docs, weights=(5, 2, 1), share=1.5, epochs=2, names=None):
+    """(doc_id, size, source_size, target, taken) of rows (doc_id, text, source).
+
+    ``names`` are what the shuffle hashes beside the id: by default the text's digest and a number among equal rows.
+    """
     sized = [(d, len(words(t)), s) for d, t, s in docs]
+    if names is None:
+        met, names = Counter(), []
+        for d, t, s in docs:
+            names.append(f"{hashlib.md5((t or '').encode()).hexdigest()}:{met[d, t or '', s]}")
+            met[d, t or "", s] += 1
+    ids = [":".join(["mix", *([str(d)] if d is not None else []), x]) for (d, *_), x in zip(docs, names, strict=True)]
     totals = Counter()
     for _, n, s in sized:
         totals[s] += n
-    names = sorted(totals, key=lambda s: (s is None, (s or "").encode()))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    budget, open_, target = share * sum(totals.values()), set(names), {}
+    sources = sorted(totals, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sources)}
+    budget, open_, target = share * sum(totals.values()), set(sources), {}
     while open_:  # fill up source by source
         level = (budget - sum(target.values())) / sum(weight[s] for s in open_)
         full = {s for s in open_ if weight[s] * level > epochs * totals[s]}
@@ -37,9 +46,8 @@ def mixed(docs, weights=(5, 2, 1), share=1.5, epochs=2):
         target |= {s: float(epochs * totals[s]) for s in full}
         open_ -= full
     copies = []
-    for i, s in enumerate(names):
-        mine = [(hashlib.md5(":".join(["mix", *([str(d)] if d is not None else [])]).encode()).hexdigest(), n, k)
-                for k, (d, n, x) in enumerate(sized) if x == s]
+    for i, s in enumerate(sources):
+        mine = [(hashlib.md5(ids[k].encode()).hexdigest(), n, k) for k, (_, n, x) in enumerate(sized) if x == s]
         for epoch in range(epochs):
             done = epoch * totals[s]
             for key, n, k in sorted(mine):

@@ -9,8 +9,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from linesmith.llm import golay, perplexity, sharding, simhash, templates
 from linesmith.llm.catalog import ORACLES, QUERIES
@@ -303,7 +305,14 @@ def _sketch(text):
 def test_sketches(spark, messy):
     folder, docs, *_ = messy
     got = QUERIES["op8_fingerprint_documents"](spark, folder).collect()
-    order = sorted(((d is None, d or 0, t or "", [x for x in _sketch(t)]) for d, t, *_ in docs))
+    want = _sketched([(d, t) for d, t, *_ in docs])
+    assert Counter((*r[:5], round(r[5], 9), round(r[6], 9)) for r in map(tuple, got)) == want
+
+
+def _sketched(docs):
+    def hashed(t):
+        return int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64))
+    order = [(d is None, d, t, _sketch(t)) for d, t in sorted(((d, t or "") for d, t in docs), key=lambda r: (r[0] is None, r[0] or 0, hashed(r[1])))]
     want = Counter()
     for k, (missing, d, t, sketch) in enumerate(order):
         following = order[(k + 1) % len(order)]
@@ -316,7 +325,40 @@ def test_sketches(spark, messy):
         other = _sketch(edited)
         want[None if missing else d, len(t), hashlib.sha256(edited.encode()).hexdigest(), said, "".join(f"{x:016x}" for x in other),
              round(near(sketch, other), 9), round(near(sketch, following[3]), 9)] += 1
-    assert Counter((*r[:5], round(r[5], 9), round(r[6], 9)) for r in map(tuple, got)) == want
+    return want
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+@pytest.mark.parametrize("share", [0.4, 1.0])
+def test_an_id_of_many_rows_fills_many_ranges(spark, tmp_path, hot, share):
+    from linesmith.llm import sketch as sketches
+    draw = random.Random(3)
+    docs = [(hot if draw.random() < share else k, " ".join(f"w{draw.randrange(90)}" for _ in range(draw.randint(0, 12)))) for k in range(600)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bounds = sketches._bounds(table.withColumn("sketch_hash", F.xxhash64("text")), "doc_id", 32)
+    assert 25 <= len(bounds) <= 64 and sum(b[1] == hot for b in bounds) >= 10 * share
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op8_fingerprint_documents"](spark, str(tmp_path)).collect()
+    assert Counter((*r[:5], round(r[5], 9), round(r[6], 9)) for r in map(tuple, got)) == _sketched(docs)
+
+
+def test_copies_of_one_row_are_numbered_in_any_chunks(spark):
+    from linesmith.llm.mixing import mix, sized
+    docs = spark.createDataFrame([(None, "a b c", "s")] * 50 + [(None, None, None)] * 9 + [(k, f"w {k}", "s") for k in range(20)], "doc_id long, text string, source string")
+    tables = [Counter(tuple(r) for r in sized(docs.repartition(n), chunk=c).collect()) for n, c in ((1, 4096), (5, 3), (3, 50))]
+    assert tables[0] == tables[1] == tables[2] and max(tables[0].values()) == 1 and sum(tables[0].values()) == 79
+    copies = mix(sized(docs, chunk=7), share=1.5, weights=(5.0, 2.0, 1.0), epochs=2).where("mix_epoch = 0").collect()
+    assert len({r.mix_finish for r in copies if r.mix_id is None and r.mix_source == "s"}) == 50
+    assert len({r.mix_finish for r in copies if r.mix_source is None}) == 9 and all(0 <= r.mix_finish < 1 for r in copies if r.mix_source is None)
+
+
+def test_copies_of_one_row_have_slots_in_many_slices(spark):
+    docs = spark.createDataFrame([(None, "a b c")] * 500 + [(k, f"w {k}") for k in range(50)], "doc_id long, text string").repartition(3)
+    got = sharding.shard_by_bytes(docs, 3).collect()
+    copies = sorted(r.slot for r in got if r.doc_id is None)
+    own = [r for r in got if r.shard == next(x.shard for x in got if x.doc_id is None)]
+    assert len(got) == 550 and len({r.shard for r in got if r.doc_id is None}) == 1 and len(copies) == 500
+    assert sorted(r.slot for r in own) == list(range(len(own)))
 
 
 def test_substrings(spark, messy):

@@ -2,8 +2,11 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from linesmith.llm.queries_docs import vocabulary
+from linesmith.llm.texts import row_hash
 
 from . import brute
 
@@ -46,9 +49,11 @@ def test_stages(spark, messy):
     next(plain)
     assert Counter(tuples(cut)) == Counter(plain.send(found))
     mixed = stages[3](spark, cut, folder)
-    taken = brute.mixed([(r[0], r[1], r[3]) for r in tuples(cut)])
+    named = [tuple(r) for r in cut.select("*", F.concat_ws(":", row_hash(cut, "a"), row_hash(cut, "b"))).collect()]
+    named = list({r[-1]: r for r in named}.values())  # rows equal in all columns are one document
+    taken = brute.mixed([(r[0], r[1], r[3]) for r in named], names=[r[-1] for r in named])
     want = Counter()
-    for r, t in zip(tuples(cut), taken, strict=True):
+    for r, t in zip([r[:5] for r in named], taken, strict=True):
         want[r] += t[4] // t[1] if t[1] else 1
     assert Counter(tuples(mixed)) == +want
     packed = stages[4](spark, mixed, folder).collect()
