@@ -62,7 +62,8 @@ def with_next(docs: DataFrame, columns: list[str], id: str = "doc_id") -> DataFr
     its own range and, as a guest, to the end of the range before. The texts move
     once, and no range needs another one's rows. Null ids come last; equal ids
     follow in order of the first column's hash, by which an id that fills several
-    ranges is cut as well. Rows equal in id and that column lie in one range. A
+    ranges is cut as well. Rows equal in id and that column lie in one range, and
+    so may those of one id beyond 2**53, which quantiles round. A
     column of the input with the name of a new one is replaced.
     """
     spark, names = docs.sparkSession, docs.columns
@@ -86,6 +87,11 @@ def _bounds(docs: DataFrame, id: str, wanted: int) -> list[tuple]:
     grid = F.array(*[F.lit(i / wanted) for i in range(wanted)])
     ids, least, known, rows = docs.agg(F.percentile_approx(id, grid, F.lit(4 * wanted)), F.min(id), F.count(id), F.count("*")).first()
     ranges = Counter(ids or [])
+    if ranges and max(map(abs, [least, *ranges])) >= 1 << 53:  # quantiles are doubles, and a range must start at a row
+        starts = sorted({least, *ranges})
+        at = F.size(F.filter(F.array(*[F.lit(b) for b in starts]), lambda b: b <= F.col(id))) - 1
+        real = {r[0]: r[1] for r in docs.where(F.col(id).isNotNull()).groupBy(at.alias("at")).agg(F.min(id)).collect()}
+        ranges = Counter({real[k]: ranges[b] for k, b in enumerate(starts) if k in real})
     hot = {b: n for b, n in ranges.items() if n > 1}
     nulls = (rows - known) * wanted // max(rows, 1)
     if nulls > 1 or not known and rows:
@@ -102,7 +108,7 @@ def _bounds(docs: DataFrame, id: str, wanted: int) -> list[tuple]:
 
 
 def _with_next(spark: SparkSession, docs: DataFrame, id: str, columns: list[str]) -> DataFrame:
-    docs = docs.withColumn("sketch_hash", F.xxhash64(columns[0]))
+    docs = docs.withColumn("sketch_hash", F.shiftright(F.xxhash64(columns[0]), 12))  # whole as a double
     kind, bounds = docs.schema[id].dataType, _bounds(docs, id, salts(spark))
     if not bounds:  # no rows
         return docs.withColumns({f"next_{c}": F.col(c) for c in columns})
