@@ -5,13 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import values as v
 from ..functions.betting import cover_margin, cover_text
 from ..schema import spec_of
 from .ordered import number_within
 
+#: Bets of a week that one task may sort.
+WEEK_LIMIT = 100_000
 HIT, MISS = "✓", "✗"
 #: Lines of a story; a caller's mapping may replace any of them.
 TEMPLATES = {
@@ -98,8 +100,21 @@ def week_fields() -> dict[str, Column]:
     return {"week": F.col("week"), "bets": F.col("bets"), "net": v.signed_dollars("net_pnl")} | money
 
 
+def _numbered_bets(ledger: DataFrame, placed: DataFrame, week: list[str], along: list[str], week_limit: int) -> DataFrame:
+    """The bets with their ``line``: their place in the week along the columns ``along``."""
+    def plain(df: DataFrame) -> DataFrame:
+        rows = Window.partitionBy(*week).orderBy(*along)
+        return df.withColumn("line", F.row_number().over(rows).cast("bigint"))
+    large = ledger.where(F.col("bets") > week_limit).select(*week).distinct()
+    if large.isEmpty():
+        return plain(placed)
+    in_slices = number_within(placed.join(large, week, "left_semi"), week, along[0], "line", along[1:])
+    return plain(placed.join(large, week, "left_anti")).unionByName(in_slices)
+
+
 def story_lines(ledger: DataFrame, settled: DataFrame, run: list[str], order: str,
-                tie: list[str] | None = None, templates: Mapping[str, str] | None = None) -> DataFrame:
+                tie: list[str] | None = None, templates: Mapping[str, str] | None = None,
+                week_limit: int = WEEK_LIMIT) -> DataFrame:
     """The story of every run, one row per line: ``week``, ``line``, ``kind``, ``text``.
 
     Week 0 has the starting point. A week has its heading as line 0, its bets in
@@ -107,7 +122,9 @@ def story_lines(ledger: DataFrame, settled: DataFrame, run: list[str], order: st
     (if there was one) and the balance. ``settled`` needs team, opp_team, score,
     opp_score, opening_spread, prob, covered, bet_amt, payout and the ``order``
     column. Bets are only numbered, never gathered, so a week may have any
-    number of them.
+    number of them: a week of at most ``week_limit`` bets, as the ledger counts
+    them, is numbered where the join left its rows, a larger one in slices. Both
+    ways number alike, so the limit is a matter of speed alone.
     """
     say = TEMPLATES | dict(templates or {})
     fields = week_fields()
@@ -121,9 +138,9 @@ def story_lines(ledger: DataFrame, settled: DataFrame, run: list[str], order: st
     start = (ledger.groupBy(*run).agg(F.max("start").alias("start"))
              .select(*run, F.lit(0).alias("week"), F.lit(0).cast("bigint").alias("line"), F.lit("start").alias("kind"),
                      filled(say["start"], {"start": v.dollars("start")}).alias("text")))
-    # numbered first, told last: cutting into slices reads its input twice
+    # numbered first, told last: numbering sorts its rows
     used = ["team", "opp_team", "score", "opp_score", "opening_spread", "prob", "covered", "bet_amt", "payout"]
     placed = settled.select(*dict.fromkeys([*run, "week", order, *(tie or []), *used]))
-    bets = number_within(placed, [*run, "week"], order, "line", tie)
+    bets = _numbered_bets(ledger, placed, [*run, "week"], [order, *(tie or [])], week_limit)
     bets = bets.select(*run, "week", "line", F.lit("bet").alias("kind"), filled(say["bet"], bet_fields()).alias("text"))
     return start.unionByName(weeks).unionByName(bets)

@@ -55,3 +55,27 @@ def test_a_week_with_many_bets_keeps_its_grain(spark):
     bets = settle_bets(df, ledger, plan, ["season"])
     lines = rows(story_lines(ledger, bets, ["season", "strategy_id"], "id").where("kind = 'bet'"), "line", "text")
     assert [(n, t.split()[1]) for n, t in sorted(lines)] == [(i + 1, f"T{i}") for i in range(50)]
+
+
+def test_large_weeks_are_told_as_small_ones(spark, monkeypatch):
+    from linesmith.operators import render
+    data = [(2025, 1 + i % 2, 0.7, i % 3, (i * 7) % 30 if i % 4 else None, f"T{i}", "O", 1, 0, 0.5) for i in range(45)]
+    df = spark.createDataFrame([(*row, i) for i, row in enumerate(data)] + [(2025, 2, 0.9, 1, 5, "one more", "O", 1, 0, 0.0, 99)], SCHEMA + ", part int")
+    plan = [Strategy("s", kelly=0.001), Strategy("t", threshold=0.8)]
+    ledger = run_ledger(df, plan, ["season"])
+    bets = settle_bets(df, ledger, plan, ["season"])
+
+    def told(limit):
+        return rows(story_lines(ledger, bets, ["season", "strategy_id"], "id", ["part"], week_limit=limit))
+    sliced = told(0)
+    assert told(22) == sliced and len(sliced) == 60  # 22 of one week, 23 or 24 of the other
+    monkeypatch.setattr(render, "number_within", None)
+    assert told(1000) == sliced
+
+
+def test_cover_texts_of_odd_margins(spark):
+    from pyspark.sql import functions as F
+    from linesmith.functions.betting import cover_text
+    df = spark.createDataFrame([(0.25, 0), (-62.15, 1), (0.0, 1), (-0.0, 0), (None, 1), (None, 0), (None, None)], "m double, c int")
+    got = [r[0] for r in df.select(cover_text("m", F.col("c"))).collect()]
+    assert got == ["covered by 0.2", "missed by 62.1", "missed by 0.0", "missed by 0.0", "covered", "did not cover", "did not cover"]
