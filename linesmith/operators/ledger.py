@@ -14,6 +14,8 @@ from ..functions.values import dollars, let
 from ..session import scratch_folder, staged
 
 CLASS_LIMIT = 20_000
+#: Rows of an average week, strategies included, that one task settles.
+BUCKET_ROWS = 200_000
 LEDGER_COLS = ["week", "bets", "net_pnl", "bankroll", "stash", "total", "total_in",
                "topup", "bank_before"]
 
@@ -77,11 +79,11 @@ def run_ledger(rows: DataFrame, strategies: Iterable[Strategy], keys: list[str],
      .write.parquet(f"{folder}/classes"))
     classes = spark.read.parquet(f"{folder}/classes")
     large = staged(classes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                   .where(F.col("__n") > class_limit).select(*keys), "large-keys")
+                   .where(F.col("__n") > class_limit), "large-keys")
     if large.isEmpty():
         return staged(_fold(classes, strategies, keys), "ledger-rows")
     small = _fold(classes.join(large, keys, "left_anti"), strategies, keys)
-    return staged(small, "ledger-rows").unionByName(_rounds(classes.join(large, keys, "left_semi"), strategies, keys, folder))
+    return staged(small, "ledger-rows").unionByName(_rounds(classes, large, strategies, keys, folder))
 
 
 def _balances(b: Column, topup: Column, pnl: Column, stash: Column,
@@ -175,65 +177,73 @@ def _bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int
     (writer.partitionBy(*by) if by else writer).saveAsTable(name)
 
 
-def _rounds(classes: DataFrame, strategies: list[Strategy], keys: list[str],
+def _rounds(classes: DataFrame, large: DataFrame, strategies: list[Strategy], keys: list[str],
             folder: str) -> DataFrame:
-    """The same ledger, one distributed step per week; state lives in tables.
+    """The ledger of the ``large`` keys, one distributed step per week; state lives in tables.
 
     Weeks and states are stored in the same buckets of ``keys``, so that a step
     joins and adds up where the rows lie: no shuffle per week. The classes are
-    partitioned by week, so a step reads its own week only.
+    partitioned by week, so a step reads its own week only. There are as many
+    buckets as the rows of an average step need, ``BUCKET_ROWS`` each, as a task
+    that has little to do costs a step more than its rows.
     """
     spark = classes.sparkSession
     name = f"linesmith_ledger_{uuid.uuid4().hex}"
+    plans = strategy_array(strategies)
     run = [*keys, "strategy_id"]
+    known = large.agg(F.count(F.lit(1)).alias("keys"), F.sum("__n").alias("classes")).first()
+    kept = classes.join(large, keys, "left_semi")
+    steps = sorted(r[0] for r in kept.select("week").distinct().collect())
+    needed = max(spark.sparkContext.defaultParallelism, known["classes"] * len(strategies) // len(steps) // BUCKET_ROWS + 1)
+    buckets = min(known["keys"], needed, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    _bucketed(kept.repartition(buckets, *keys), name, f"{folder}/large", keys, buckets, ["week"])
     s = F.col("s")
-    known = classes.select(*keys).distinct().count()
-    buckets = max(1, min(known, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    _bucketed(classes.repartition(buckets, *keys), name, f"{folder}/large", keys, buckets, ["week"])
-    steps = sorted(r[0] for r in spark.table(name).select("week").distinct().collect())
-    start = (classes.select(*keys).distinct().withColumn("s", F.explode(strategy_array(strategies)))
-             .select(*keys, s["strategy_id"].alias("strategy_id"), s,
-                     s["start"].alias("bank"), F.lit(0.0).alias("held"), s["start"].alias("paid_in"),
+    start = (large.select(*keys, F.posexplode(plans).alias("which", "s"))
+             .select(*keys, "which", s["start"].alias("bank"), F.lit(0.0).alias("held"), s["start"].alias("paid_in"),
                      s["max_buyin"].alias("left"), F.lit(False).alias("over")))
     _bucketed(start.repartition(buckets, *keys), f"{name}_0", f"{folder}/state-0", keys, buckets)
     for i, number in enumerate(steps):
         now = spark.table(name).where(F.col("week") == number)
-        after = _round(spark.table(f"{name}_{i}"), now, number, run, keys)
+        after = _round(spark.table(f"{name}_{i}"), now, plans, keys)
         _bucketed(after, f"{name}_{i + 1}", f"{folder}/state-{i + 1}", keys, buckets)
     for table in (name, *[f"{name}_{i}" for i in range(len(steps) + 1)]):
         spark.sql(f"DROP TABLE {table}")  # its files stay
     states = [f"{folder}/state-{i + 1}" for i in range(len(steps))]
+    plan = plans[F.col("which")]
     return (spark.read.parquet(*states).where("emitted")
-            .select(*run, s["start"].alias("start"), "row.*"))
+            .select(*keys, plan["strategy_id"].alias("strategy_id"), plan["start"].alias("start"), "row.*")
+            .select(*run, "start", *LEDGER_COLS))
 
 
-def _round(state: DataFrame, now: DataFrame, number: int, run: list[str], keys: list[str]) -> DataFrame:
+def _round(state: DataFrame, now: DataFrame, plans: Column, keys: list[str]) -> DataFrame:
     """The states after a week from those before it and the week's classes.
 
-    One join and one aggregate, both by ``keys``: a state's columns depend on its
-    run, so they are grouped by as well.
+    One join and one aggregate, both by ``keys``. A state holds the place of its
+    strategy in ``plans``; its other columns depend on its run, so they are
+    grouped by as well. The number of the week comes from its rows: steps that
+    differ in no literal share their compiled code.
     """
-    s = F.col("s")
-    held = ["s", "bank", "held", "paid_in", "left", "over"]
-    bets = now.select(*keys, F.lit(True).alias("__on"), "p", "won", "n")
-    rows = (state.select(*run, *held).join(bets, keys, "left")
-            .withColumn("__on", F.coalesce("__on", F.lit(False)) & ~F.col("over"))
-            .withColumn("__topup", F.when(F.col("__on"), _topup(F.col("bank"), F.col("left"), s)).otherwise(0.0))
-            .withColumn("__b", F.col("bank") + F.col("__topup")))
-    placed = F.col("__on") & (F.col("p") > s["threshold"])
+    s = plans[F.col("which")]
+    held = ["which", "bank", "held", "paid_in", "left", "over"]
+    bets = now.select(*keys, F.col("week").alias("__week"), "p", "won", "n")
+    on = F.col("__week").isNotNull() & ~F.col("over")
+    topup = F.when(on, _topup(F.col("bank"), F.col("left"), s)).otherwise(0.0)
+    rows = state.select(*keys, *held).join(bets, keys, "left").withColumn("__b", F.col("bank") + topup)
+    placed = on & (F.col("p") > s["threshold"])
     staked = _cents_staked(kelly("p", s["kelly"]), F.col("__b")) * F.col("n")
     zero = F.lit(0).cast("bigint")
-    sums = rows.groupBy(*run, *held, "__on", "__topup", "__b").agg(
+    sums = rows.groupBy(*keys, *held, "__week").agg(
         F.coalesce(F.sum(F.when(placed & (F.col("won") == 1), staked)), zero).alias("__won"),
         F.coalesce(F.sum(F.when(placed & (F.col("won") == 0), staked)), zero).alias("__lost"),
         F.coalesce(F.sum(F.when(placed, F.col("n"))), zero).alias("__n"))
-    pnl = sums.withColumn("__pnl", _pnl(F.col("__won"), F.col("__lost")))
+    pnl = (sums.withColumn("__topup", topup).withColumn("__b", F.col("bank") + F.col("__topup"))
+           .withColumn("__pnl", _pnl(F.col("__won"), F.col("__lost"))))
     after = _balances(F.col("__b"), F.col("__topup"), F.col("__pnl"), F.col("held"), F.col("paid_in"))
-    left, on = F.col("left") - F.col("__topup"), F.col("__on")
+    left = F.col("left") - F.col("__topup")
     over = F.when(on, (after["raw_bank"] <= 0) & (left <= 0)).otherwise(F.col("over"))
-    emitted = _emit(F.lit(number), F.col("__n"), F.col("__pnl"), F.col("__topup"), F.col("__b"), after)
+    emitted = _emit(F.col("__week"), F.col("__n"), F.col("__pnl"), F.col("__topup"), F.col("__b"), after)
     return pnl.select(
-        *run, "s", F.when(on, after["bank"]).otherwise(F.col("bank")).alias("bank"),
+        *keys, "which", F.when(on, after["bank"]).otherwise(F.col("bank")).alias("bank"),
         after["stash"].alias("held"), after["total_in"].alias("paid_in"),
         left.alias("left"), over.alias("over"), on.alias("emitted"),
         F.struct(*emitted).alias("row"))

@@ -178,3 +178,26 @@ def test_a_step_shuffles_nothing(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", few)
     assert len(plans) > 15 and all("Exchange" not in p and "SortMergeJoin" in p for p in plans)
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("linesmith_ledger")]
+
+
+def test_rounds_use_as_many_buckets_as_their_rows_need(spark, monkeypatch):
+    from linesmith.operators import ledger as module
+    asked, write = [], module._bucketed
+
+    def noted(df, name, path, keys, buckets, by=()):
+        asked.append(buckets)
+        write(df, name, path, keys, buckets, by)
+    monkeypatch.setattr(module, "_bucketed", noted)
+    data = [(k, 1 + i % 3, 0.6 + (i % 5) * 0.07, i % 2) for k in range(40) for i in range(12)] + [(None, 1, 0.7, 1), (3, 9, None, 0)]
+    df = spark.createDataFrame(data, "season int, week int, prob double, covered int")
+    plans = [Strategy("a"), Strategy("b", threshold=0.7, start=30.0, kelly=3.0), Strategy("a", kelly=0.1)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        folded, rounds = run_ledger(df, plans, ["season"]), run_ledger(df, plans, ["season"], class_limit=0)
+        assert rounds.columns == folded.columns and rows(rounds) == rows(folded)
+        assert len(asked) == 6 and set(asked) == {spark.sparkContext.defaultParallelism}  # not 32
+        monkeypatch.setattr(module, "BUCKET_ROWS", 10)
+        assert rows(run_ledger(df, plans, ["season"], class_limit=5)) == rows(folded) and asked[-1] == 32
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
