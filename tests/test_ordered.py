@@ -86,3 +86,11 @@ def test_numbering_equals_a_plain_count(spark, keys, slices):
 def test_pair_band(spark):
     df = spark.range(1, 9).select(pair_band("id").alias("b"))
     assert [r[0] for r in df.collect()] == [0, 0, 1, 1, 0, 0, 1, 1]
+
+
+def test_only_groups_in_several_slices_are_summed_up(spark):
+    from .test_plans import plan
+    df = spark.range(1000).selectExpr("id div 3 AS g", "id AS pos", "if(id % 3 = 0, string(id), null) AS date")
+    filled = fill_within(df, ["g"], "pos", ["date"])
+    text = plan(filled)
+    assert text.index("max_by(") < text.index("LeftSemi") and filled.where("date != string(g * 3)").isEmpty()
